@@ -65,6 +65,7 @@ HISTORICAL_FIELDS = (
 )
 
 LINEAGE = "_ingestion_timestamp"
+SOURCE_FILE = "_source_file"
 
 
 def _field_type(schema: T.StructType, path: list[str]) -> T.DataType | None:
@@ -99,12 +100,12 @@ def _project(df: DataFrame, prefix: str, fields, schema: T.StructType, extra: li
 
 
 def _lineage(df: DataFrame) -> list[Column]:
-    return [F.col(LINEAGE)] if LINEAGE in df.columns else []
+    return [F.col(c) for c in (LINEAGE, SOURCE_FILE) if c in df.columns]
 
 
 def _exploded(df: DataFrame, array_col: str, alias: str) -> tuple[DataFrame, T.StructType]:
     """Inner explode: NULL and empty arrays give no rows."""
-    keep = [c for c in (LINEAGE, "_source_file") if c in df.columns]
+    keep = [c for c in (LINEAGE, SOURCE_FILE) if c in df.columns]
     out = df.select(F.explode(array_col).alias(alias), *keep)
     return out, out.schema
 
