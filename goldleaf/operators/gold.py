@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldleaf.functions.scalars import (
@@ -21,7 +21,7 @@ from goldleaf.functions.scalars import (
     tenths_to_units,
 )
 from goldleaf.operators.windows import over_rows
-from goldleaf.plans.joins import bounded_broadcast, join_null_safe, one_row
+from goldleaf.plans.joins import one_row
 
 TEAM_COLUMNS = [
     "team_id", "name", "short_name", "strength",
@@ -65,8 +65,7 @@ def gold_dim_player(player: DataFrame, team: DataFrame) -> DataFrame:
 
     Inner join: players whose team is unknown are left out.
     """
-    t = bounded_broadcast(team.select("team_id", F.col("name").alias("team_name"),
-                                      F.col("short_name").alias("team_short")))
+    t = team.select("team_id", F.col("name").alias("team_name"), F.col("short_name").alias("team_short"))
     p = player.alias("p")
     return p.join(t.alias("t"), F.col("p.team_id") == F.col("t.team_id"), "inner").select(
         F.col("p.player_id"),
@@ -85,7 +84,7 @@ def gold_dim_player(player: DataFrame, team: DataFrame) -> DataFrame:
 
 def gold_dim_fixture(fixture: DataFrame, team: DataFrame) -> DataFrame:
     """Fixture dimension with both team names; a missing team gives a NULL name (role-playing left joins)."""
-    names = bounded_broadcast(team.select("team_id", "name"))
+    names = team.select("team_id", "name")
     f = fixture.alias("f")
     ht = names.alias("ht")
     at = names.alias("at")
@@ -158,9 +157,9 @@ def add_form_and_value(combined: DataFrame, window: int = 5) -> DataFrame:
 
     * rolling_5gw_*: average over the current and ``window - 1`` earlier rows of the
       player (by kickoff, then match id), crossing seasons and sources.
-    * season_total_pts: the full (player, season) sum on every row — computed as an
-      aggregate joined back (partial aggregation, skewed keys split by AQE) rather than
-      an unordered window that buffers a whole group in one task.
+    * season_total_pts: the full (player, season) sum on every row; a window partitioned
+      by (player, season) is satisfied by the rolling window's partitioning by player, so
+      both share one exchange.
     * points_per_million / points_per_90: rounded half-up to 3, NULL on zero or NULL divisor.
     """
     with_roll = over_rows(
@@ -171,8 +170,8 @@ def add_form_and_value(combined: DataFrame, window: int = 5) -> DataFrame:
             "rolling_5gw_xA": lambda w: F.avg("xA").over(w),
         },
     )
-    totals = combined.groupBy("player_name", "season").agg(F.sum("total_points").alias("season_total_pts"))
-    out = join_null_safe(with_roll, totals, ["player_name", "season"], "left")
+    out = with_roll.withColumn("season_total_pts", F.sum("total_points").over(
+        Window.partitionBy("player_name", "season")))
     return out.select(
         *FACT_BASE_COLUMNS,
         "rolling_5gw_pts", "rolling_5gw_xG", "rolling_5gw_xA", "season_total_pts",

@@ -104,7 +104,7 @@ def q_ingest_csv_backfill(spark, d):
     bronze = spark.read.parquet(target)
     hist = m.silver_historical(spark, d, raw=bronze)
     return hist.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "kickoff_time" else F.col(c)
-                         for c in hist.columns if c not in ("data_source", "_ingestion_timestamp")])
+                         for c in hist.columns if c not in ("data_source", "_ingestion_timestamp", "_source_file")])
 
 
 @register("schema_evolution_union", (

@@ -23,6 +23,8 @@ def build_session(app: str = "goldleaf", cpus: int | str = "*", shuffle_partitio
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("GOLDLEAF_DRIVER_MEMORY", "8g"))
+        # No per-call Python call-site capture: it costs JVM round trips for every column function.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
