@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.operators.windows import rows_window
+from goldleaf.operators.windows import Frame, over_rows
 
 # The feature lists of the forecaster.
 PAST_LEN = 5
@@ -159,14 +159,12 @@ def sequences(df: DataFrame, keys: Sequence[str] = ("split", "player_name"),
     for k in keys[:-1]:
         base = base.where(F.col(k).isNotNull())
     item = F.struct(*[F.col(c) for c in features])
-    w_seq = rows_window(keys, order, past, -1)
-    w_y = rows_window(keys, order, 0, future - 1)
-    out = base.select(
-        *keys, *order,
-        F.collect_list(item).over(w_seq).alias("seq"),
-        F.struct(*[F.col(c) for c in context]).alias("ctx"),
-        F.collect_list(F.struct(F.col(target).alias("v"))).over(w_y).alias("y"),
-    )
+    target_item = F.struct(F.col(target).alias("v"))
+    framed = over_rows(base, list(keys), list(order), {
+        "seq": Frame(past, -1, lambda w: F.collect_list(item).over(w)),
+        "y": Frame(0, future - 1, lambda w: F.collect_list(target_item).over(w)),
+    })
+    out = framed.select(*keys, *order, "seq", F.struct(*[F.col(c) for c in context]).alias("ctx"), "y")
     return out.where((F.size("seq") == past) & (F.size("y") == future)).withColumn(
         "y", F.transform("y", lambda s: s["v"]))
 

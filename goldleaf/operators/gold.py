@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldleaf.functions.scalars import (
@@ -20,7 +20,7 @@ from goldleaf.functions.scalars import (
     safe_divide,
     tenths_to_units,
 )
-from goldleaf.operators.windows import over_rows
+from goldleaf.operators.windows import Frame, over_rows
 from goldleaf.plans.joins import one_row
 
 TEAM_COLUMNS = [
@@ -160,18 +160,19 @@ def add_form_and_value(combined: DataFrame, window: int = 5) -> DataFrame:
     * season_total_pts: the full (player, season) sum on every row; a window partitioned
       by (player, season) is satisfied by the rolling window's partitioning by player, so
       both share one exchange.
+
+    Players with very many rows are split across tasks (see ``windows.over_rows``).
     * points_per_million / points_per_90: rounded half-up to 3, NULL on zero or NULL divisor.
     """
-    with_roll = over_rows(
-        combined, ["player_name"], ["kickoff_time", MATCH_ID], window - 1, 0,
-        {
-            "rolling_5gw_pts": lambda w: F.avg("total_points").over(w),
-            "rolling_5gw_xG": lambda w: F.avg("xG").over(w),
-            "rolling_5gw_xA": lambda w: F.avg("xA").over(w),
+    out = over_rows(
+        combined, ["player_name"], ["kickoff_time", MATCH_ID],
+        frames={
+            "rolling_5gw_pts": Frame(window - 1, 0, lambda w: F.avg("total_points").over(w)),
+            "rolling_5gw_xG": Frame(window - 1, 0, lambda w: F.avg("xG").over(w)),
+            "rolling_5gw_xA": Frame(window - 1, 0, lambda w: F.avg("xA").over(w)),
         },
+        totals={"season_total_pts": (["season"], F.sum("total_points"))},
     )
-    out = with_roll.withColumn("season_total_pts", F.sum("total_points").over(
-        Window.partitionBy("player_name", "season")))
     return out.select(
         *FACT_BASE_COLUMNS,
         "rolling_5gw_pts", "rolling_5gw_xG", "rolling_5gw_xA", "season_total_pts",
