@@ -20,6 +20,7 @@ from goldleaf.functions.scalars import (
     safe_divide,
     tenths_to_units,
 )
+from goldleaf.operators.silver import CURRENT_SOURCE_TAG
 from goldleaf.operators.windows import Frame, over_rows
 from goldleaf.plans.joins import one_row
 
@@ -128,7 +129,7 @@ def current_season_rows(performance: DataFrame, fixture: DataFrame, gold_player:
         F.col("fp.transfers_balance"),
         F.when(F.col("fp.was_home"), F.col("f.away_difficulty"))
         .otherwise(F.col("f.home_difficulty")).alias("fixture_difficulty"),
-        F.lit("api").alias("data_source"),
+        F.lit(CURRENT_SOURCE_TAG).alias("data_source"),
         F.col("fp.fixture_id").alias(MATCH_ID),
     )
 
@@ -152,7 +153,8 @@ def union_sources(current: DataFrame, historical: DataFrame) -> DataFrame:
     return current.unionByName(historical)
 
 
-def add_form_and_value(combined: DataFrame, window: int = 5) -> DataFrame:
+def add_form_and_value(combined: DataFrame, window: int = 5, hot_rows: int | None = None,
+                       bucket_rows: int | None = None) -> DataFrame:
     """Rolling form, whole-season totals and guarded value ratios on the unified fact.
 
     * rolling_5gw_*: average over the current and ``window - 1`` earlier rows of the
@@ -172,6 +174,7 @@ def add_form_and_value(combined: DataFrame, window: int = 5) -> DataFrame:
             "rolling_5gw_xA": Frame(window - 1, 0, lambda w: F.avg("xA").over(w)),
         },
         totals={"season_total_pts": (["season"], F.sum("total_points"))},
+        hot_rows=hot_rows, bucket_rows=bucket_rows,
     )
     return out.select(
         *FACT_BASE_COLUMNS,
@@ -233,12 +236,12 @@ def season_totals(fact: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- scout view
 
-def latest_period(fact: DataFrame, source: str = "api") -> DataFrame:
+def latest_period(fact: DataFrame, source: str = CURRENT_SOURCE_TAG) -> DataFrame:
     """One-row frame ``gw`` = MAX(gameweek) over rows of ``source`` (NULL when none)."""
     return fact.where(F.col("data_source") == source).agg(F.max("gameweek").alias("gw"))
 
 
-def current_form(fact: DataFrame, gold_player: DataFrame, latest: DataFrame, source: str = "api") -> DataFrame:
+def current_form(fact: DataFrame, gold_player: DataFrame, latest: DataFrame, source: str = CURRENT_SOURCE_TAG) -> DataFrame:
     """Fact rows of the latest period joined to the player dimension by full name.
 
     The join is on the (non-unique) name, so namesakes fan out; a player with two
@@ -302,8 +305,8 @@ def upcoming_difficulty(gold_player: DataFrame, gold_fixture: DataFrame, latest:
 
 def scout(fact: DataFrame, gold_player: DataFrame, gold_fixture: DataFrame, horizon: int = 3,
           weights: Sequence[float] = (0.4, 0.3, 0.3), default_fdr: float = 3, fdr_pivot: float = 5,
-          source: str = "api") -> DataFrame:
-    """gold.vw_fpl_scout: latest-period form, value and upcoming difficulty per player row.
+          source: str = CURRENT_SOURCE_TAG) -> DataFrame:
+    """The scout view: latest-period form, value and upcoming difficulty per player row.
 
     ``scout_score = round(w0*form + w1*value_for_money + w2*(pivot - fdr), 3)``; NULL when
     form or value is NULL. Missing upcoming fixtures default to fdr 3 and count 0.

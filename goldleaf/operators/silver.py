@@ -64,6 +64,11 @@ HISTORICAL_FIELDS = (
     + [(c, c, "double") for c in _ICT + _EXPECTED]
 )
 
+# Source tags of the two branches of the unified fact (the current-season
+# API feed and the historical per-season CSV archive).
+CURRENT_SOURCE_TAG = "api"
+HISTORICAL_SOURCE_TAG = "vaastav"
+
 LINEAGE = "_ingestion_timestamp"
 SOURCE_FILE = "_source_file"
 
@@ -133,7 +138,7 @@ def performances(element: DataFrame) -> DataFrame:
     return _project(ex, "h.", PERFORMANCE_FIELDS, schema, _lineage(ex))
 
 
-def historical(raw: DataFrame, source_tag: str = "vaastav", passthrough: list[str] | None = None) -> DataFrame:
+def historical(raw: DataFrame, source_tag: str = HISTORICAL_SOURCE_TAG, passthrough: list[str] | None = None) -> DataFrame:
     """Historical CSV rows -> typed rows; price scaled from tenths, constant source tag.
 
     ``passthrough`` names extra columns (e.g. a tie-breaker) carried unchanged.

@@ -7,8 +7,9 @@ so it is kept for them. Keys above ``hot_rows`` rows are handled separately:
 
 1. one partial aggregation counts rows per key; only keys above the threshold (at most
    ``total / hot_rows`` of them, and never more than ``max_hot``) reach the driver;
-2. hot rows are range-partitioned on (key, order): the sampled range bounds split even a
-   single key across many tasks; after a sort within partitions each row gets its
+2. hot rows are range-partitioned on (key, order) into tasks of about
+   ``goldleaf.window.taskRows`` rows: the sampled range bounds split even a single key
+   across many tasks; after a sort within partitions each row gets its
    partition id and position, and the result is checkpointed so both stay fixed;
 3. per (partition, key) counts give each partition's offset within its key (a window over
    at most one row per partition and key), hence an exact 0-based sequence per key;
@@ -34,8 +35,10 @@ from goldleaf.session import checkpoint_root
 
 HOT_ROWS_CONF = "goldleaf.window.hotKeyRows"
 BUCKET_ROWS_CONF = "goldleaf.window.bucketRows"
+TASK_ROWS_CONF = "goldleaf.window.taskRows"
 DEFAULT_HOT_ROWS = 2_000_000
 DEFAULT_BUCKET_ROWS = 500_000
+DEFAULT_TASK_ROWS = 1_000_000
 DEFAULT_MAX_HOT = 10_000
 
 
@@ -74,10 +77,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int, max_hot: int = D
     return None if len(heavy) > max_hot else heavy
 
 
-def _sequenced(hot: DataFrame, keys, order, total_rows: int, bucket_rows: int) -> DataFrame:
+def _sequenced(hot: DataFrame, keys, order, total_rows: int) -> DataFrame:
     """Hot rows with an exact 0-based position ``__seq`` in (key, order)."""
     checkpoint_root(hot.sparkSession)
-    parts = max(2, -(-total_rows // bucket_rows))
+    parts = max(2, -(-total_rows // _conf_int(hot, TASK_ROWS_CONF, DEFAULT_TASK_ROWS)))
     sort = [F.col(k).asc_nulls_first() for k in keys] + _order_cols(order)
     ranged = (hot.repartitionByRange(parts, *sort).sortWithinPartitions(*sort)
               .withColumn("__pid", F.spark_partition_id())
@@ -92,7 +95,7 @@ def _sequenced(hot: DataFrame, keys, order, total_rows: int, bucket_rows: int) -
 
 
 def _hot(hot: DataFrame, keys, order, frames: dict[str, Frame], totals, total_rows: int, bucket_rows: int):
-    seq = _sequenced(hot, keys, order, total_rows, bucket_rows)
+    seq = _sequenced(hot, keys, order, total_rows)
     pre = max([0] + [fr.before for fr in frames.values()])
     post = max([0] + [fr.after for fr in frames.values()])
     b = F.floor(F.col("__seq") / F.lit(bucket_rows)).cast("long")

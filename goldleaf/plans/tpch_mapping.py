@@ -268,7 +268,7 @@ def silver_historical(spark: SparkSession, d: str, raw: DataFrame | None = None)
     # The source tag is a constant: re-attach it after the reduction so it stays a literal
     # and a filter on data_source prunes this branch of the gold union at plan time.
     current = cdc.scd1(kept.drop("data_source"), HISTORICAL_KEYS, HISTORICAL_SEQUENCE, ignore_null_updates=False)
-    return current.select(*[F.lit("vaastav").alias(c) if c == "data_source" else F.col(c) for c in typed.columns])
+    return current.select(*[F.lit(silver.HISTORICAL_SOURCE_TAG).alias(c) if c == "data_source" else F.col(c) for c in typed.columns])
 
 
 # ------------------------------------------------------------------ SQL side
@@ -283,7 +283,7 @@ HIST_TYPED = (
     "own_goals, penalties_saved, penalties_missed, yellow_cards, red_cards, saves, bonus, bps, influence, "
     "creativity, threat, ict_index, expected_goals, expected_assists, expected_goal_involvements, "
     "expected_goals_conceded, CAST(value AS DOUBLE) / 10.0 AS price_m, selected, transfers_in, transfers_out, "
-    "'vaastav' AS data_source, _tie"
+    f"'{silver.HISTORICAL_SOURCE_TAG}' AS data_source, _tie"
 )
 
 

@@ -96,9 +96,9 @@ def q_ingest_csv_backfill(spark, d):
         "kickoff_time", F.date_format("kickoff_time", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     src = landing.write_seasons(raw, f"{root}/landing")
     reader = files.season_from_path(files.with_lineage(files.read_snapshots(spark, src, "csv")))
-    target, marker = f"{root}/bronze/historical_gw_raw", f"{root}/_flows/vaastav_backfill.done"
-    ran_first = backfill_once(spark, "vaastav_backfill", reader, target, marker)
-    ran_again = backfill_once(spark, "vaastav_backfill", reader, target, marker)
+    target, marker = f"{root}/bronze/historical_raw", f"{root}/_flows/history_backfill.done"
+    ran_first = backfill_once(spark, "history_backfill", reader, target, marker)
+    ran_again = backfill_once(spark, "history_backfill", reader, target, marker)
     if not ran_first or ran_again:
         raise RuntimeError("one-time backfill did not run exactly once")
     bronze = spark.read.parquet(target)

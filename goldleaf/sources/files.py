@@ -25,8 +25,12 @@ SEASON_PATTERN = r"(\d{4}-\d{2})"
 
 
 def _reader(spark: SparkSession, fmt: str, multiline: bool, options: dict | None, stream: bool):
+    from goldleaf.sources.landing import JSON_TIME_OPTIONS
+
     r = spark.readStream if stream else spark.read
     r = r.format(fmt)
+    if fmt == "json":
+        r = r.options(**JSON_TIME_OPTIONS)
     if fmt == "json" and multiline:
         r = r.option("multiLine", True)
     if fmt == "csv":

@@ -13,6 +13,19 @@ from pyspark.sql import functions as F
 
 from goldleaf.functions.scalars import snapshot_stamp
 
+# Timestamps are written and read with microsecond precision (Spark's JSON default keeps
+# milliseconds only, which would silently change instants on a landing round trip).
+JSON_TIME_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
+    """JSON lines with lossless timestamps."""
+    df.write.mode(mode).options(**JSON_TIME_OPTIONS).json(path)
+    return path
+
 
 def nest(parent: DataFrame, child: DataFrame, keys: Sequence[str], field: str,
          order_by: Sequence[str] | None = None, how: str = "left") -> DataFrame:
@@ -52,9 +65,7 @@ def stamped_name(prefix: str, ts: Column) -> Column:
 
 def write_snapshot(df: DataFrame, landing: str, name: str, stamp: str) -> str:
     """Write one snapshot as JSON lines under ``<landing>/<name>/<name>_<stamp>/``; returns the path."""
-    path = f"{landing.rstrip('/')}/{name}/{name}_{stamp}"
-    df.write.mode("errorifexists").json(path)
-    return path
+    return write_json(df, f"{landing.rstrip('/')}/{name}/{name}_{stamp}")
 
 
 def write_json_arrays(df: DataFrame, path: str, chunk_col: str) -> str:
@@ -65,7 +76,7 @@ def write_json_arrays(df: DataFrame, path: str, chunk_col: str) -> str:
     """
     docs = df.groupBy(chunk_col).agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(
-            *[F.col(c) for c in df.columns if c != chunk_col]))), ","), F.lit("]")).alias("value"))
+            *[F.col(c) for c in df.columns if c != chunk_col]), JSON_TIME_OPTIONS)), ","), F.lit("]")).alias("value"))
     docs.select("value", chunk_col).write.mode("errorifexists").partitionBy(chunk_col).text(path)
     return path
 

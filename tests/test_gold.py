@@ -4,6 +4,8 @@ import datetime as dt
 
 import pytest
 
+from goldleaf.operators.silver import HISTORICAL_SOURCE_TAG as HIST
+
 from goldleaf.operators import gold
 
 
@@ -67,9 +69,9 @@ def frames(spark):
                 ", selected int, transfers_in int, transfers_out int, data_source string"
     historical = spark.createDataFrame([
         ("Bukayo Saka", "MID", "Arsenal", "2024-25", 37, True, dt.datetime(2025, 5, 10), 5) + (90,) + (0,) * 12
-        + (1.0,) * 8 + (9.0, 10, 7, 2, "vaastav"),
+        + (1.0,) * 8 + (9.0, 10, 7, 2, HIST),
         ("Bukayo Saka", "MID", "Arsenal", "2024-25", 38, False, dt.datetime(2025, 5, 18), 7) + (90,) + (0,) * 12
-        + (1.0,) * 8 + (9.1, 10, 1, 4, "vaastav"),
+        + (1.0,) * 8 + (9.1, 10, 1, 4, HIST),
     ], hist_cols)
     dim_player = gold.gold_dim_player(player, team)
     dim_fixture = gold.gold_dim_fixture(fixture, team)
@@ -103,7 +105,7 @@ def test_fact_rows_and_formulas(frames):
     assert api[101].rolling_5gw_pts == pytest.approx((5 + 7 + 6 + 2) / 4)      # crosses seasons and sources
     assert api[102].rolling_5gw_pts == pytest.approx((5 + 7 + 6 + 2 + 10) / 5)  # tie on kickoff ordered by match id
     assert api[102].season_total_pts == 18 and api[102].season == "2025-26"
-    hist = fact.where("data_source = 'vaastav'").collect()
+    hist = fact.where(f"data_source = '{HIST}'").collect()
     assert {r.season_total_pts for r in hist} == {12}
     assert {r.transfers_balance for r in hist} == {5, -3} and {r.fixture_difficulty for r in hist} == {None}
 
@@ -135,5 +137,5 @@ def test_scout_view(frames):
 
 
 def test_empty_api_source_gives_empty_scout(spark, frames):
-    fact = frames["fact"].where("data_source = 'vaastav'")
+    fact = frames["fact"].where(f"data_source = '{HIST}'")
     assert gold.scout(fact, frames["dim_player"], frames["dim_fixture"]).count() == 0

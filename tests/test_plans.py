@@ -4,6 +4,7 @@ import contextlib
 import io
 
 import __spark_entry__ as entry
+from goldleaf.operators.silver import HISTORICAL_SOURCE_TAG as HIST
 
 SF = "/root/testdata/sf0.001"
 
@@ -47,4 +48,4 @@ def test_source_tag_filter_prunes_historical_branch(spark):
     p = Pipeline(spark, SF)
     plan = _plan(gold.latest_period(p.combined()), "simple")
     assert "historical" not in plan and "Union" not in plan
-    assert "vaastav" not in plan and F is not None
+    assert HIST not in plan and F is not None
