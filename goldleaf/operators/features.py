@@ -71,11 +71,12 @@ def exact_quantile(df: DataFrame, col: Column, q: float, buckets: int = 4096, co
     r0 = int(h)
     frac = h - r0
 
-    def kth(rank: int) -> int:
+    def pair(rank: int) -> tuple[int, int | None]:
+        """Values at ``rank`` and ``rank + 1`` (the latter when it falls in the same final bucket)."""
         a, b, below = lo, hi, 0
         while True:
             if a == b:
-                return a
+                return a, (a if rank + 1 < below + n_in(a, b, below) else None)
             width = (b - a) // buckets + 1
             part = v.where((F.col("v") >= a) & (F.col("v") <= b))
             counts = sorted(part.groupBy(((F.col("v") - F.lit(a)) / F.lit(width)).cast("long").alias("k"))
@@ -85,14 +86,22 @@ def exact_quantile(df: DataFrame, col: Column, q: float, buckets: int = 4096, co
                     a, b = a + k * width, min(b, a + (k + 1) * width - 1)
                     break
                 below += c
+            sizes[(a, b)] = c
             if c <= collect_max:
                 vals = sorted(r[0] for r in part.where((F.col("v") >= a) & (F.col("v") <= b)).collect())
-                return vals[rank - below]
+                nxt = vals[rank + 1 - below] if rank + 1 - below < len(vals) else None
+                return vals[rank - below], nxt
 
-    x0 = kth(r0)
+    sizes: dict = {}
+
+    def n_in(a, b, below):
+        return sizes.get((a, b), 0)
+
+    x0, x1 = pair(r0)
     if frac == 0 or r0 + 1 >= n:
         return float(x0)
-    x1 = kth(r0 + 1)
+    if x1 is None:
+        x1, _ = pair(r0 + 1)
     return x0 + frac * (x1 - x0)
 
 

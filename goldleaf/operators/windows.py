@@ -9,7 +9,8 @@ so it is kept for them. Keys above ``hot_rows`` rows are handled separately:
    ``total / hot_rows`` of them, and never more than ``max_hot``) reach the driver;
 2. hot rows are range-partitioned on (key, order) into tasks of about
    ``goldleaf.window.taskRows`` rows: the sampled range bounds split even a single key
-   across many tasks; after a sort within partitions each row gets its
+   across many tasks (hot rows are staged in the checkpoint folder first, so sampling the
+   bounds does not recompute the input); after a sort within partitions each row gets its
    partition id and position, and the result is checkpointed so both stay fixed;
 3. per (partition, key) counts give each partition's offset within its key (a window over
    at most one row per partition and key), hence an exact 0-based sequence per key;
@@ -79,7 +80,6 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int, max_hot: int = D
 
 def _sequenced(hot: DataFrame, keys, order, total_rows: int) -> DataFrame:
     """Hot rows with an exact 0-based position ``__seq`` in (key, order)."""
-    checkpoint_root(hot.sparkSession)
     parts = max(2, -(-total_rows // _conf_int(hot, TASK_ROWS_CONF, DEFAULT_TASK_ROWS)))
     sort = [F.col(k).asc_nulls_first() for k in keys] + _order_cols(order)
     ranged = (hot.repartitionByRange(parts, *sort).sortWithinPartitions(*sort)
@@ -95,6 +95,10 @@ def _sequenced(hot: DataFrame, keys, order, total_rows: int) -> DataFrame:
 
 
 def _hot(hot: DataFrame, keys, order, frames: dict[str, Frame], totals, total_rows: int, bucket_rows: int):
+    # Stage the hot rows once: the range-bound sampling job, the range shuffle and the
+    # whole-group totals then read files instead of recomputing the upstream plan.
+    checkpoint_root(hot.sparkSession)
+    hot = hot.checkpoint(eager=True)
     seq = _sequenced(hot, keys, order, total_rows)
     pre = max([0] + [fr.before for fr in frames.values()])
     post = max([0] + [fr.after for fr in frames.values()])

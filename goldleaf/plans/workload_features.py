@@ -9,6 +9,7 @@ from goldleaf.operators import features as fe
 from goldleaf.operators import forecast as fc
 from goldleaf.plans import tpch_mapping as m
 from goldleaf.plans.workload import register, rhu
+from goldleaf.session import checkpoint_root
 
 ORDER = ["kickoff_time", "event_id"]
 KEYS = ["split", "player_name"]
@@ -172,7 +173,10 @@ def q_forecast_metrics(spark, d):
 
     No SQL oracle: model fitting is iterative (checked by rows and by pytest)."""
     s, params = samples(spark, d)
-    flat = fc.flatten_samples(s, KEYS + ORDER)
+    # Iterative fitting reads the samples several times: materialize them once in the shared
+    # checkpoint folder instead of recomputing split, scaling and windows for every pass.
+    checkpoint_root(spark)
+    flat = fc.flatten_samples(s, KEYS + ORDER).checkpoint(eager=True)
     assembler, models = fc.fit_forecast(flat.where(F.col("split") == "train"))
     lo, hi = params[fe.TARGET]
     scored = fc.forecast(assembler, models, flat.where(F.col("split") == "test"))

@@ -70,15 +70,14 @@ def fixture_rows(spark, d):
         F.expr(f["home_score"]).alias("team_h_score"), F.expr(f["away_score"]).alias("team_a_score"),
         F.expr(f["home_difficulty"]).alias("team_h_difficulty"),
         F.expr(f["away_difficulty"]).alias("team_a_difficulty"),
-        F.expr(f["finished"]).alias("finished"),
-        (F.col("o_orderkey") / F.lit(FIXTURES_PER_FILE)).cast("long").alias("chunk"))
+        F.expr(f["finished"]).alias("finished"))
 
 
 @register("ingest_json_array", with_ctes("SELECT * FROM s_fixture"))
 def q_ingest_json_array(spark, d):
     """A2/A3: JSON arrays at the root of each file, read with multiLine, typed by the silver view."""
     root = scratch_path(spark, "fixtures")
-    path = landing.write_json_arrays(fixture_rows(spark, d), f"{root}/landing/fixtures", "chunk")
+    path = landing.write_json_arrays(fixture_rows(spark, d), f"{root}/landing/fixtures", FIXTURES_PER_FILE, key="id")
     raw = files.read_snapshots(spark, path, "json", multiline=True)
     bronze = apply_expectations(files.with_lineage(raw), FIXTURE_RULES)
     fx = silver.fixtures(bronze)

@@ -68,16 +68,20 @@ def write_snapshot(df: DataFrame, landing: str, name: str, stamp: str) -> str:
     return write_json(df, f"{landing.rstrip('/')}/{name}/{name}_{stamp}")
 
 
-def write_json_arrays(df: DataFrame, path: str, chunk_col: str) -> str:
-    """Write ``df`` as files whose content is a JSON array at the root (one file per chunk).
+def write_json_arrays(df: DataFrame, path: str, max_items: int = 500, key: str | None = None) -> str:
+    """Write ``df`` as files whose whole content is one JSON array at the root.
 
-    ``chunk_col`` must split the rows into bounded chunks; each chunk becomes one
-    single-line array document ``[{...},{...}]``, the format of a list endpoint.
+    Rows are spread over ``ceil(rows / max_items)`` chunks by a hash of ``key`` (or of the
+    whole row), so each array holds about ``max_items`` elements at any scale; each chunk
+    becomes one single-line document ``[{...},{...}]`` in its own file, the format of a
+    list endpoint. Readable in line mode and with ``multiLine``.
     """
-    docs = df.groupBy(chunk_col).agg(
+    n = max(1, -(-df.count() // max_items))
+    h = F.xxhash64(F.col(key)) if key else F.xxhash64(*[F.col(c) for c in df.columns])
+    docs = df.withColumn("__chunk", F.pmod(h, F.lit(n))).groupBy("__chunk").agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(
-            *[F.col(c) for c in df.columns if c != chunk_col]), JSON_TIME_OPTIONS)), ","), F.lit("]")).alias("value"))
-    docs.select("value", chunk_col).write.mode("errorifexists").partitionBy(chunk_col).text(path)
+            *[F.col(c) for c in df.columns]), JSON_TIME_OPTIONS)), ","), F.lit("]")).alias("value"))
+    docs.write.mode("errorifexists").partitionBy("__chunk").text(path)
     return path
 
 
