@@ -305,13 +305,15 @@ def upcoming_difficulty(gold_player: DataFrame, gold_fixture: DataFrame, latest:
 
 def scout(fact: DataFrame, gold_player: DataFrame, gold_fixture: DataFrame, horizon: int = 3,
           weights: Sequence[float] = (0.4, 0.3, 0.3), default_fdr: float = 3, fdr_pivot: float = 5,
-          source: str = CURRENT_SOURCE_TAG) -> DataFrame:
+          source: str = CURRENT_SOURCE_TAG, latest: DataFrame | None = None) -> DataFrame:
     """The scout view: latest-period form, value and upcoming difficulty per player row.
 
     ``scout_score = round(w0*form + w1*value_for_money + w2*(pivot - fdr), 3)``; NULL when
     form or value is NULL. Missing upcoming fixtures default to fdr 3 and count 0.
+    ``latest`` may be passed when the latest period is cheaper to get elsewhere (a one-row
+    frame with column ``gw``, equal to ``latest_period(fact, source)``).
     """
-    latest = latest_period(fact, source)
+    latest = latest_period(fact, source) if latest is None else latest
     cf = current_form(fact, gold_player, latest, source)
     uf = upcoming_difficulty(gold_player, gold_fixture, latest, horizon)
     fdr = F.coalesce(F.col("uf.avg_upcoming_fdr"), F.lit(float(default_fdr)))

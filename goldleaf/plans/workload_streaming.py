@@ -8,6 +8,7 @@ from goldleaf.operators import gold
 from goldleaf.plans import tpch_mapping as m
 from goldleaf.plans.workload import ORACLE, ROLLING, Pipeline, _round_rolling, register
 from goldleaf.plans.workload_silver import EVENT_COLS, event_changes
+from goldleaf.operators.quality import Expectation, apply_expectations
 from goldleaf.session import scratch_path
 from goldleaf.sources import files
 from goldleaf.sources.landing import write_json
@@ -42,16 +43,23 @@ def q_stream_bronze_append(spark, d):
 
 @register("scd1_stream_upsert", ORACLE["scd1_ignore_nulls"])
 def q_scd1_stream_upsert(spark, d):
-    """The per-column SCD-1 upsert as a stateful stream; batches arrive newest
-    first over three incremental runs and the target still equals the order-free result."""
+    """Landing -> bronze append stream -> stream read of the bronze table
+    -> drop rule -> per-column SCD-1 upsert as a stateful stream. Batches arrive newest first
+    over three incremental runs; the target still equals the order-free result."""
     root = scratch_path(spark, "cdc-stream")
     ch = event_changes(spark, d)
     src = ch.withColumn("day", F.dayofmonth("ts"))
+    bronze, bronze_ckpt = f"{root}/bronze/changes", f"{root}/_checkpoints/bronze"
     path, ckpt = f"{root}/silver/users", f"{root}/_checkpoints/users"
     for where, n in ARRIVALS:
+        # landing JSON -> bronze table (append stream with lineage)
         _land_arrival(src, f"{root}/landing/changes", where, n)
-        stream = files.stream_snapshots(spark, f"{root}/landing/changes", ch.schema)
-        scd1_stream(stream, ["user_id"], "ts", path, ckpt, ignore_null_updates=True)
+        landed = files.with_lineage(files.stream_snapshots(spark, f"{root}/landing/changes", ch.schema))
+        append_stream(landed, bronze, bronze_ckpt)
+        # bronze table -> rule -> keyed upsert (stream read of a table, stateless filter, state)
+        changes = spark.readStream.schema(spark.read.parquet(bronze).schema).parquet(bronze)
+        kept = apply_expectations(changes, [Expectation("has_user", "user_id IS NOT NULL", "drop")])
+        scd1_stream(kept.select("user_id", *EVENT_COLS), ["user_id"], "ts", path, ckpt, ignore_null_updates=True)
     return scd1_target(spark, path, ["user_id"]).select("user_id", *EVENT_COLS)
 
 

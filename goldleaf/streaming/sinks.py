@@ -34,6 +34,19 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet
     return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
 
 
+def materialize(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> DataFrame:
+    """Materialized-view sink: recompute ``df`` in full, replace the stored table, read it back.
+
+    Downstream views then read the stored columns (with pruning and pushdown) instead of
+    recomputing the defining plan; it also cuts the lineage for long pipelines.
+    """
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.text(path).limit(1).collect()

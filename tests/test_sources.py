@@ -117,3 +117,12 @@ def test_nest_then_explode_round_trip(spark):
     assert {r.element_id: r.history is None for r in docs.collect()} == {1: False, 2: True}
     perf = silver.performances(docs)
     assert sorted((r.fixture_id, r.total_points) for r in perf.collect()) == [(7, 3), (8, 1)]
+
+
+def test_materialize_replaces_the_stored_view(spark, workdir):
+    from goldleaf.streaming.sinks import materialize
+
+    first = materialize(spark.range(5).withColumn("src", F.lit("a")), f"{workdir}/mv", ["src"])
+    assert first.count() == 5
+    second = materialize(spark.range(3).withColumn("src", F.lit("b")), f"{workdir}/mv", ["src"])
+    assert sorted((r.id, r.src) for r in second.collect()) == [(0, "b"), (1, "b"), (2, "b")]
