@@ -7,7 +7,8 @@ by a star-schema table (SURVEY section 7.2):
 * player          <- ``customer`` (namesakes: keys 10k and 10k+1 share a name;
                      NULL first names, unknown teams and an unmapped position code)
 * fixture         <- ``orders`` of the current season (calendar year 2001), the
-                     gameweek is the month, difficulty from key residues
+                     gameweek is the month, teams 1..24 (team 0 never plays),
+                     difficulty from key residues
 * performance     <- ``lineitem`` summed per order (left join: orders without lines
                      keep NULL stats), played = ordered before 2001-05-01
 * historical rows <- orders before 2001 with the customer's name, one season per year
@@ -120,8 +121,8 @@ FIXTURE = [
     ("fixture_id", "o_orderkey"),
     ("gameweek", "CAST(month(o_orderdate) AS INT)"),
     ("kickoff_time", "o_orderdate"),
-    ("home_team_id", "o_custkey % 25"),
-    ("away_team_id", "CASE WHEN o_orderkey % 41 = 0 THEN CAST(99 AS BIGINT) ELSE o_orderkey % 25 END"),
+    ("home_team_id", "1 + o_custkey % 24"),
+    ("away_team_id", "CASE WHEN o_orderkey % 41 = 0 THEN CAST(99 AS BIGINT) ELSE 1 + o_orderkey % 24 END"),
     ("home_score", "CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey % 4 AS INT) END"),
     ("away_score", "CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey % 3 AS INT) END"),
     ("home_difficulty", "CAST(1 + o_custkey % 5 AS INT)"),
@@ -131,10 +132,9 @@ FIXTURE = [
 
 
 def fixture_filter(d: str) -> str:
-    # Current season; upcoming fixtures of team 0 are left out so that its players
+    # The current season. Fixture teams are 1..24, so team 0 never plays and its players
     # take the no-upcoming-fixture defaults at every scale.
-    return (f"o_orderdate >= {ts(SEASON_START, d)} AND o_orderdate < {ts(SEASON_END, d)} "
-            f"AND NOT (o_orderdate >= {ts(PLAYED_BEFORE, d)} AND (o_custkey % 25 = 0 OR o_orderkey % 25 = 0))")
+    return f"o_orderdate >= {ts(SEASON_START, d)} AND o_orderdate < {ts(SEASON_END, d)}"
 
 
 WAS_HOME = "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderkey % 2 = 0 END"

@@ -122,3 +122,30 @@ def rescue(df: DataFrame, raw_col: str, schema: T.StructType, out: str = "_rescu
     return df.withColumn("__m", m).select(*keep, *typed, rescued.alias(out))
 
 
+
+
+def rescue_columns(df: DataFrame, schema: T.StructType, out: str = "_rescued_data",
+                   keep: tuple[str, ...] = (LINEAGE_TS, LINEAGE_FILE)) -> DataFrame:
+    """Rescue for flat sources (CSV with a header): project ``df`` onto ``schema``.
+
+    Schema columns are cast with ``try_cast`` (missing ones become typed NULLs); columns that
+    are not in the schema, and values whose cast fails, go to ``out`` as a JSON object of
+    their text (NULL when nothing was rescued). ``keep`` columns pass through unchanged.
+    """
+    present = set(df.columns)
+    typed = [(F.col(f.name).try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
+             for f in schema.fields]
+    entries = []
+    for f in schema.fields:
+        if f.name in present:
+            bad = F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+            entries.append(F.struct(F.lit(f.name).alias("k"), F.when(bad, F.col(f.name).cast("string")).alias("v")))
+    for c in df.columns:
+        if c not in schema.names and c not in keep:
+            entries.append(F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")))
+    if entries:
+        leftover = F.map_filter(F.map_from_entries(F.array(*entries)), lambda k, v: v.isNotNull())
+        rescued = F.when(F.size(leftover) > 0, F.to_json(leftover))
+    else:
+        rescued = F.lit(None).cast("string")
+    return df.select(*typed, *[F.col(c) for c in keep if c in present], rescued.alias(out))

@@ -126,3 +126,16 @@ def test_materialize_replaces_the_stored_view(spark, workdir):
     assert first.count() == 5
     second = materialize(spark.range(3).withColumn("src", F.lit("b")), f"{workdir}/mv", ["src"])
     assert sorted((r.id, r.src) for r in second.collect()) == [(0, "b"), (1, "b"), (2, "b")]
+
+
+def test_rescue_columns_for_csv(spark, workdir):
+    d = _local(workdir)
+    _write_text(f"{d}/csv", "merged_gws.csv", "name,round,minutes,surprise\nA B,1,90,x\nC D,3.0,None,\n")
+    raw = files.read_snapshots(spark, f"{d}/csv", "csv", options={"inferSchema": False})
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("round", T.IntegerType()),
+                           T.StructField("minutes", T.IntegerType()), T.StructField("kickoff_time", T.StringType())])
+    rows = {r.name: r for r in files.rescue_columns(raw, schema).collect()}
+    assert rows["A B"]["round"] == 1 and rows["A B"].minutes == 90 and rows["A B"].kickoff_time is None
+    assert json.loads(rows["A B"]._rescued_data) == {"surprise": "x"}
+    assert rows["C D"]["round"] is None and rows["C D"].minutes is None
+    assert json.loads(rows["C D"]._rescued_data) == {"round": "3.0", "minutes": "None"}
