@@ -12,7 +12,7 @@ from goldleaf.operators.quality import Expectation, apply_expectations
 from goldleaf.session import scratch_path
 from goldleaf.sources import files
 from goldleaf.sources.landing import write_json
-from goldleaf.streaming.sinks import append_stream, scd1_stream, scd1_target
+from goldleaf.streaming.sinks import append_stream, scd1_compact, scd1_stream, scd1_target
 
 # Arrival order of the landing batches: newest days first, so later runs carry older sequences.
 ARRIVALS = [("day >= 20", 0), ("day >= 10 AND day < 20", 1), ("day < 10", 2)]
@@ -45,7 +45,8 @@ def q_stream_bronze_append(spark, d):
 def q_scd1_stream_upsert(spark, d):
     """Landing -> bronze append stream -> stream read of the bronze table
     -> drop rule -> per-column SCD-1 upsert as a stateful stream. Batches arrive newest first
-    over three incremental runs; the target still equals the order-free result."""
+    over three incremental runs, with a compaction after the second; the target still equals
+    the order-free result."""
     root = scratch_path(spark, "cdc-stream")
     ch = event_changes(spark, d)
     src = ch.withColumn("day", F.dayofmonth("ts"))
@@ -60,6 +61,8 @@ def q_scd1_stream_upsert(spark, d):
         changes = spark.readStream.schema(spark.read.parquet(bronze).schema).parquet(bronze)
         kept = apply_expectations(changes, [Expectation("has_user", "user_id IS NOT NULL", "drop")])
         scd1_stream(kept.select("user_id", *EVENT_COLS), ["user_id"], "ts", path, ckpt, ignore_null_updates=True)
+        if n == 1:  # compact after the second run: the last read is snapshot + newer batches
+            scd1_compact(spark, path, ["user_id"])
     return scd1_target(spark, path, ["user_id"]).select("user_id", *EVENT_COLS)
 
 

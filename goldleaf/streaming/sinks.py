@@ -70,20 +70,21 @@ def backfill_once(spark: SparkSession, name: str, df: DataFrame, target: str, ma
 
 
 def scd1_stream(changes: DataFrame, keys: Sequence[str], sequence_by, path: str, checkpoint: str,
-                ignore_null_updates: bool = False, max_batches: int | None = None) -> int:
+                ignore_null_updates: bool = False) -> int:
     """Incremental SCD-1 over a change stream.
 
     A streaming aggregation keyed by ``keys`` keeps, per key, the winning value(s) and their
     sequences in the state store (per column when NULLs are ignored, which is what keeps
     out-of-order input exact). Each micro-batch emits the keys it changed (update mode);
-    ``foreachBatch`` writes them to ``path/_batch_id=<n>`` with overwrite, so a replayed
-    batch rewrites the same folder (idempotent). Read the table with ``scd1_target``.
+    ``foreachBatch`` writes them to ``path/log/_batch_id=<n>`` with overwrite, so a replayed
+    batch rewrites the same folder (idempotent). Read the table with ``scd1_target``; bound
+    the read cost with ``scd1_compact``.
     """
     state = cdc.reduce_state(cdc.to_state(changes, keys, sequence_by, ignore_null_updates), keys,
                              ignore_null_updates)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/log/{BATCH_COL}={batch_id}")
 
     q = (state.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(write).trigger(availableNow=True).start())
@@ -91,9 +92,69 @@ def scd1_stream(changes: DataFrame, keys: Sequence[str], sequence_by, path: str,
     return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
 
 
+def _partition_values(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Values of an integer partition column, from the file listing only (no data is read)."""
+    try:
+        files = spark.read.parquet(path).inputFiles()
+    except AnalysisException:
+        return []
+    found = set()
+    for f in files:
+        for part in f.split("/"):
+            if part.startswith(f"{name}="):
+                found.add(int(part.split("=", 1)[1]))
+    return sorted(found)
+
+
+def _latest_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """Newest compacted snapshot plus the log batches written after it, tagged by batch id."""
+    base = path.rstrip("/")
+    snaps = _partition_values(spark, f"{base}/snapshots", "through")
+    batches = _partition_values(spark, f"{base}/log", BATCH_COL)
+    through = snaps[-1] if snaps else None
+    parts = []
+    if through is not None:
+        snap = spark.read.parquet(f"{base}/snapshots").where(F.col("through") == through)
+        parts.append(snap.drop("through").withColumn(BATCH_COL, F.lit(through)))
+    if any(through is None or b > through for b in batches):
+        log = cdc.current(spark.read.parquet(f"{base}/log"))  # values only, sequences dropped
+        parts.append(log if through is None else log.where(F.col(BATCH_COL) > through))
+    if not parts:
+        return None
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return rows
+
+
 def scd1_target(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The current SCD-1 table: for each key, its row from the newest batch that touched it."""
-    log = spark.read.parquet(path)
-    values = [c for c in log.columns if c not in keys and c != BATCH_COL]
-    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in values]), F.col(BATCH_COL)).alias("__r"))
+    """The current SCD-1 table: for each key, its row from the newest batch that touched it.
+
+    Reads the newest snapshot and only the log batches after it (partition pruning), so the
+    cost follows the size of the table plus the recent changes, not the whole history.
+    """
+    rows = _latest_rows(spark, path)
+    if rows is None:
+        raise FileNotFoundError(f"no SCD-1 data under {path}")
+    values = [c for c in rows.columns if c not in keys and c != BATCH_COL]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in values]), F.col(BATCH_COL)).alias("__r"))
     return cdc.current(latest.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in values]))
+
+
+def scd1_compact(spark: SparkSession, path: str, keys: Sequence[str]) -> int | None:
+    """Write the current table as snapshot ``through=<last batch>``; returns that batch id, or
+    None when there is nothing new. Reads afterwards skip every folder the snapshot covers.
+
+    A batch that lands while compacting is either in the snapshot or read again from the log:
+    the newest batch id wins in ``scd1_target``, so both cases give the same table. Older
+    folders are left in place for a retention job.
+    """
+    base = path.rstrip("/")
+    batches = _partition_values(spark, f"{base}/log", BATCH_COL)
+    snaps = _partition_values(spark, f"{base}/snapshots", "through")
+    if not batches or (snaps and snaps[-1] >= batches[-1]):
+        return None
+    through = batches[-1]
+    current = scd1_target(spark, path, keys)
+    current.write.mode("overwrite").parquet(f"{base}/snapshots/through={through}")
+    return through

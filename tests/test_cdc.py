@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from goldleaf.operators import cdc
-from goldleaf.streaming.sinks import scd1_stream, scd1_target
+from goldleaf.streaming.sinks import scd1_compact, scd1_stream, scd1_target
 
 SCHEMA = "player_id long, price double, team long, name string, seq timestamp"
 
@@ -94,3 +94,24 @@ def test_stream_replay_equals_batch_and_restart_adds_nothing(spark, workdir):
         again = spark.readStream.schema(schema).option("recursiveFileLookup", True).json(land)
         assert scd1_stream(again, ["player_id"], "seq", path, ckpt, ignore_null_updates=nulls) == 0
         assert sorted(map(tuple, scd1_target(spark, path, ["player_id"]).select(*schema.names).collect())) == want
+
+
+def test_compaction_keeps_the_table_and_prunes_old_batches(spark, workdir):
+    land, path, ckpt = f"{workdir}/landing", f"{workdir}/target", f"{workdir}/ckpt"
+    schema = _frame(spark).schema
+    want_rows = []
+    for i, r in enumerate(ROWS):
+        spark.createDataFrame([r], SCHEMA).coalesce(1).write.json(f"{land}/f{i:02d}")
+        want_rows.append(r)
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).json(land)
+        scd1_stream(stream, ["player_id"], "seq", path, ckpt, ignore_null_updates=True)
+        if i == 2:
+            assert scd1_compact(spark, path, ["player_id"]) is not None
+            assert scd1_compact(spark, path, ["player_id"]) is None  # nothing new
+        want = sorted(map(tuple, cdc.scd1(spark.createDataFrame(want_rows, SCHEMA), ["player_id"], "seq", True)
+                          .select(*schema.names).collect()))
+        got = sorted(map(tuple, scd1_target(spark, path, ["player_id"]).select(*schema.names).collect()))
+        assert got == want
+    assert scd1_compact(spark, path, ["player_id"]) is not None
+    final = scd1_target(spark, path, ["player_id"])
+    assert all("through=" in f for f in final.inputFiles())  # only the newest snapshot is read
