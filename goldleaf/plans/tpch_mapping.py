@@ -264,6 +264,7 @@ def historical_raw(spark: SparkSession, d: str) -> DataFrame:
 def silver_historical(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
     """Typed historical rows -> drop rules -> SCD-1 on (player_name, season, gameweek)."""
     typed = silver.historical(raw if raw is not None else historical_raw(spark, d), passthrough=["_tie"])
+    typed = typed.withColumn("_tie", F.col("_tie").cast("long"))  # a CSV round trip may infer int
     kept = quality.apply_expectations(typed, HISTORICAL_RULES)
     # The source tag is a constant: re-attach it after the reduction so it stays a literal
     # and a filter on data_source prunes this branch of the gold union at plan time.

@@ -19,8 +19,9 @@ STACKED = [*m.PERFORMANCE_RULES, GAMEWEEK_WARN]
 def _report_sql(rules) -> str:
     drops = " AND ".join(f"coalesce({r.predicate}, false)" for r in rules if r.action == "drop") or "true"
     parts = [
-        f"SELECT '{r.name}' AS rule, '{r.action}' AS action, count_if(NOT coalesce({r.predicate}, false)) AS failed, "
-        f"count(*) AS total, count_if({drops}) AS kept FROM perf_checks"
+        f"SELECT '{r.name}' AS rule, '{r.action}' AS action, "
+        f"CAST(count_if(NOT coalesce({r.predicate}, false)) AS BIGINT) AS failed, "
+        f"count(*) AS total, CAST(count_if({drops}) AS BIGINT) AS kept FROM perf_checks"
         for r in rules
     ]
     return with_ctes(" UNION ALL ".join(parts))
