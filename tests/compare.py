@@ -36,3 +36,16 @@ def duck_rows(con, sql):
     cols = sorted(names)
     idx = [names.index(c) for c in cols]
     return cols, sorted((tuple(norm(r[i]) for i in idx) for r in cur.fetchall()), key=_key)
+
+
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE", "float": "FLOAT",
+}
+
+
+def type_diffs(sdf, con, sql):
+    cur = con.execute(f"SELECT * FROM ({sql}) LIMIT 0")
+    otypes = {d[0]: str(d[1]) for d in cur.description}
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    return {c: (t, otypes.get(c)) for c, t in stypes.items() if otypes.get(c) != t}

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from goldleaf.plans.tpch_mapping import TABLES
-from tests.compare import duck_rows, spark_rows
+from tests.compare import duck_rows, spark_rows, type_diffs
 
 SF = "/root/testdata/sf0.001"
 ORACLE = entry.oracle_sql()
@@ -32,6 +32,7 @@ def test_query_matches_oracle(spark, con, name):
     s_cols, s_rows = spark_rows(df)
     o_cols, o_rows = duck_rows(con, ORACLE[name])
     assert s_cols == o_cols
+    assert type_diffs(df, con, ORACLE[name]) == {}
     assert len(s_rows) == len(o_rows)
     assert s_rows == o_rows
 
