@@ -69,15 +69,15 @@ STATS = [
     ("saves", "CAST(count(*) AS INT)"),
     ("bonus", "CAST(max(l_linenumber) % 4 AS INT)"),
     ("bps", "CAST(sum(l_linenumber * 3) AS INT)"),
-    ("influence", "CAST(sum(CAST(round(l_discount * 100) AS INT)) AS DOUBLE) / 10"),
-    ("creativity", "CAST(sum(CAST(round(l_tax * 100) AS INT)) AS DOUBLE) / 10"),
+    ("influence", "CAST(sum(CAST(floor(l_discount * 100 + 0.5) AS INT)) AS DOUBLE) / 10"),
+    ("creativity", "CAST(sum(CAST(floor(l_tax * 100 + 0.5) AS INT)) AS DOUBLE) / 10"),
     ("threat", "CAST(sum(CAST(l_quantity AS INT)) AS DOUBLE) / 4"),
-    ("ict_index", "CAST(sum(CAST(round(l_discount * 100) AS INT) + CAST(round(l_tax * 100) AS INT)"
+    ("ict_index", "CAST(sum(CAST(floor(l_discount * 100 + 0.5) AS INT) + CAST(floor(l_tax * 100 + 0.5) AS INT)"
                   " + CAST(l_quantity AS INT)) AS DOUBLE) / 100"),
-    ("expected_goals", "CAST(sum(CAST(round(l_discount * 100) AS INT)) AS DOUBLE) / 100"),
-    ("expected_assists", "CAST(sum(CAST(round(l_tax * 100) AS INT)) AS DOUBLE) / 100"),
-    ("expected_goal_involvements", "CAST(sum(CAST(round(l_discount * 100) AS INT)"
-                                   " + CAST(round(l_tax * 100) AS INT)) AS DOUBLE) / 100"),
+    ("expected_goals", "CAST(sum(CAST(floor(l_discount * 100 + 0.5) AS INT)) AS DOUBLE) / 100"),
+    ("expected_assists", "CAST(sum(CAST(floor(l_tax * 100 + 0.5) AS INT)) AS DOUBLE) / 100"),
+    ("expected_goal_involvements", "CAST(sum(CAST(floor(l_discount * 100 + 0.5) AS INT)"
+                                   " + CAST(floor(l_tax * 100 + 0.5) AS INT)) AS DOUBLE) / 100"),
     ("expected_goals_conceded", "CAST(count_if(l_linestatus = 'O') AS DOUBLE) / 4"),
     ("selected", "CAST(sum(l_suppkey) AS INT)"),
     ("transfers_in", "CAST(sum(l_partkey % 100) AS INT)"),
