@@ -139,3 +139,21 @@ def test_rescue_columns_for_csv(spark, workdir):
     assert json.loads(rows["A B"]._rescued_data) == {"surprise": "x"}
     assert rows["C D"]["round"] is None and rows["C D"].minutes is None
     assert json.loads(rows["C D"]._rescued_data) == {"round": "3.0", "minutes": "None"}
+
+
+def test_silver_projection_on_a_stream(spark, workdir):
+    d = _local(workdir)
+    docs = [{"elements": [{"id": i, "first_name": "F", "second_name": str(i), "team": 1, "element_type": 2,
+                           "now_cost": "45", "web_name": f"W{i}"}], "teams": [{"id": 1, "name": "T"}]}
+            for i in range(3)]
+    for i, doc in enumerate(docs):
+        _write_text(f"{d}/boot", f"bootstrap-static_2025-08-0{i + 1}T080000Z.json", json.dumps(doc))
+    schema = files.infer_schema(spark, f"{d}/boot")
+    stream = files.with_lineage(files.stream_snapshots(spark, f"{d}/boot", schema, max_files=1))
+    players = silver.players(stream)
+    assert players.isStreaming
+    n = append_stream(players, f"{workdir}/silver", f"{workdir}/ckpt")
+    assert n == 3
+    rows = sorted((r.player_id, r.current_price, r._source_file.rsplit("/", 1)[-1])
+                  for r in spark.read.parquet(f"{workdir}/silver").collect())
+    assert rows == [(i, 45.0, f"bootstrap-static_2025-08-0{i + 1}T080000Z.json") for i in range(3)]
