@@ -232,15 +232,15 @@ def silver_fixture(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "orders").where(F.expr(fixture_filter("spark"))).selectExpr(*_sel(FIXTURE))
 
 
-def _orders_with_stats(spark: SparkSession, d: str, where: str) -> DataFrame:
+def _orders_with_stats(spark: SparkSession, d: str, where: str, stats: DataFrame | None = None) -> DataFrame:
     o = load(spark, d, "orders").where(F.expr(where)).alias("o")
-    s = order_stats(spark, d).alias("s")
+    s = (stats if stats is not None else order_stats(spark, d)).alias("s")
     return o.join(s, F.col("s.l_orderkey") == F.col("o.o_orderkey"), "left")
 
 
-def silver_performance(spark: SparkSession, d: str) -> DataFrame:
+def silver_performance(spark: SparkSession, d: str, stats: DataFrame | None = None) -> DataFrame:
     """Current-season performance rows, after the silver drop rules."""
-    rows = _orders_with_stats(spark, d, performance_filter("spark")).selectExpr(*_sel(PERFORMANCE))
+    rows = _orders_with_stats(spark, d, performance_filter("spark"), stats).selectExpr(*_sel(PERFORMANCE))
     return quality.apply_expectations(rows, PERFORMANCE_RULES)
 
 
@@ -251,19 +251,20 @@ def performance_checks(spark: SparkSession, d: str) -> DataFrame:
     return o.join(s, F.col("s.l_orderkey") == F.col("o.o_orderkey"), "left").selectExpr(*_sel(PERFORMANCE_CHECKS))
 
 
-def historical_raw(spark: SparkSession, d: str) -> DataFrame:
+def historical_raw(spark: SparkSession, d: str, stats: DataFrame | None = None) -> DataFrame:
     """CSV-shaped historical rows: orders before the season with their customer's name."""
     o = load(spark, d, "orders").where(F.expr(historical_filter("spark"))).alias("o")
     c = load(spark, d, "customer").alias("c")
-    s = order_stats(spark, d).alias("s")
+    s = (stats if stats is not None else order_stats(spark, d)).alias("s")
     return (o.join(c, F.col("c.c_custkey") == F.col("o.o_custkey"), "inner")
             .join(s, F.col("s.l_orderkey") == F.col("o.o_orderkey"), "left")
             .selectExpr(*_sel(HISTORICAL_RAW)))
 
 
-def silver_historical(spark: SparkSession, d: str, raw: DataFrame | None = None) -> DataFrame:
+def silver_historical(spark: SparkSession, d: str, raw: DataFrame | None = None,
+                      stats: DataFrame | None = None) -> DataFrame:
     """Typed historical rows -> drop rules -> SCD-1 on (player_name, season, gameweek)."""
-    typed = silver.historical(raw if raw is not None else historical_raw(spark, d), passthrough=["_tie"])
+    typed = silver.historical(raw if raw is not None else historical_raw(spark, d, stats), passthrough=["_tie"])
     typed = typed.withColumn("_tie", F.col("_tie").cast("long"))  # a CSV round trip may infer int
     kept = quality.apply_expectations(typed, HISTORICAL_RULES)
     # The source tag is a constant: re-attach it after the reduction so it stays a literal
