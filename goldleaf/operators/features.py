@@ -72,30 +72,26 @@ def exact_quantile(df: DataFrame, col: Column, q: float, buckets: int = 4096, co
     frac = h - r0
 
     def pair(rank: int) -> tuple[int, int | None]:
-        """Values at ``rank`` and ``rank + 1`` (the latter when it falls in the same final bucket)."""
-        a, b, below = lo, hi, 0
+        """Values at ``rank`` and ``rank + 1`` (the latter only when it lies in the final range)."""
+        a, b, below, size = lo, hi, 0, n
+        refined = False
         while True:
-            if a == b:
-                return a, (a if rank + 1 < below + n_in(a, b, below) else None)
+            if a == b:  # one distinct value left: no need to look at the rows
+                return a, (a if rank + 1 < below + size else None)
+            if refined and size <= collect_max:
+                vals = sorted(r[0] for r in v.where((F.col("v") >= a) & (F.col("v") <= b)).collect())
+                i = rank - below
+                return vals[i], (vals[i + 1] if i + 1 < len(vals) else None)
             width = (b - a) // buckets + 1
-            part = v.where((F.col("v") >= a) & (F.col("v") <= b))
-            counts = sorted(part.groupBy(((F.col("v") - F.lit(a)) / F.lit(width)).cast("long").alias("k"))
+            counts = sorted(v.where((F.col("v") >= a) & (F.col("v") <= b))
+                            .groupBy(F.expr(f"(v - {a}) div {width}").alias("k"))
                             .agg(F.count(F.lit(1)).alias("c")).collect())
             for k, c in counts:
                 if below + c > rank:
-                    a, b = a + k * width, min(b, a + (k + 1) * width - 1)
+                    a, b, size = a + k * width, min(b, a + (k + 1) * width - 1), c
                     break
                 below += c
-            sizes[(a, b)] = c
-            if c <= collect_max:
-                vals = sorted(r[0] for r in part.where((F.col("v") >= a) & (F.col("v") <= b)).collect())
-                nxt = vals[rank + 1 - below] if rank + 1 - below < len(vals) else None
-                return vals[rank - below], nxt
-
-    sizes: dict = {}
-
-    def n_in(a, b, below):
-        return sizes.get((a, b), 0)
+            refined = True
 
     x0, x1 = pair(r0)
     if frac == 0 or r0 + 1 >= n:

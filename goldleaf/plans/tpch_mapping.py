@@ -14,7 +14,7 @@ by a star-schema table (SURVEY section 7.2):
 * historical rows <- orders before 2001 with the customer's name, one season per year
 
 Each expression is SQL text that Spark SQL and DuckDB evaluate identically, so the
-Spark pipeline and the SQL oracle start from the same rows; the operators under test
+Spark side and the SQL oracle start from the same rows; the operators under test
 (joins, windows, CDC, aggregation, features) are implemented separately on each side.
 """
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from goldleaf.operators import gold
 from goldleaf.plans import tpch_mapping as m
-from goldleaf.plans.workload import ORACLE, ROLLING, Pipeline, _round_rolling, register
+from goldleaf.plans.workload import ORACLE, ROLLING, MappedLayers, _round_rolling, register
 from goldleaf.plans.workload_silver import EVENT_COLS, event_changes
 from goldleaf.operators.quality import Expectation, apply_expectations
 from goldleaf.session import scratch_path
@@ -70,5 +70,5 @@ def q_scd1_stream_upsert(spark, d):
 def q_rolling_form_skew_split(spark, d):
     """W1 through the hot-key path: every player above 8 rows is range-split and evaluated in
     buckets of 4 rows with halos (same result as the plain window)."""
-    f = gold.add_form_and_value(Pipeline(spark, d).combined(), window=5, hot_rows=8, bucket_rows=4)
+    f = gold.add_form_and_value(MappedLayers(spark, d).combined(), window=5, hot_rows=8, bucket_rows=4)
     return _round_rolling(f.select("player_name", "match_id", "kickoff_time", *ROLLING))

@@ -2,7 +2,7 @@
 incremental SCD-1 upsert.
 
 All of them are triggered (``availableNow``), not continuous: each call processes what
-has arrived since the last run and stops, which is how the reference pipeline refreshes.
+has arrived since the last run and stops, which is how the layered tables are refreshed.
 Progress and operator state live in the checkpoint, so a restart after a lost executor
 (or a lost driver) resumes without re-adding rows.
 """

@@ -64,3 +64,15 @@ def test_sequences_stay_within_player_and_keep_null_targets(spark):
     anchor = [r for r in rows if r.player_name == "P1" and r.kickoff_time.day == 6][0]
     assert [x.total_points for x in anchor.seq] == [0.0, 1.0, 2.0, 3.0, 4.0]
     assert list(anchor.y) == [5.0, 6.0, None]                 # NULL target keeps its slot
+
+
+def test_exact_quantile_wide_range_is_exact(spark):
+    rng = random.Random(11)
+    vals = [rng.randrange(-2**61, 2**61) for _ in range(3000)] + [2**61, -2**61, 0, 1, -1]
+    df = spark.createDataFrame([(v,) for v in vals], "v long")
+    s = sorted(vals)
+    for q in (0.25, 0.8, 0.999):
+        h = (len(s) - 1) * q
+        i = int(h)
+        want = float(s[i]) if i + 1 >= len(s) else s[i] + (h - i) * (s[i + 1] - s[i])
+        assert fe.exact_quantile(df, F.col("v"), q, buckets=16, collect_max=20) == want

@@ -31,9 +31,9 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 
 def test_fact_windows_share_one_exchange(spark):
-    from goldleaf.plans.workload import Pipeline
+    from goldleaf.plans.workload import MappedLayers
 
-    plan = _plan(Pipeline(spark, SF).fact(), "simple")
+    plan = _plan(MappedLayers(spark, SF).fact(), "simple")
     top = plan.split("Union")[0]  # operators above the union of the two sources
     assert top.count("Exchange hashpartitioning(player_name") == 1
     assert top.count("Window [") >= 2
@@ -43,9 +43,9 @@ def test_source_tag_filter_prunes_historical_branch(spark):
     from pyspark.sql import functions as F
 
     from goldleaf.operators import gold
-    from goldleaf.plans.workload import Pipeline
+    from goldleaf.plans.workload import MappedLayers
 
-    p = Pipeline(spark, SF)
+    p = MappedLayers(spark, SF)
     plan = _plan(gold.latest_period(p.combined()), "simple")
     assert "historical" not in plan and "Union" not in plan
     assert HIST not in plan and F is not None
