@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import licenses, preference, quality
+from goldleaf.llm import licenses, lm_interpolation, preference, quality
 from goldleaf.llm.text import table
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
 
+def op1_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
+    scored = lm_interpolation.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     judged = quality.cascade(table(spark, sf_dir, "documents"), features=base)
@@ -105,6 +111,7 @@ FROM cut LEFT JOIN p USING (pair_id) LEFT JOIN chosen_c c USING (pair_id) LEFT J
 """
 
 QUERIES = {
+    "op1_interpolated_lm": op1_interpolated_lm,
     "op4_rule_cascade": op4_rule_cascade,
     "op9_license_digest": op9_license_digest,
     "op10_preference_format": op10_preference_format,
