@@ -67,14 +67,22 @@ def chain(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def window_keys(words: np.ndarray, k: int) -> np.ndarray:
-    """Keys of all windows of k word hashes of one document, in order."""
-    n = len(words) - k + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    out = words[:n]
+    """Keys of all windows of k word hashes, in order."""
+    n = max(0, len(words) - k + 1)
+    out = mix(words[:n])
     for j in range(1, k):
         out = chain(out, words[j:n + j])
-    return mix(out) if k == 1 else out
+    return out
+
+
+def document_hashes(row) -> list[np.ndarray]:
+    """Word hashes of each document of a chunk row."""
+    return np.split(unpack(row.hashes, np.uint64)[unpack(row.tokens, np.uint32)], np.cumsum(row.lens)[:-1])
+
+
+def node_id(chunk: Column, at: Column) -> Column:
+    """A number for a document by its chunk and its place there (a chunk holds at most 2**17 documents)."""
+    return F.shiftleft(chunk, 17) + at
 
 
 def word_lists(data: bytes, limit: int = 1 << 22) -> Iterator[list[bytes]]:
@@ -153,7 +161,7 @@ def write_chunks(docs: DataFrame, id_col: str, text_col: str, name: str, lower:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         out = to_arrow_schema(schema)
-        made, at = 0, TaskContext.get().partitionId() << 32
+        made, at = 0, TaskContext.get().partitionId() << 20
         opened: dict[int, _Open] = {}
         for batch in batches:
             for doc_id, text, kind in zip(*(c.to_pylist() for c in batch.columns)):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import licenses, lm_interpolation, preference, quality
+from goldleaf.llm import jaccard_join, licenses, lm_interpolation, preference, quality
 from goldleaf.llm.text import table
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
@@ -43,6 +43,10 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+def op5_adaptive_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op9_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
 
@@ -113,6 +117,7 @@ FROM cut LEFT JOIN p USING (pair_id) LEFT JOIN chosen_c c USING (pair_id) LEFT J
 QUERIES = {
     "op1_interpolated_lm": op1_interpolated_lm,
     "op4_rule_cascade": op4_rule_cascade,
+    "op5_adaptive_jaccard": op5_adaptive_jaccard,
     "op9_license_digest": op9_license_digest,
     "op10_preference_format": op10_preference_format,
 }
