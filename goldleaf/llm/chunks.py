@@ -129,7 +129,7 @@ class _Open:
         self.ids.append(doc_id)
         self.lens.append(n := sum(map(len, got)))
         self.parts += got
-        self.digests.append(state)
+        self.digests.append(state.digest() if state else None)
         self.n += n
 
     def row(self, chunk: int, role: int) -> dict:
@@ -145,7 +145,7 @@ def write_chunks(docs: DataFrame, id_col: str, text_col: str, name: str, lower:
     """Write the texts as chunks of whole documents to the shared folder and return them.
 
     ``role`` (a small integer) keeps documents of different roles in different chunks. ``digest(state, words)``
-    folds a document's words into bytes. ``words`` holds the vocabulary itself unless an end token is asked. Ids
+    folds lists of a document's words into a hashlib object (from None). ``words`` holds the vocabulary itself unless an end token is asked. Ids
     are kept as text (NULL stays NULL).
     """
     spark = docs.sparkSession

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import jaccard_join, licenses, lm_interpolation, preference, quality
+from goldleaf.llm import jaccard_join, licenses, lm_interpolation, preference, quality, substring_dedup
 from goldleaf.llm.text import table
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
@@ -17,6 +17,10 @@ def op1_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op2_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     judged = quality.cascade(table(spark, sf_dir, "documents"), features=base)
@@ -116,6 +120,7 @@ FROM cut LEFT JOIN p USING (pair_id) LEFT JOIN chosen_c c USING (pair_id) LEFT J
 
 QUERIES = {
     "op1_interpolated_lm": op1_interpolated_lm,
+    "op2_automaton_dedup": op2_automaton_dedup,
     "op4_rule_cascade": op4_rule_cascade,
     "op5_adaptive_jaccard": op5_adaptive_jaccard,
     "op9_license_digest": op9_license_digest,
