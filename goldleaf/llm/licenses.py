@@ -99,8 +99,10 @@ def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     small = known.select("digest", "license_id").limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     table = F.broadcast(known) if small else known
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    units = rows.select("doc_id", digest(F.col("text")).alias("whole"), F.xxhash64("text").alias("text_key"),
-                        F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    # The whole text's columns come first: beside an explode they would be computed for every line.
+    wholes = rows.select("doc_id", digest(F.col("text")).alias("whole"), F.xxhash64("text").alias("text_key"),
+                         F.split("text", "\n").alias("lines"))
+    units = wholes.select("doc_id", "whole", "text_key", F.posexplode("lines").alias("at", "line"))
     lines = units.select("doc_id", "whole", "text_key", "at", digest(F.col("line")).alias("digest"))
     found = lines.join(table.select("digest", F.col("license_id").alias("notice_id")), "digest", "left")
     per_text = found.groupBy("doc_id", "whole", "text_key").agg(
