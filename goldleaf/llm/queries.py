@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import jaccard_join, licenses, lm_interpolation, preference, quality, substring_dedup
+from goldleaf.llm import decontaminate, jaccard_join, licenses, lm_interpolation, preference, quality, substring_dedup
 from goldleaf.llm.text import table
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
@@ -21,6 +21,33 @@ def op2_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op3_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_BARE = f"""regexp_extract_all(translate(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '{decontaminate.PUNCTUATION.replace("'", "''")}', ''), '[^\\x20\\x09-\\x0D]+')"""
+OP3_SQL = f"""
+WITH i0 AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, {_BARE} AS w FROM benchmark WHERE item_id IS NOT NULL),
+it AS (SELECT row_number() OVER () AS iid, item_id, w, len(w) AS length, least(len(w), 5) AS k FROM i0 WHERE len(w) > 0),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {_BARE} AS w FROM documents),
+ish AS (SELECT iid, length, k, j, array_to_string(w[j + 1:j + k], ' ') AS s FROM it, unnest(range(0, length - k + 1)) AS r(j)),
+dsh AS (SELECT rid, kk.k, p, array_to_string(w[p + 1:p + kk.k], ' ') AS s, len(w) AS n
+  FROM d, (SELECT DISTINCT k FROM it) kk, unnest(range(0, len(w) - kk.k + 1)) AS r(p)),
+win AS (SELECT DISTINCT rid, iid, length, dsh.k, greatest(0, least(p - j, n - length)) AS start, n FROM dsh JOIN ish USING (s, k)),
+wsh AS (SELECT win.rid, iid, start, least(length, win.n) AS m, length, win.k, s, count(*) AS c FROM win JOIN dsh ON dsh.rid = win.rid
+  AND dsh.k = win.k AND p >= start AND p + win.k <= start + least(length, win.n) GROUP BY ALL),
+ic AS (SELECT iid, s, count(*) AS c FROM ish GROUP BY ALL),
+sh AS (SELECT rid, iid, start, m, length, k, sum(least(wsh.c, ic.c)) AS shared FROM wsh JOIN ic USING (iid, s) GROUP BY ALL),
+ok AS (SELECT DISTINCT rid, item_id, start, start + m AS e FROM sh JOIN it USING (iid)
+  WHERE 100 * shared >= 80 * ((m - sh.k + 1) + (sh.length - sh.k + 1) - shared)),
+g AS (SELECT rid, array_to_string(list_sort(list(DISTINCT item_id)), ',') AS item_ids,
+  string_agg(item_id || ':' || start || ':' || e, ',' ORDER BY item_id, start, e) AS spans FROM ok GROUP BY rid)
+SELECT doc_id, item_ids IS NOT NULL AS contaminated, coalesce(item_ids, '') AS item_ids, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (rid)
+"""
+
+
 def op4_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     judged = quality.cascade(table(spark, sf_dir, "documents"), features=base)
@@ -121,12 +148,14 @@ FROM cut LEFT JOIN p USING (pair_id) LEFT JOIN chosen_c c USING (pair_id) LEFT J
 QUERIES = {
     "op1_interpolated_lm": op1_interpolated_lm,
     "op2_automaton_dedup": op2_automaton_dedup,
+    "op3_simhash_decontamination": op3_simhash_decontamination,
     "op4_rule_cascade": op4_rule_cascade,
     "op5_adaptive_jaccard": op5_adaptive_jaccard,
     "op9_license_digest": op9_license_digest,
     "op10_preference_format": op10_preference_format,
 }
 ORACLE = {
+    "op3_simhash_decontamination": OP3_SQL,
     "op4_rule_cascade": OP4_SQL,
     "op9_license_digest": OP9_SQL,
     "op10_preference_format": OP10_SQL,
