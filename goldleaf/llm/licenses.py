@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldleaf.llm.text import LOWER, UPPER
-
 #: Spellings treated as equal (left becomes right), after lower-casing, whole words only.
 EQUIVALENT = (
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sublicence", "sublicense"),
@@ -54,26 +52,46 @@ KNOWN = (
 #: Most rows of the known table that may be sent to every executor; a larger table is joined by a shuffle.
 BROADCAST_ROWS = 100_000
 _COPYRIGHT = "^[^a-z0-9]*(copyright|\\(c\\)|©|all rights reserved)"
+_OWNER_MARKS = ("copyright", "(c)", "©", "all rights reserved")
+#: ASCII other than letters and digits, but for the line break, and common typographic marks.
+_MARKS = "\\x00-\\x09\\x0B-\\x2F\\x3A-\\x60\\x7B-\\x7F‘’“”–—©\u00a0\ufeff"
+_VARIANT = " (" + "|".join(a for a, _ in EQUIVALENT) + ") "
 
 
-def canonical(text: Column) -> Column:
-    """Lower case, without copyright lines, ASCII punctuation as spaces, one space between words, one spelling per word.
+def canonical_lines(text: Column) -> Column:
+    """The canonical text with its line breaks.
 
-    Copyright lines are those that begin, but for punctuation, with "copyright", "(c)", the sign, or "all rights reserved".
+    Lower case; no copyright lines (those that begin, but for punctuation, with "copyright", "(c)", the sign, or "all
+    rights reserved"); punctuation as spaces, one between words and none around line breaks; blank lines left out;
+    one spelling per word.
     """
-    low = F.translate(text, UPPER + "‘’“”–— ﻿", LOWER + "''\"\"-- ")
-    lines = F.when(low.rlike("copyright|\\(c\\)|©|all rights reserved"),
-                   F.array_join(F.filter(F.split(low, "\n"), lambda x: ~x.rlike(_COPYRIGHT)), "\n")).otherwise(low)
-    flat = F.concat(F.lit(" "), F.regexp_replace(lines, "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", "  "), F.lit(" "))
+    low = F.lower(text)
+    marked = F.lit(False)
+    for m in _OWNER_MARKS:
+        marked = marked | F.contains(low, F.lit(m))
+    kept = F.when(marked, F.array_join(F.filter(F.split(low, "\n"), lambda x: ~x.rlike(_COPYRIGHT)), "\n")).otherwise(low)
+    flat = F.regexp_replace(F.regexp_replace(kept, f"[{_MARKS}]*\n[{_MARKS}\n]*", "\n"), f"[{_MARKS}]+", " ")
+    padded = F.concat(F.lit(" "), F.replace(F.replace(F.btrim(flat, F.lit(" \n")), F.lit("\n"), F.lit(" \n ")), F.lit(" "), F.lit("  ")), F.lit(" "))
+    spelled = padded
     for a, b in EQUIVALENT:
-        flat = F.replace(flat, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.btrim(F.regexp_replace(flat, " +", " "))
+        spelled = F.replace(spelled, F.lit(f" {a} "), F.lit(f" {b} "))
+    trimmed = F.btrim(flat, F.lit(" \n"))
+    around = F.concat(F.lit(" "), F.replace(trimmed, F.lit("\n"), F.lit(" \n ")), F.lit(" "))
+    return F.when(around.rlike(_VARIANT), F.btrim(F.regexp_replace(F.regexp_replace(spelled, " +", " "), " ?\n ?", "\n"))).otherwise(trimmed)
+
+
+def canonical(text: Column) -> Column:
+    """Lower case, without copyright lines, one space for punctuation and breaks, one spelling per word."""
+    return F.replace(canonical_lines(text), F.lit("\n"), F.lit(" "))
+
+
+def _digest(c: Column) -> Column:
+    return F.when(c != "", F.sha2(c, 256))
 
 
 def digest(text: Column) -> Column:
     """SHA-256 of the canonical text; NULL where nothing is left of it."""
-    c = canonical(text)
-    return F.when(c != "", F.sha2(c, 256))
+    return _digest(canonical(text))
 
 
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
@@ -100,10 +118,11 @@ def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     table = F.broadcast(known) if small else known
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # The whole text's columns come first: beside an explode they would be computed for every line.
-    wholes = rows.select("doc_id", digest(F.col("text")).alias("whole"), F.xxhash64("text").alias("text_key"),
-                         F.split("text", "\n").alias("lines"))
-    units = wholes.select("doc_id", "whole", "text_key", F.posexplode("lines").alias("at", "line"))
-    lines = units.select("doc_id", "whole", "text_key", "at", digest(F.col("line")).alias("digest"))
+    flat = rows.select("doc_id", F.xxhash64("text").alias("text_key"), canonical_lines(F.col("text")).alias("flat"))
+    wholes = flat.select("doc_id", _digest(F.replace("flat", F.lit("\n"), F.lit(" "))).alias("whole"), "text_key",
+                         F.split("flat", "\n").alias("lines"))
+    units = wholes.select("doc_id", "whole", "text_key", F.posexplode_outer("lines").alias("at", "line"))
+    lines = units.select("doc_id", "whole", "text_key", "at", _digest(F.col("line")).alias("digest"))
     found = lines.join(table.select("digest", F.col("license_id").alias("notice_id")), "digest", "left")
     per_text = found.groupBy("doc_id", "whole", "text_key").agg(
         F.count_if(F.col("at") == 0).alias("copies"), F.sort_array(F.collect_set("notice_id")).alias("notice_ids"),

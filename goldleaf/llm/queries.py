@@ -83,10 +83,10 @@ def op9_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _canonical_sql(x: str) -> str:
-    low = f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ‘’“”–— ﻿', 'abcdefghijklmnopqrstuvwxyz''''\"\"-- ')"
-    lines = (f"array_to_string(list_filter(string_split({low}, chr(10)), "
+    lines = (f"array_to_string(list_filter(string_split(lower({x}), chr(10)), "
              "lambda l: NOT regexp_matches(l, '^[^a-z0-9]*(copyright|\\(c\\)|©|all rights reserved)')), chr(10))")
-    flat = f"' ' || regexp_replace({lines}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', '  ', 'g') || ' '"
+    marks = f"[{licenses._MARKS}\\x0A]+"
+    flat = f"' ' || regexp_replace({lines}, '{marks}', '  ', 'g') || ' '"
     for a, b in licenses.EQUIVALENT:
         flat = f"replace({flat}, ' {a} ', ' {b} ')"
     return f"trim(regexp_replace({flat}, ' +', ' ', 'g'), ' ')"
