@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import decontaminate, jaccard_join, licenses, lm_interpolation, preference, quality, substring_dedup
+from goldleaf.llm import (arc, decontaminate, jaccard_join, licenses, lm_interpolation, pieces, pii, preference, quality,
+                          substring_dedup)
 from goldleaf.llm.text import table
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
@@ -78,10 +79,37 @@ def op5_adaptive_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc.archive_pages(table(spark, sf_dir, "pages")).drop("url")
+
+
+def op7_bootstrap_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [pii.count_of(F.col("base"), i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS[:4])]
+    return found.select("doc_id", *counts, F.sha2(pii.shown(F.col("base")), 256).alias("base_sha256"), pii.shown(F.col("spans")).alias("spans"),
+                        F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_")).drop("_")
+
+
+def op8_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 def op9_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
 
 
+OP6_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (d)
+"""
+
+
 def _canonical_sql(x: str) -> str:
     lines = (f"array_to_string(list_filter(string_split(lower({x}), chr(10)), "
              "lambda l: NOT regexp_matches(l, '^[^a-z0-9]*(copyright|\\(c\\)|©|all rights reserved)')), chr(10))")
@@ -151,12 +179,16 @@ QUERIES = {
     "op3_simhash_decontamination": op3_simhash_decontamination,
     "op4_rule_cascade": op4_rule_cascade,
     "op5_adaptive_jaccard": op5_adaptive_jaccard,
+    "op6_arc_to_warc": op6_arc_to_warc,
+    "op7_bootstrap_pii": op7_bootstrap_pii,
+    "op8_piece_sampling": op8_piece_sampling,
     "op9_license_digest": op9_license_digest,
     "op10_preference_format": op10_preference_format,
 }
 ORACLE = {
     "op3_simhash_decontamination": OP3_SQL,
     "op4_rule_cascade": OP4_SQL,
+    "op6_arc_to_warc": OP6_SQL,
     "op9_license_digest": OP9_SQL,
     "op10_preference_format": OP10_SQL,
 }
