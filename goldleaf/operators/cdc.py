@@ -12,6 +12,8 @@ Two NULL rules:
 * ``ignore_null_updates=True`` - per key *and per column* the latest non-NULL value
   wins; a NULL never replaces a stored value.
 
+A NULL sequence comes before every other: such a change counts only where its key has no other.
+
 The *state* form keeps the sequence that produced each value (``__seq`` or
 ``__seq_<col>``), so two states, or a state and a batch of changes, merge exactly
 (``scd1_merge``); this is what the streaming upsert uses.
@@ -55,12 +57,12 @@ def reduce_state(state: DataFrame, keys: Sequence[str], ignore_null_updates: boo
     if ignore_null_updates:
         aggs = []
         for v in values:
-            s = F.when(F.col(v).isNotNull(), F.col(f"__seq_{v}"))
+            s = F.when(F.col(v).isNotNull(), F.struct(F.col(f"__seq_{v}").alias("q")))  # in a struct, NULL is the least
             aggs.append(F.max_by(F.col(v), s).alias(v))
-            aggs.append(F.max(s).alias(f"__seq_{v}"))
+            aggs.append(F.max(s)["q"].alias(f"__seq_{v}"))
         return state.groupBy(*keys).agg(*aggs)
     row = F.struct(*[F.col(v) for v in values])
-    out = state.groupBy(*keys).agg(F.max_by(row, F.col(ROW_SEQ)).alias("__row"), F.max(ROW_SEQ).alias(ROW_SEQ))
+    out = state.groupBy(*keys).agg(F.max_by(row, F.struct(ROW_SEQ)).alias("__row"), F.max(ROW_SEQ).alias(ROW_SEQ))
     return out.select(*keys, *[F.col(f"__row.{v}").alias(v) for v in values], ROW_SEQ)
 
 

@@ -103,14 +103,10 @@ def _hot(hot: DataFrame, keys, order, frames: dict[str, Frame], totals, total_ro
     pre = max([0] + [fr.before for fr in frames.values()])
     post = max([0] + [fr.after for fr in frames.values()])
     b = F.floor(F.col("__seq") / F.lit(bucket_rows)).cast("long")
-    r = F.col("__seq") - b * F.lit(bucket_rows)
-    copies = F.array(
-        F.struct(b.alias("__b"), F.lit(False).alias("__halo")),
-        F.when(r >= F.lit(bucket_rows - pre), F.struct((b + 1).alias("__b"), F.lit(True).alias("__halo"))),
-        F.when(r < F.lit(post), F.struct((b - 1).alias("__b"), F.lit(True).alias("__halo"))),
-    )
-    spread = seq.select("*", F.explode(F.filter(copies, lambda x: x.isNotNull())).alias("__c")).select(
-        "*", F.col("__c.__b").alias("__b"), F.col("__c.__halo").alias("__halo")).drop("__c")
+    # A row is needed by the frames of rows up to ``post`` before and ``pre`` after it, however many buckets these span.
+    first = F.floor((F.col("__seq") - F.lit(post)) / F.lit(bucket_rows)).cast("long")
+    last = F.floor((F.col("__seq") + F.lit(pre)) / F.lit(bucket_rows)).cast("long")
+    spread = seq.select("*", F.explode(F.sequence(first, last)).alias("__b")).withColumn("__halo", F.col("__b") != b)
     cols = [fr.fn(Window.partitionBy(*keys, "__b").orderBy("__seq").rowsBetween(-fr.before, fr.after)).alias(n)
             for n, fr in frames.items()]
     out = spread.select("*", *cols).where(~F.col("__halo")).drop("__b", "__halo", "__seq")
@@ -122,20 +118,22 @@ def _hot(hot: DataFrame, keys, order, frames: dict[str, Frame], totals, total_ro
 
 def over_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
               frames: dict[str, Frame], totals: dict[str, tuple[Sequence[str], Column]] | None = None,
-              hot_rows: int | None = None, bucket_rows: int | None = None) -> DataFrame:
+              hot_rows: int | None = None, bucket_rows: int | None = None,
+              max_hot: int = DEFAULT_MAX_HOT) -> DataFrame:
     """Add one column per ``frames`` entry (a bounded row frame per key ordered by ``order``)
     and per ``totals`` entry (an aggregate over the whole (key + extra keys) group).
 
     ``order`` must end in a unique tie-breaker for the result to be deterministic.
     ``hot_rows`` (default: session conf ``goldleaf.window.hotKeyRows``, 2,000,000) is the
-    row count above which a key is split across tasks; ``0`` disables the check.
+    row count above which a key is split across tasks; ``0`` disables the check. With more than
+    ``max_hot`` such keys all rows take the split path. The result is the same on every path.
     """
     totals = totals or {}
     hot_rows = _conf_int(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS) if hot_rows is None else hot_rows
     bucket_rows = _conf_int(df, BUCKET_ROWS_CONF, DEFAULT_BUCKET_ROWS) if bucket_rows is None else bucket_rows
     if hot_rows <= 0 or df.isStreaming:
         return _plain(df, keys, order, frames, totals)
-    heavy = hot_keys(df, keys, hot_rows)
+    heavy = hot_keys(df, keys, hot_rows, max_hot)
     if heavy == []:
         return _plain(df, keys, order, frames, totals)
     if heavy is None:  # skew everywhere: sequence every key

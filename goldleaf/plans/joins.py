@@ -5,24 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when a bounded count proves it is at most this many rows.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early);
-    beyond the bound the frame is returned unchanged and Spark plans a shuffle join
-    (or AQE converts it at run time if the actual size turns out small).
-    Streaming frames are returned unchanged.
-    """
-    if df.isStreaming:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def one_row(df: DataFrame) -> DataFrame:
     """Broadcast a global (ungrouped) aggregate: it has exactly one row by construction."""
     return F.broadcast(df)

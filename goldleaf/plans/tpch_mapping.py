@@ -6,11 +6,10 @@ by a star-schema table (SURVEY section 7.2):
 * team            <- ``nation``
 * player          <- ``customer`` (namesakes: keys 10k and 10k+1 share a name;
                      NULL first names, unknown teams and an unmapped position code)
-* fixture         <- ``orders`` of the current season (calendar year 2001), the
-                     gameweek is the month, teams 1..24 (team 0 never plays),
-                     difficulty from key residues
+* fixture         <- ``orders``, the gameweek counts months since 1995, teams 1..24
+                     (team 0 never plays), difficulty from key residues
 * performance     <- ``lineitem`` summed per order (left join: orders without lines
-                     keep NULL stats), played = ordered before 2001-05-01
+                     keep NULL stats), the current season is played from 2001-01-01 to 2001-05-01
 * historical rows <- orders before 2001 with the customer's name, one season per year
 
 Each expression is SQL text that Spark SQL and DuckDB evaluate identically, so the
@@ -28,7 +27,6 @@ from goldleaf.operators import cdc, quality, silver
 # Fixed values of the mapping.
 CURRENT_SEASON = "2001-02"
 SEASON_START = "2001-01-01 00:00:00"
-SEASON_END = "2002-01-01 00:00:00"
 PLAYED_BEFORE = "2001-05-01 00:00:00"
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -120,9 +118,10 @@ PLAYER = [
     ("web_name", "c_name"),
 ]
 
+GAMEWEEK = "CAST((year(o_orderdate) - 1995) * 12 + month(o_orderdate) AS INT)"
 FIXTURE = [
     ("fixture_id", "o_orderkey"),
-    ("gameweek", "CAST(month(o_orderdate) AS INT)"),
+    ("gameweek", GAMEWEEK),
     ("kickoff_time", "o_orderdate"),
     ("home_team_id", "1 + o_custkey % 24"),
     ("away_team_id", "CASE WHEN o_orderkey % 41 = 0 THEN CAST(99 AS BIGINT) ELSE 1 + o_orderkey % 24 END"),
@@ -134,12 +133,6 @@ FIXTURE = [
 ]
 
 
-def fixture_filter(d: str) -> str:
-    # The current season. Fixture teams are 1..24, so team 0 never plays and its players
-    # take the no-upcoming-fixture defaults at every scale.
-    return f"o_orderdate >= {ts(SEASON_START, d)} AND o_orderdate < {ts(SEASON_END, d)}"
-
-
 WAS_HOME = "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderkey % 2 = 0 END"
 MINUTES = ("CASE WHEN o_orderkey % 7 = 0 THEN 0 WHEN s.l_orderkey IS NULL THEN 90 "
            "ELSE s.minutes_raw % 125 END")
@@ -151,7 +144,7 @@ PERFORMANCE = (
     [("player_id", "o_custkey"), ("fixture_id", "o_orderkey"), ("opponent_team_id", "o_orderkey % 25"),
      ("total_points", "s.total_points"), ("was_home", WAS_HOME), ("kickoff_time", "s.last_ship"),
      ("team_h_score", "CAST(o_orderkey % 4 AS INT)"), ("team_a_score", "CAST(o_custkey % 3 AS INT)"),
-     ("gameweek", "CAST(month(o_orderdate) AS INT)"), ("minutes", MINUTES)]
+     ("gameweek", GAMEWEEK), ("minutes", MINUTES)]
     + [(c, f"s.{c}") for c in _PASS_STATS]
     + [(c, f"s.{c}") for c in ["influence", "creativity", "threat", "ict_index"]]
     + [("starts", f"CASE WHEN ({MINUTES}) > 0 THEN 1 ELSE 0 END")]
@@ -172,7 +165,7 @@ def performance_filter(d: str) -> str:
 PERFORMANCE_CHECKS = [
     ("player_id", "CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_custkey END"),
     ("fixture_id", "o_orderkey"),
-    ("gameweek", "CAST((year(o_orderdate) - 1995) * 12 + month(o_orderdate) AS INT)"),
+    ("gameweek", GAMEWEEK),
     ("minutes", "CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE s.minutes_raw END"),
 ]
 
@@ -232,7 +225,7 @@ def silver_player(spark: SparkSession, d: str) -> DataFrame:
 
 
 def silver_fixture(spark: SparkSession, d: str) -> DataFrame:
-    return load(spark, d, "orders").where(F.expr(fixture_filter("spark"))).selectExpr(*_sel(FIXTURE))
+    return load(spark, d, "orders").selectExpr(*_sel(FIXTURE))
 
 
 def _orders_with_stats(spark: SparkSession, d: str, where: str, stats: DataFrame | None = None) -> DataFrame:
@@ -299,7 +292,7 @@ def oracle_ctes() -> dict[str, str]:
         "stats": f"SELECT l_orderkey, {_cols(STATS)} FROM lineitem GROUP BY l_orderkey",
         "s_team": f"SELECT {_cols(TEAM)} FROM nation",
         "s_player": f"SELECT {_cols(PLAYER)} FROM customer",
-        "s_fixture": f"SELECT {_cols(FIXTURE)} FROM orders WHERE {fixture_filter(d)}",
+        "s_fixture": f"SELECT {_cols(FIXTURE)} FROM orders",
         "s_perf": (f"SELECT * FROM (SELECT {_cols(PERFORMANCE)} FROM orders o LEFT JOIN stats s "
                    f"ON s.l_orderkey = o.o_orderkey WHERE {performance_filter(d)}) "
                    "WHERE player_id IS NOT NULL AND fixture_id IS NOT NULL "

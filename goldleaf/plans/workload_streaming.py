@@ -15,7 +15,7 @@ from goldleaf.sources.landing import write_json
 from goldleaf.streaming.sinks import append_stream, scd1_compact, scd1_stream, scd1_target
 
 # Arrival order of the landing batches: newest days first, so later runs carry older sequences.
-ARRIVALS = [("day >= 20", 0), ("day >= 10 AND day < 20", 1), ("day < 10", 2)]
+ARRIVALS = [("day >= 20", 0), ("day >= 10 AND day < 20", 1), ("day < 10 OR day IS NULL", 2)]
 
 
 def _land_arrival(df, root: str, where: str, n: int) -> None:
@@ -41,6 +41,28 @@ def q_stream_bronze_append(spark, d):
     return spark.read.parquet(out).select(*ev.columns)
 
 
+@register("stream_schema_evolution", (
+    "SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS segment FROM customer"))
+def q_stream_schema_evolution(spark, d):
+    """Three files in two runs, a new field from the second file on; the schema is widened before each run,
+    older rows are NULL in the new column, a restart adds nothing."""
+    root = scratch_path(spark, "evolving-stream")
+    c = m.load(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    landed, out = f"{root}/landing", f"{root}/bronze"
+
+    def run() -> int:
+        schema = files.evolve_schema(spark, landed, f"{root}/_schemas")
+        return append_stream(files.stream_snapshots(spark, landed, schema), out, f"{root}/_checkpoint")
+
+    write_json(c.where("id % 3 = 0").select("id", "name"), f"{landed}/pull=1")
+    first = run()
+    write_json(c.where("id % 3 = 1"), f"{landed}/pull=2")
+    write_json(c.where("id % 3 = 2"), f"{landed}/pull=3")
+    if not first or not run() or run():
+        raise RuntimeError("a run missed new files or read old ones again")
+    return spark.read.schema(files.evolve_schema(spark, landed, f"{root}/_schemas")).parquet(out).select("id", "name", "segment")
+
+
 @register("scd1_stream_upsert", ORACLE["scd1_ignore_nulls"])
 def q_scd1_stream_upsert(spark, d):
     """Landing -> bronze append stream -> stream read of the bronze table

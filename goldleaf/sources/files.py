@@ -84,6 +84,54 @@ def stream_snapshots(spark: SparkSession, path: str, schema: T.StructType, fmt:
     return _reader(spark, fmt, multiline, opts, stream=True).schema(schema).load(path)
 
 
+def evolve_schema(spark: SparkSession, path: str, schema_location: str, fmt: str = "json",
+                  multiline: bool = False, options: dict | None = None) -> T.StructType:
+    """The persisted schema widened by the fields of the files now present, saved under a new version.
+
+    Run it before a stream starts: new fields become columns at the end, known ones keep their type (values that do not
+    fit are for ``rescue``). Rows read earlier have NULL in later columns when the table is read with this schema. Versions are folders ``v=<n>``, so an
+    interrupted save leaves the last whole one in force.
+    """
+    try:
+        found = spark.read.text(schema_location).orderBy(F.desc("v")).first()
+    except AnalysisException:
+        found = None
+    known = T.StructType.fromJson(json.loads(found["value"])) if found else T.StructType([])
+    now = infer_schema(spark, path, fmt, multiline, {"recursiveFileLookup": True, **(options or {})})
+    merged = T.StructType([*known.fields, *[f for f in now.fields if f.name not in known.names]])
+    if merged != known:
+        version = (found["v"] if found else 0) + 1
+        spark.createDataFrame([(merged.json(),)], "value string").coalesce(1).write.mode("overwrite").text(
+            f"{schema_location.rstrip('/')}/v={version}")
+    return merged
+
+
+CORRUPT = "_corrupt_record"
+
+
+def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """CSV files with headers, their columns matched by name, every value as text, with lineage.
+
+    Spark takes one header for all files it reads at once and fills the others by position. So every folder (a season) is read with its own
+    header, files inside a folder must agree with it (else the read fails), and the folders are united by
+    name, absent columns NULL. A line with more or fewer values than the header is kept whole in ``_corrupt_record``. With a ``schema`` the
+    result is projected onto it by ``rescue_columns``: nothing is lost, values and columns that do not fit are kept
+    as JSON. The driver lists folders, not files: one per season.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(path)
+    folders = sorted(r[0] for r in listed.select(F.regexp_replace("path", "/[^/]*$", "")).distinct().collect())
+    united = None
+    for folder in folders:
+        names = spark.read.option("header", True).csv(folder).columns
+        fields = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+        one = with_lineage(spark.read.option("header", True).option("enforceSchema", False)
+                           .option("columnNameOfCorruptRecord", CORRUPT).schema(fields).csv(folder))
+        united = one if united is None else united.unionByName(one, allowMissingColumns=True)
+    if united is None:
+        raise FileNotFoundError(f"no CSV files under {path}")
+    return united if schema is None else rescue_columns(united, schema)
+
+
 def with_lineage(df: DataFrame) -> DataFrame:
     """Add the ingestion instant (one value per micro-batch / query) and the source file path."""
     return df.withColumn(LINEAGE_TS, F.current_timestamp()).withColumn(LINEAGE_FILE, F.col("_metadata.file_path"))
@@ -109,7 +157,8 @@ def rescue(df: DataFrame, raw_col: str, schema: T.StructType, out: str = "_rescu
 
     Every schema field is read from the text and cast with ``try_cast``; fields that are not
     in the schema, and values whose cast fails, are kept as a JSON object in ``out``
-    (NULL when nothing was rescued). The schema itself never changes.
+    (NULL when nothing was rescued). Text that is not a JSON object goes to ``out`` as it is.
+    The schema itself never changes.
     """
     m = F.from_json(F.col(raw_col), "map<string,string>")
     typed = [F.expr(f"try_cast(__m['{f.name}'] AS {_sql_type(f.dataType)})").alias(f.name) for f in schema.fields]
@@ -117,13 +166,12 @@ def rescue(df: DataFrame, raw_col: str, schema: T.StructType, out: str = "_rescu
         f"WHEN '{f.name}' THEN v IS NOT NULL AND try_cast(v AS {_sql_type(f.dataType)}) IS NULL"
         for f in schema.fields)
     leftover = F.expr(f"map_filter(__m, (k, v) -> CASE k {cases} ELSE true END)")
-    rescued = F.when(F.size(leftover) > 0, F.to_json(leftover))
+    unread = F.col(raw_col).isNotNull() & F.col("__m").isNull()
+    rescued = F.when(unread, F.col(raw_col)).when(F.size(leftover) > 0, F.to_json(leftover))
     keep = [c for c in df.columns if c != raw_col]
     return df.withColumn("__m", m).select(*keep, *typed, rescued.alias(out))
 
 
-
-
 def rescue_columns(df: DataFrame, schema: T.StructType, out: str = "_rescued_data",
                    keep: tuple[str, ...] = (LINEAGE_TS, LINEAGE_FILE)) -> DataFrame:
     """Rescue for flat sources (CSV with a header): project ``df`` onto ``schema``.

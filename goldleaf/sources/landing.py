@@ -53,11 +53,6 @@ def attach_id(ids: DataFrame, responses: DataFrame, key: str, out_key: str = "el
     return joined.select(F.col(key).alias(out_key), "data.*")
 
 
-def to_json_lines(df: DataFrame) -> DataFrame:
-    """One JSON text per row (``value``), the encoding of a landing payload."""
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
-
-
 def stamped_name(prefix: str, ts: Column) -> Column:
     """``<prefix>_<yyyy-MM-ddTHHmmssZ>.json`` landing file name for a pull at ``ts``."""
     return F.concat(F.lit(f"{prefix}_"), snapshot_stamp(ts), F.lit(".json"))

@@ -9,15 +9,32 @@ Progress and operator state live in the checkpoint, so a restart after a lost ex
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from goldleaf.operators import cdc
 
 BATCH_COL = "_batch_id"
+_KEPT_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
+
+
+def _drained(start: Callable[[], StreamingQuery], spark: SparkSession) -> int:
+    """Run an availableNow query to its end; the number of its micro-batches that carried data.
+
+    Progress reports are kept for up to a million batches of the run (Spark keeps 100 unless told).
+    """
+    before = spark.conf.get(_KEPT_PROGRESS)
+    spark.conf.set(_KEPT_PROGRESS, "1000000")
+    try:
+        q = start()
+    finally:
+        spark.conf.set(_KEPT_PROGRESS, before)
+    q.awaitTermination()
+    return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
@@ -29,9 +46,7 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet
     w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.trigger(availableNow=True).start(path)
-    q.awaitTermination()
-    return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
+    return _drained(lambda: w.trigger(availableNow=True).start(path), df.sparkSession)
 
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> DataFrame:
@@ -86,10 +101,9 @@ def scd1_stream(changes: DataFrame, keys: Sequence[str], sequence_by, path: str,
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/log/{BATCH_COL}={batch_id}")
 
-    q = (state.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(write).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
+    w = (state.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(write).trigger(availableNow=True))
+    return _drained(w.start, changes.sparkSession)
 
 
 def _partition_values(spark: SparkSession, path: str, name: str) -> list[int]:

@@ -115,3 +115,10 @@ def test_compaction_keeps_the_table_and_prunes_old_batches(spark, workdir):
     assert scd1_compact(spark, path, ["player_id"]) is not None
     final = scd1_target(spark, path, ["player_id"])
     assert all("through=" in f for f in final.inputFiles())  # only the newest snapshot is read
+
+
+def test_null_sequence_comes_first(spark):
+    rows = [(1, 5.0, None), (1, 6.0, t(1)), (2, 7.0, None)]
+    df = spark.createDataFrame(rows, "player_id long, price double, seq timestamp")
+    for ignore in (False, True):
+        assert {r.player_id: r.price for r in cdc.scd1(df, ["player_id"], "seq", ignore).collect()} == {1: 6.0, 2: 7.0}

@@ -49,11 +49,40 @@ def test_infer_once_persists_schema(spark, workdir):
     _write_text(f"{d}/a", "s1.json", '{"id": 1, "name": "x"}\n')
     first = files.infer_once(spark, f"{d}/a", f"{workdir}/_schema")
     _write_text(f"{d}/a", "s2.json", '{"id": 2, "name": "y", "extra": 1.5}\n')
-    again = files.infer_once(spark, f"{d}/a", f"{workdir}/_schema")
-    assert again == first and "extra" not in again.names
+    assert files.infer_once(spark, f"{d}/a", f"{workdir}/_schema") == first
     assert "extra" in files.infer_schema(spark, f"{d}/a").names
 
 
+def test_evolve_schema_widens_and_keeps_types(spark, workdir):
+    d = _local(workdir)
+    _write_text(f"{d}/a", "s1.json", '{"id": 1, "name": "x"}\n')
+    first = files.evolve_schema(spark, f"{d}/a", f"{workdir}/_schema")
+    _write_text(f"{d}/a", "s2.json", '{"id": "2x", "name": "y", "extra": 1.5}\n')
+    again = files.evolve_schema(spark, f"{d}/a", f"{workdir}/_schema")
+    assert again.names == [*first.names, "extra"] and again["id"].dataType == first["id"].dataType
+    assert files.evolve_schema(spark, f"{d}/a", f"{workdir}/_schema") == again
+
+
+def test_csv_by_name_loses_nothing(spark, workdir):
+    d = _local(workdir)
+    _write_text(f"{d}/2019-20", "a.csv", "name,round,total_points,minutes\nSalah,1,12,90\nbroken,2\n")
+    _write_text(f"{d}/2020-21", "a.csv", "name,position,team,round,total_points,minutes\nAlisson,GK,Liv,3,6,many\n")
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("round", T.IntegerType()),
+                           T.StructField("total_points", T.IntegerType()), T.StructField("minutes", T.IntegerType())])
+    rows = {r["name"]: r for r in files.read_csv_by_name(spark, d, schema).collect()}
+    assert tuple(rows["Salah"][:4]) == ("Salah", 1, 12, 90) and rows["Salah"]._rescued_data is None
+    assert tuple(rows["Alisson"][:4]) == ("Alisson", 3, 6, None)
+    assert json.loads(rows["Alisson"]._rescued_data) == {"minutes": "many", "position": "GK", "team": "Liv"}
+    assert json.loads(rows["broken"]._rescued_data) == {"_corrupt_record": "broken,2"}
+
+
+def test_malformed_json_text_is_rescued(spark):
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    raw = spark.createDataFrame([('{"id": 1',), ("[3]",), (None,), ('{"id": 2}',)], "raw string")
+    assert sorted(((r.id, r._rescued_data) for r in files.rescue(raw, "raw", schema).collect()), key=str) == sorted(
+        [(None, '{"id": 1'), (None, "[3]"), (None, None), (2, None)], key=str)
+
+
 def test_evolve_union_new_field_older_rows_null(spark):
     old = spark.createDataFrame([(1, "a")], "id long, name string")
     new = spark.createDataFrame([(2, "b", 3.5)], "id long, name string, price double")

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from goldleaf.operators.windows import Frame, over_rows
+from goldleaf.operators.windows import Frame, hot_keys, over_rows
 
 
 def _data(spark):
@@ -41,15 +41,12 @@ def test_split_equals_plain(spark, hot_rows, bucket):
     assert split.count() == 900
 
 
-def test_all_keys_hot(spark):
-    df = _data(spark)
+@pytest.mark.parametrize("bucket", [1, 2, 3, 4, 5, 11])
+@pytest.mark.parametrize("hot_rows,max_hot", [(5, 1), (50, 10)])
+def test_buckets_smaller_than_the_frame_and_all_keys_split(spark, bucket, hot_rows, max_hot):
+    """max_hot 1 takes the path that splits every key; 10 the one that splits the hot keys only."""
+    df = _data(spark).where("id % 4 < 2")
+    assert (hot_keys(df, ["k"], hot_rows, max_hot) is None) == (max_hot == 1)
     plain = over_rows(df, ["k"], ["t", "id"], FRAMES, totals(), hot_rows=0)
-    from goldleaf.operators import windows
-
-    old = windows.DEFAULT_MAX_HOT
-    windows.DEFAULT_MAX_HOT = 1
-    try:
-        split = over_rows(df, ["k"], ["t", "id"], FRAMES, totals(), hot_rows=5, bucket_rows=11)
-        assert _rows(split) == _rows(plain)
-    finally:
-        windows.DEFAULT_MAX_HOT = old
+    split = over_rows(df, ["k"], ["t", "id"], FRAMES, totals(), hot_rows=hot_rows, bucket_rows=bucket, max_hot=max_hot)
+    assert _rows(split) == _rows(plain)
