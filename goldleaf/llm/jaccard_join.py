@@ -61,10 +61,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     1. Equal sets become one class (minimum before the shuffle, so thousands of copies are one row).
     2. Frequencies of all shingles over the classes; a class with fewer shared shingles than any partner would need
        is done.
-    3. A first round compares every class with one hub, the least class under the prefix shingle bucket that
-       most of its prefix shares, and joins what links: a large group of near copies becomes one component without all pairs.
+    3. A first round compares every class with one hub: under each prefix shingle and size class that with the most
+       frequent shingles, so the likely original of a group, and of these the one that most of its prefix votes for. What links
+       is joined: a large group of near copies becomes one component without all pairs.
     4. A second round takes, under each prefix shingle, the classes outside the most frequent component there against
-       all others of another component, counts shared prefix shingles per pair, and compares the sets of those with
+       all others of another component whose sizes and numbers of shared shingles allow a link, counts shared prefix shingles per pair, and compares the sets of those with
        enough. Pairs inside a component need no comparison, so no link between components is lost.
     """
     spark = docs.sparkSession
@@ -91,7 +92,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     classes = spark.read.parquet(path)
 
     of_chunk = classes.groupBy("chunk").agg(F.collect_list("at").alias("picked"))  # at most a chunk's documents
-    picked = small.drop("ids").join(of_chunk, "chunk")
+    picked = small.drop("ids").join(of_chunk.hint("merge"), "chunk")  # one plan at every size
     shards = C.shard_count(chunks)
 
     def ask(frames):
@@ -117,16 +118,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
                     base = len(places) - matches + 1
                     levels = np.maximum(1, np.arange(len(places)) - base + 2)
                     shared = freq[places] > 1
-                    out.append(((row.chunk << 17) + int(i), len(sets[i]), matches, sets[i][places[shared]].view(np.int64),
-                                levels[shared].astype(np.int32), sets[i].view(np.int64)))
-        return pd.DataFrame(out, columns=["node", "n", "matches", "prefix", "levels", "keys"])
+                    out.append(((row.chunk << 17) + int(i), len(sets[i]), int((freq > 1).sum()), float(freq.mean()), matches,
+                                sets[i][places[shared]].view(np.int64), levels[shared].astype(np.int32), sets[i].view(np.int64)))
+        return pd.DataFrame(out, columns=["node", "n", "shared", "central", "matches", "prefix", "levels", "keys"])
 
     path = scratch_path(spark, "join-survivors")
     picked.groupBy("chunk").cogroup(answers.where("chunk >= 0").groupBy("chunk")).applyInPandas(
-        survivors, "node long, n long, matches int, prefix array<long>, levels array<int>, keys array<long>").write.parquet(path)
+        survivors, "node long, n long, shared long, central double, matches int, prefix array<long>, levels array<int>, keys array<long>").write.parquet(path)
     left = spark.read.parquet(path)
-    postings = left.select("node", "n", "matches", F.explode(F.arrays_zip("prefix", "levels")).alias("p")).select(
-        "node", "n", "matches", F.col("p.prefix").alias("key"), F.col("p.levels").alias("level"))
+    postings = left.select("node", "n", "shared", "central", "matches", F.explode(F.arrays_zip("prefix", "levels")).alias("p")).select(
+        "node", "n", "shared", "central", "matches", F.col("p.prefix").alias("key"), F.col("p.levels").alias("level"))
     sets = left.select("node", "n", "keys")
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
@@ -139,8 +140,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
         return spark.read.parquet(path)
 
     size_class = F.floor(F.log("n") / F.lit(float(np.log(100 / percent)) or 1.0)).alias("size") if percent < 100 else F.col("n").alias("size")
-    sized = postings.select("node", "key", size_class)
-    hubs = sized.groupBy("key", "size").agg(F.min("node").alias("hub"))
+    sized = postings.select("node", "key", "central", size_class)
+    hubs = sized.groupBy("key", "size").agg(F.max_by("node", F.struct("central", "node")).alias("hub"))
     votes = sized.join(hubs, ["key", "size"]).where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("votes"))
     first = linked(votes.groupBy("node").agg(F.max_by("hub", F.struct("votes", -F.col("hub"))).alias("hub")).toDF("a", "b"), "join-links")
     found = components(first)
@@ -152,10 +153,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
         F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("components")).where("components > 1")
     open_postings = placed.join(main.select("key", "main"), "key")
     few = open_postings.where("component <> main").select(
-        "key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("matches").alias("mx"), F.col("level").alias("lx"),
+        "key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("shared").alias("sx"), F.col("matches").alias("mx"), F.col("level").alias("lx"),
         F.col("component").alias("cx"))
+    most = F.least("shared", "sx")  # two sets cannot have more in common than either has in common with any other
     alike = (F.col("component") != F.col("cx")) & ((F.col("component") == F.col("main")) | (F.col("x") < F.col("node"))) & (
-        100 * F.least("n", "nx") >= percent * F.greatest("n", "nx"))
+        100 * most >= percent * (F.col("n") + F.col("nx") - most))
     asked = F.least("matches", "mx")
     pairs = (few.join(open_postings, "key").where(alike & (F.greatest("level", "lx") <= asked))
              .groupBy(F.col("x").alias("a"), F.col("node").alias("b"), asked.alias("asked")).agg(F.count("*").alias("got"))

@@ -136,7 +136,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     first = spark.read.parquet(path)
     of_chunk = first.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", F.hex("sha").alias("sha")))).alias("picked"))
     picked = chunks.select("chunk", "lens", "tokens", "hashes").join(
-        of_chunk.select("chunk", F.col("picked.at").alias("picked"), F.col("picked.sha").alias("shas")), "chunk")
+        of_chunk.select("chunk", F.col("picked.at").alias("picked"), F.col("picked.sha").alias("shas")).hint("merge"), "chunk")  # one plan at every size
     shards = C.shard_count(chunks, 2.0 / (window - anchor + 2))
 
     def anchored(row):
@@ -238,7 +238,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
                     out.append((row.chunk, at, int((~stays).sum()), hashlib.sha256(kept).hexdigest(), edges.reshape(-1, 2).tolist()))
                 yield pd.DataFrame(out, columns=["chunk", "at", "n_removed", "kept_sha256", "kept"])
 
-    with_spans = chunks.select("chunk", "lens", "tokens", "words").join(spans, "chunk")
+    with_spans = chunks.select("chunk", "lens", "tokens", "words").join(spans.hint("merge"), "chunk")
     stripped = with_spans.mapInPandas(strip, "chunk long, at int, n_removed long, kept_sha256 string, kept array<array<int>>")
     done = first.join(stripped, ["chunk", "at"], "left").select("sha", "first_id", F.lit(True).alias("long"), "n_removed", "kept_sha256", "kept")
     result = rows.join(done, "sha", "left")
