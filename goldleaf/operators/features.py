@@ -143,11 +143,6 @@ def apply_minmax(df: DataFrame, params: dict[str, tuple[float | None, float | No
     return df.select(*[minmax_expr(c, *params[c]).alias(c) if c in params else F.col(c) for c in df.columns])
 
 
-def inverse_minmax(c: Column, lo: float, hi: float) -> Column:
-    rng = hi - lo
-    return c * F.lit(rng if rng != 0 else 1.0) + F.lit(lo)
-
-
 # ------------------------------------------------------------------ sequence samples
 
 def sequences(df: DataFrame, keys: Sequence[str] = ("split", "player_name"),

@@ -2,15 +2,15 @@
 and the scout (recommendation) view.
 
 Inputs are silver-shaped DataFrames (see ``goldleaf.operators.silver``). Nothing
-here collects data to the driver; joins against dimensions use size-checked
-broadcasts, and aggregations are pre-combined before any fan-out join.
+here collects data to the driver; joins against dimensions carry no hint (Spark's size
+estimates and AQE choose), and aggregations are pre-combined before any fan-out join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldleaf.functions.scalars import (
@@ -24,6 +24,7 @@ from goldleaf.operators.silver import CURRENT_SOURCE_TAG
 from goldleaf.operators.windows import Frame, over_rows
 from goldleaf.plans.joins import one_row
 
+# The column lists and renamings of the published tables.
 TEAM_COLUMNS = [
     "team_id", "name", "short_name", "strength",
     "strength_overall_home", "strength_overall_away",
@@ -179,13 +180,17 @@ def add_form_and_value(combined: DataFrame, window: int = 5, hot_rows: int | Non
     return out.select(
         *FACT_BASE_COLUMNS,
         "rolling_5gw_pts", "rolling_5gw_xG", "rolling_5gw_xA", "season_total_pts",
-        round_half_up(safe_divide("total_points", "price_m"), 3).alias("points_per_million"),
-        round_half_up(safe_divide("total_points", F.col("minutes").cast("double") / F.lit(90.0)), 3)
-        .alias("points_per_90"),
+        *value_ratios(),
         MATCH_ID,
     )
 
 
+def value_ratios() -> list[Column]:
+    """points_per_million and points_per_90 of a row: half-up to 3 digits, NULL on a zero or NULL divisor."""
+    return [round_half_up(safe_divide("total_points", "price_m"), 3).alias("points_per_million"),
+            round_half_up(safe_divide("total_points", F.col("minutes").cast("double") / F.lit(90.0)), 3).alias("points_per_90")]
+
+
 def fact_gameweek(performance: DataFrame, fixture: DataFrame, gold_player: DataFrame,
                   historical: DataFrame, season: str, window: int = 5,
                   historical_tie: str | None = None) -> DataFrame:

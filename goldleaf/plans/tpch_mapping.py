@@ -211,9 +211,13 @@ def _sel(pairs) -> list[str]:
 
 # ------------------------------------------------------------------ Spark side
 
-def order_stats(spark: SparkSession, d: str) -> DataFrame:
-    """Per-order line statistics (partial aggregation, then one shuffle by order key)."""
-    return load(spark, d, "lineitem").groupBy("l_orderkey").agg(*[F.expr(e) for e in _sel(STATS)])
+def order_stats(spark: SparkSession, d: str, orders: DataFrame | None = None) -> DataFrame:
+    """Per-order line statistics (partial aggregation, then one shuffle by order key), of the given
+    orders only where some are given (lines of other orders are dropped before they are summed)."""
+    lines = load(spark, d, "lineitem")
+    if orders is not None:
+        lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    return lines.groupBy("l_orderkey").agg(*[F.expr(e) for e in _sel(STATS)])
 
 
 def silver_team(spark: SparkSession, d: str) -> DataFrame:
@@ -230,7 +234,7 @@ def silver_fixture(spark: SparkSession, d: str) -> DataFrame:
 
 def _orders_with_stats(spark: SparkSession, d: str, where: str, stats: DataFrame | None = None) -> DataFrame:
     o = load(spark, d, "orders").where(F.expr(where)).alias("o")
-    s = (stats if stats is not None else order_stats(spark, d)).alias("s")
+    s = (stats if stats is not None else order_stats(spark, d, o.select("o_orderkey"))).alias("s")
     return o.join(s, F.col("s.l_orderkey") == F.col("o.o_orderkey"), "left")
 
 

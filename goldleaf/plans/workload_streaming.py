@@ -92,5 +92,5 @@ def q_scd1_stream_upsert(spark, d):
 def q_rolling_form_skew_split(spark, d):
     """W1 through the hot-key path: every player above 8 rows is range-split and evaluated in
     buckets of 4 rows with halos (same result as the plain window)."""
-    f = gold.add_form_and_value(MappedLayers(spark, d).combined(), window=5, hot_rows=8, bucket_rows=4)
+    f = gold.add_form_and_value(MappedLayers(spark, d).combined_table(), window=5, hot_rows=8, bucket_rows=4)
     return _round_rolling(f.select("player_name", "match_id", "kickoff_time", *ROLLING))

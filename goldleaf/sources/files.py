@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Lineage column names and the season pattern.
 LINEAGE_TS = "_ingestion_timestamp"
 LINEAGE_FILE = "_source_file"
 SEASON_PATTERN = r"(\d{4}-\d{2})"
