@@ -75,9 +75,18 @@ def window_keys(words: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def word_hashes(words) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def spelled_words(packed: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(packed).split(b" ")
+
+
 def document_hashes(row) -> list[np.ndarray]:
     """Word hashes of each document of a chunk row."""
-    return np.split(unpack(row.hashes, np.uint64)[unpack(row.tokens, np.uint32)], np.cumsum(row.lens)[:-1])
+    hashes = unpack(row.hashes, np.uint64) if row.hashes else word_hashes(spelled_words(row.words))
+    return np.split(hashes[unpack(row.tokens, np.uint32)], np.cumsum(row.lens)[:-1])
 
 
 def node_id(chunk: Column, at: Column) -> Column:
@@ -132,21 +141,21 @@ class _Open:
         self.digests.append(state.digest() if state else None)
         self.n += n
 
-    def row(self, chunk: int, role: int) -> dict:
+    def row(self, chunk: int, role: int, spelled: bool) -> dict:
         tokens = np.concatenate([np.empty(0, np.uint32), *self.parts])
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.vocab), np.uint64, len(self.vocab))
         return {"chunk": chunk, "role": role, "n": self.n, "ids": self.ids, "lens": self.lens, "tokens": pack(tokens),
-                "hashes": pack(hashes), "words": zstandard.ZstdCompressor(level=1).compress(b" ".join(self.vocab))
-                if not self.end else b"", "digests": self.digests}
+                "hashes": b"" if spelled else pack(word_hashes(self.vocab)),
+                "words": zstandard.ZstdCompressor(level=1).compress(b" ".join(self.vocab)) if spelled else b"", "digests": self.digests}
 
 
 def write_chunks(docs: DataFrame, id_col: str, text_col: str, name: str, lower: bool = False, end_token: bool = False,
-                 role: Column | None = None, digest: Callable | None = None, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+                 role: Column | None = None, digest: Callable | None = None, chunk_words: int = CHUNK_WORDS,
+                 spelled: bool = False) -> DataFrame:
     """Write the texts as chunks of whole documents to the shared folder and return them.
 
     ``role`` (a small integer) keeps documents of different roles in different chunks. ``digest(state, words)``
-    folds lists of a document's words into a hashlib object (from None). ``words`` holds the vocabulary itself unless an end token is asked. Ids
-    are kept as text (NULL stays NULL).
+    folds lists of a document's words into a hashlib object (from None). The vocabulary is kept as hashes, or as words where ``spelled``.
+    Ids are kept as text (NULL stays NULL).
     """
     spark = docs.sparkSession
     given = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"),
@@ -170,11 +179,11 @@ def write_chunks(docs: DataFrame, id_col: str, text_col: str, name: str, lower:
                 c = opened[kind]
                 c.add(doc_id, text.lower() if lower else text, digest)
                 if c.n >= chunk_words or len(c.ids) >= CHUNK_DOCS:
-                    yield pa.RecordBatch.from_pylist([c.row(at + made, kind)], schema=out)
+                    yield pa.RecordBatch.from_pylist([c.row(at + made, kind, spelled)], schema=out)
                     made += 1
                     del opened[kind]
         for kind, c in opened.items():
-            yield pa.RecordBatch.from_pylist([c.row(at + made, kind)], schema=out)
+            yield pa.RecordBatch.from_pylist([c.row(at + made, kind, spelled)], schema=out)
             made += 1
 
     path = scratch_path(spark, name)

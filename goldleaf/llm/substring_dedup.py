@@ -118,71 +118,88 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     than a window lose nothing. An empty table gives no rows; other columns are ignored.
 
     Copies: only the first document of equal words meets the shards; in the others, every window started earlier. Equal
-    segments are reduced to the first before the shuffle. An anchor with very many distinct segments (a passage
+    segments are reduced to the first before the shuffle, by a 64-bit hash, and only the first one's words travel. An anchor with very many distinct segments (a passage
     in most documents, each with its own surroundings) is dealt by whole windows, again reduced to the first, so no
     shard holds an unbounded group. Words are compared by 32-bit hashes inside windows of equal 64-bit anchors.
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    chunks = C.write_chunks(docs, id_col, text_col, "dedup-chunks", digest=_fold, chunk_words=chunk_words)
+    chunks = C.write_chunks(docs, id_col, text_col, "dedup-chunks", digest=_fold, chunk_words=chunk_words, spelled=True)
     nothing = F.lit(hashlib.sha256().digest())
     each = chunks.select("chunk", F.posexplode(F.arrays_zip("ids", "lens", "digests")).alias("at", "d"))
     rows = each.select("chunk", "at", F.col("d.ids").cast(id_type).alias("doc_id"), F.col("d.lens").cast("long").alias("n_words"),
                        F.coalesce("d.digests", nothing).alias("sha"))
     first = rows.where(F.col("n_words") >= window).groupBy("sha").agg(F.min(F.struct("doc_id", "chunk", "at")).alias("r")).select(
-        "sha", F.col("r.doc_id").alias("first_id"), "r.chunk", "r.at")
+        "sha", F.col("r.doc_id").alias("first_id"), "r.chunk", "r.at", C.node_id(F.col("r.chunk"), F.col("r.at")).alias("node"))
     path = scratch_path(spark, "dedup-firsts")
     first.write.parquet(path)
     first = spark.read.parquet(path)
-    of_chunk = first.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", F.hex("sha").alias("sha")))).alias("picked"))
-    picked = chunks.select("chunk", "lens", "tokens", "hashes").join(
-        of_chunk.select("chunk", F.col("picked.at").alias("picked"), F.col("picked.sha").alias("shas")).hint("merge"), "chunk")  # one plan at every size
+    small = chunks.select("chunk", "lens", "tokens", "hashes", "words")
     shards = C.shard_count(chunks, 2.0 / (window - anchor + 2))
 
-    def anchored(row):
-        texts = C.document_hashes(row)
-        return [(int(i), texts[i], *_anchors(texts[i], window, anchor)) for i in row.picked]
+    def chunk_keys(row):
+        """The anchors of a chunk's texts, and per text its runs' anchor keys."""
+        found = []
+        for h in C.document_hashes(row):
+            places, keys = _anchors(h, window, anchor)
+            runs = _runs(places) if len(places) else np.zeros(1, np.int64)
+            found.append((h, runs, keys[places[runs[:-1]]]))
+        return found, np.unique(np.concatenate([own for _, _, own in found]), return_counts=True)
 
     def ask(frames):
         for pdf in frames:
             for row in pdf.itertuples():
-                keys = [keys[places[_runs(places)[:-1]]] for _, _, places, keys in anchored(row)]
-                keys, counts = np.unique(np.concatenate(keys), return_counts=True)
+                keys, counts = chunk_keys(row)[1]
                 yield pd.DataFrame(C.questions(row.chunk, 1, 0, keys, counts, shards),
                                    columns=["chunk", "shard", "kind", "role", "keys", "counts"])
 
-    answers = C.answer(picked.mapInPandas(ask, C.ASK), ((0,),), scratch_path(spark, "dedup-anchors"), 2)
+    answers = C.answer(small.mapInPandas(ask, C.ASK), ((0,),), scratch_path(spark, "dedup-anchors"), 2)
+    picked = first.groupBy("chunk").agg(F.collect_list("at").alias("picked"))  # at most a chunk's documents
 
     def cut(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in left.itertuples():
-            found = anchored(row)
-            all_keys = np.unique(np.concatenate([keys[places[_runs(places)[:-1]]] for _, _, places, keys in found]))
+            found, (all_keys, _) = chunk_keys(row)
             again = C.told(right, 1, 0) > 1
-            ids = row.ids_of
-            for (at, h, places, keys), sha in zip(found, row.shas):
-                runs = _runs(places)
-                own = keys[places[runs[:-1]]]
-                rank = int.from_bytes(bytes.fromhex(sha)[:8], "big", signed=True)
-                short = h.astype(np.uint32)
-                for r in np.flatnonzero(again[np.searchsorted(all_keys, own)]):
-                    a, b = int(runs[r]), int(runs[r + 1])
-                    words = short[a:b + window - 1].tobytes()
-                    out.append(((row.chunk << 17) + at, ids[at], rank, a, b - a, int(own[r].view(np.int64)),
-                                xxhash.xxh64_intdigest(h[a:b + window - 1].tobytes()) - (1 << 63), words))
-        return pd.DataFrame(out, columns=["node", "doc_id", "rank", "start", "n", "anchor", "sid", "words"])
-
-    ids = chunks.select("chunk", F.col("ids").alias("ids_of"))
-    path = scratch_path(spark, "dedup-segments")
-    cut_rows = picked.join(ids, "chunk").groupBy("chunk").cogroup(answers.where("chunk >= 0").groupBy("chunk")).applyInPandas(
-        cut, "node long, doc_id string, rank long, start long, n int, anchor long, sid long, words binary")
-    cut_rows.withColumn("doc_id", F.col("doc_id").cast(id_type)).write.parquet(path)
-    segments = spark.read.parquet(path)
-
-    place = F.struct("doc_id", "rank", "start")
+            vocab = C.spelled_words(row.words)
+            tokens = np.split(C.unpack(row.tokens, np.uint32), np.cumsum(row.lens)[:-1])
+            for at in row.picked:
+                h, runs, own = found[at]
+                hit = np.flatnonzero(again[np.searchsorted(all_keys, own)])
+                if len(hit):
+                    sids = [xxhash.xxh64_intdigest(h[runs[r]:runs[r + 1] + window - 1].tobytes()) - (1 << 63) for r in hit]
+                    text = zstandard.ZstdCompressor(level=1).compress(b" ".join([vocab[i] for i in tokens[at]]))
+                    out.append(((row.chunk << 17) + int(at), runs[hit], np.diff(runs)[hit], own[hit].view(np.int64), sids, text))
+        return pd.DataFrame(out, columns=["node", "starts", "ns", "anchors", "sids", "text"])
+
+    path = scratch_path(spark, "dedup-candidates")
+    small.join(picked.hint("merge"), "chunk").groupBy("chunk").cogroup(answers.where("chunk >= 0").groupBy("chunk")).applyInPandas(
+        cut, "node long, starts array<long>, ns array<int>, anchors array<long>, sids array<long>, text binary").write.option(
+        "compression", "zstd").parquet(path)
+    candidates = spark.read.parquet(path)
+    ranked = first.select("node", F.col("first_id").alias("doc_id"), F.expr("conv(hex(substring(sha, 1, 8)), 16, -10)").cast("long").alias("rank"))
+    segments = candidates.select("node", F.explode(F.arrays_zip("starts", "ns", "anchors", "sids")).alias("s")).select(
+        "node", F.col("s.starts").alias("start"), F.col("s.ns").alias("n"), F.col("s.anchors").alias("anchor"), F.col("s.sids").alias("sid"))
+    placed = segments.join(ranked, "node")
+    place = F.struct("doc_id", "rank", "start", "node")
     path = scratch_path(spark, "dedup-distinct")
-    segments.groupBy("anchor", "sid", "words", "n").agg(F.min(place).alias("first")).write.parquet(path)
+    placed.groupBy("anchor", "sid").agg(F.min(place).alias("first"), F.first("n").alias("n")).write.parquet(path)
     distinct = spark.read.parquet(path)
+
+    def spell(frames):
+        for pdf in frames:
+            out = []
+            for row in pdf.itertuples():
+                h = C.word_hashes(C.spelled_words(row.text)).astype(np.uint32)
+                out += [(s["anchor"], s["sid"], h[s["start"]:s["start"] + s["n"] + window - 1].tobytes()) for s in row.wanted]
+            yield pd.DataFrame(out, columns=["anchor", "sid", "words"])
+
+    wanted = distinct.groupBy(F.col("first.node").alias("node")).agg(  # at most a document's segments
+        F.collect_list(F.struct("anchor", "sid", F.col("first.start").alias("start"), "n")).alias("wanted"))
+    texts = candidates.select("node", "text")
+    path = scratch_path(spark, "dedup-spelled")
+    texts.join(wanted, "node").select("text", "wanted").mapInPandas(spell, "anchor long, sid long, words binary").write.parquet(path)
+    spelled = spark.read.parquet(path).join(distinct, ["anchor", "sid"])
     crowded = distinct.groupBy("anchor").agg(F.count("*").alias("c")).where(F.col("c") > anchor_segments).select("anchor")
     n_shards = distinct.count() // shard_segments + 1
 
@@ -199,48 +216,41 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
         return pd.DataFrame({"anchor": g["anchor"], "sid": g["sid"], "mask": masks})
 
     zero = F.lit(0 if id_type != "string" else "").cast(id_type)
-    quiet = distinct.join(crowded, "anchor", "left_anti").select(
+    quiet = spelled.join(crowded, "anchor", "left_anti").select(
         F.pmod("anchor", F.lit(n_shards)).alias("shard"), "anchor", "sid", "words", "n", F.col("first.doc_id").isNotNull().alias("has_id"),
         F.coalesce("first.doc_id", zero).alias("doc_id"), F.col("first.rank").alias("rank"), F.col("first.start").alias("start"))
     masks = quiet.groupBy("shard").applyInPandas(stream, "anchor long, sid long, mask long")
-    windows = distinct.join(crowded, "anchor").select("anchor", "sid", "words", "first", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    windows = spelled.join(crowded, "anchor").select("anchor", "sid", "words", "first", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
     windows = windows.select("anchor", "sid", "i", F.expr(f"substring(words, 1 + 4 * i, {4 * window})").alias("w"),
                              F.struct("first.doc_id", "first.rank", (F.col("first.start") + F.col("i")).alias("start")).alias("at"))
     earliest = windows.groupBy("w").agg(F.min("at").alias("least"))
     later = windows.join(earliest, "w").groupBy("anchor", "sid").agg(
         F.sum(F.when(F.col("least") < F.col("at"), F.expr("shiftleft(1L, i)")).otherwise(0)).alias("mask"))
-    judged = distinct.select("anchor", "sid", "first").join(masks.unionByName(later), ["anchor", "sid"])
-    spans = (segments.select("node", "anchor", "sid", "n", place.alias("at")).join(judged, ["anchor", "sid"])
-             .select("node", F.col("at.start").alias("start"),
-                     F.when(F.col("at") == F.col("first"), F.col("mask")).otherwise(F.expr("shiftleft(1L, n) - 1")).alias("mask"))
-             .where("mask <> 0").groupBy(F.shiftright("node", 17).alias("chunk")).agg(
-                 F.collect_list(F.struct(F.expr("cast(node & 131071 as int)").alias("at"), "start", "mask")).alias("spans")))
+    judged = distinct.select("anchor", "sid", F.col("first.node").alias("first_node"), F.col("first.start").alias("first_start")).join(
+        masks.unionByName(later), ["anchor", "sid"])
+    is_first = (F.col("node") == F.col("first_node")) & (F.col("start") == F.col("first_start"))
+    spans = (segments.join(judged, ["anchor", "sid"])
+             .select("node", "start", F.when(is_first, F.col("mask")).otherwise(F.expr("shiftleft(1L, n) - 1")).alias("mask"))
+             .where("mask <> 0").groupBy("node").agg(F.collect_list(F.struct("start", "mask")).alias("spans")))
 
     def strip(frames):
         for pdf in frames:
+            out = []
             for row in pdf.itertuples():
-                texts = np.split(C.unpack(row.tokens, np.uint32), np.cumsum(row.lens)[:-1])
-                words = zstandard.ZstdDecompressor().decompress(row.words).split(b" ")
-                gone: dict[int, np.ndarray] = {}
+                words = C.spelled_words(row.text)
+                change = np.zeros(len(words) + 1, np.int32)
                 for s in row.spans:
-                    if s["at"] not in gone:
-                        gone[s["at"]] = np.zeros(len(texts[s["at"]]) + 1, np.int32)
-                    d = gone[s["at"]]
-                    for i in range(s["mask"].bit_length()):
-                        if s["mask"] >> i & 1:
-                            d[s["start"] + i] += 1
-                            d[s["start"] + i + window] -= 1
-                out = []
-                for at, d in gone.items():
-                    stays = np.cumsum(d[:-1]) == 0
-                    edges = np.flatnonzero(np.diff(np.concatenate([[False], stays, [False]]).astype(np.int8)))
-                    kept = b" ".join([words[i] for i in texts[at][stays]])
-                    out.append((row.chunk, at, int((~stays).sum()), hashlib.sha256(kept).hexdigest(), edges.reshape(-1, 2).tolist()))
-                yield pd.DataFrame(out, columns=["chunk", "at", "n_removed", "kept_sha256", "kept"])
-
-    with_spans = chunks.select("chunk", "lens", "tokens", "words").join(spans.hint("merge"), "chunk")
-    stripped = with_spans.mapInPandas(strip, "chunk long, at int, n_removed long, kept_sha256 string, kept array<array<int>>")
-    done = first.join(stripped, ["chunk", "at"], "left").select("sha", "first_id", F.lit(True).alias("long"), "n_removed", "kept_sha256", "kept")
+                    at = s["start"] + np.array([i for i in range(s["mask"].bit_length()) if s["mask"] >> i & 1])
+                    np.add.at(change, at, 1)
+                    np.add.at(change, at + window, -1)
+                stays = np.cumsum(change[:-1]) == 0
+                edges = np.flatnonzero(np.diff(np.concatenate([[False], stays, [False]]).astype(np.int8)))
+                kept = b" ".join([words[i] for i in np.flatnonzero(stays)])
+                out.append((row.node, int((~stays).sum()), hashlib.sha256(kept).hexdigest(), edges.reshape(-1, 2).tolist()))
+            yield pd.DataFrame(out, columns=["node", "n_removed", "kept_sha256", "kept"])
+
+    stripped = texts.join(spans, "node").mapInPandas(strip, "node long, n_removed long, kept_sha256 string, kept array<array<int>>")
+    done = first.join(stripped, "node", "left").select("sha", "first_id", F.lit(True).alias("long"), "n_removed", "kept_sha256", "kept")
     result = rows.join(done, "sha", "left")
     copy = F.coalesce("long", F.lit(False)) & ~F.col("doc_id").eqNullSafe(F.col("first_id"))
     return result.select("doc_id", "n_words", F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
