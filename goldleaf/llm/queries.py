@@ -22,6 +22,18 @@ def op2_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+OP2_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+win AS (SELECT rid, doc_id, i, array_to_string(w[i:i + 19], ' ') AS s FROM d, unnest(range(1, len(w) - 18)) AS r(i)),
+late AS (SELECT rid, i FROM (SELECT rid, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM win) WHERE k > 1),
+gone AS (SELECT DISTINCT rid, i + o AS p FROM late, unnest(range(20)) AS u(o)),
+each AS (SELECT rid, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) AS r(p)),
+kept AS (SELECT rid, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM each ANTI JOIN gone USING (rid, p) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
+
 def op3_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -79,6 +91,19 @@ def op5_adaptive_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+OP5_SQL = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM
+  (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)),
+s AS (SELECT DISTINCT rid, array_to_string(w[i:i + 2], ' ') AS g FROM d, unnest(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)) AS r(i)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+common AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.rid <> b.rid GROUP BY ALL),
+link AS (SELECT x, y FROM common JOIN n a ON a.rid = x JOIN n b ON b.rid = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
+reach AS (SELECT rid AS x, rid AS y FROM d UNION SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y),
+comp AS (SELECT x AS rid, min(doc_id) AS component_id FROM reach JOIN d ON d.rid = y GROUP BY x)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM d JOIN comp USING (rid) LEFT JOIN n USING (rid)
+"""
+
+
 def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arc.archive_pages(table(spark, sf_dir, "pages")).drop("url")
 
@@ -186,6 +211,8 @@ QUERIES = {
     "op10_preference_format": op10_preference_format,
 }
 ORACLE = {
+    "op2_automaton_dedup": OP2_SQL,
+    "op5_adaptive_jaccard": OP5_SQL,
     "op3_simhash_decontamination": OP3_SQL,
     "op4_rule_cascade": OP4_SQL,
     "op6_arc_to_warc": OP6_SQL,
