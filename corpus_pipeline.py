@@ -23,7 +23,7 @@ def _key() -> Column:
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    return quality.cascade(docs, keep=COLUMNS[1:]).where("kept").select(*COLUMNS)
+    return quality.kept_rows(docs, COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

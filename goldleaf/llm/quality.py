@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldleaf.llm.text import words
+from goldleaf.session import scratch_path
 
 #: Rows on which costs and selectivities are estimated; the verdicts do not depend on them.
 SAMPLE_ROWS = 1_000
@@ -185,3 +186,15 @@ def cascade(docs: DataFrame, rules=RULES, order: list[str] | None = None, id_col
         df = df.withColumn("rejected_by", F.when(open_row & F.expr(r.reject), F.lit(name)).otherwise(F.col("rejected_by")))
     return df.select("doc_id", *features, "rejected_by", F.col("rejected_by").isNull().alias("kept"),
                      *[F.col(f"in_{c}").alias(c) for c in keep])
+
+
+def kept_rows(docs: DataFrame, columns: tuple[str, ...], rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that no rule rejects, with the named columns (the id first).
+
+    The judged rows are written before they are filtered: in one plan, Spark would derive constraints from the filter through every
+    projection of the cascade, which takes it longer than the work.
+    """
+    path = scratch_path(docs.sparkSession, "judged")
+    judged = cascade(docs, rules, id_col=id_col, text_col=text_col, keep=columns[1:])
+    judged.drop("rejected_by").write.parquet(path)
+    return docs.sparkSession.read.parquet(path).where("kept").select(F.col("doc_id").alias(columns[0]), *columns[1:])
