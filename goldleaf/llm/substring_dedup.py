@@ -154,7 +154,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
                                    columns=["chunk", "shard", "kind", "role", "keys", "counts"])
 
     answers = C.answer(small.mapInPandas(ask, C.ASK), ((0,),), scratch_path(spark, "dedup-anchors"), 2)
-    picked = first.groupBy("chunk").agg(F.collect_list("at").alias("picked"))  # at most a chunk's documents
+    rank = F.expr("conv(hex(substring(sha, 1, 8)), 16, -10)").cast("long")
+    picked = first.groupBy("chunk").agg(F.collect_list(F.struct("at", F.col("first_id").cast("string").alias("id"), rank.alias("rank"))).alias("picked"))
 
     def cut(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -163,27 +164,28 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
             again = C.told(right, 1, 0) > 1
             vocab = C.spelled_words(row.words)
             tokens = np.split(C.unpack(row.tokens, np.uint32), np.cumsum(row.lens)[:-1])
-            for at in row.picked:
+            for doc in row.picked:  # at most a chunk's documents
+                at = doc["at"]
                 h, runs, own = found[at]
                 hit = np.flatnonzero(again[np.searchsorted(all_keys, own)])
                 if len(hit):
                     sids = [xxhash.xxh64_intdigest(h[runs[r]:runs[r + 1] + window - 1].tobytes()) - (1 << 63) for r in hit]
                     text = zstandard.ZstdCompressor(level=1).compress(b" ".join([vocab[i] for i in tokens[at]]))
-                    out.append(((row.chunk << 17) + int(at), runs[hit], np.diff(runs)[hit], own[hit].view(np.int64), sids, text))
-        return pd.DataFrame(out, columns=["node", "starts", "ns", "anchors", "sids", "text"])
+                    out.append(((row.chunk << 17) + int(at), doc["id"], doc["rank"], runs[hit], np.diff(runs)[hit], own[hit].view(np.int64), sids, text))
+        return pd.DataFrame(out, columns=["node", "doc_id", "rank", "starts", "ns", "anchors", "sids", "text"])
 
     path = scratch_path(spark, "dedup-candidates")
     small.join(picked.hint("merge"), "chunk").groupBy("chunk").cogroup(answers.where("chunk >= 0").groupBy("chunk")).applyInPandas(
-        cut, "node long, starts array<long>, ns array<int>, anchors array<long>, sids array<long>, text binary").write.option(
+        cut, "node long, doc_id string, rank long, starts array<long>, ns array<int>, anchors array<long>, sids array<long>, text binary").write.option(
         "compression", "zstd").parquet(path)
-    candidates = spark.read.parquet(path)
-    ranked = first.select("node", F.col("first_id").alias("doc_id"), F.expr("conv(hex(substring(sha, 1, 8)), 16, -10)").cast("long").alias("rank"))
-    segments = candidates.select("node", F.explode(F.arrays_zip("starts", "ns", "anchors", "sids")).alias("s")).select(
-        "node", F.col("s.starts").alias("start"), F.col("s.ns").alias("n"), F.col("s.anchors").alias("anchor"), F.col("s.sids").alias("sid"))
-    placed = segments.join(ranked, "node")
-    place = F.struct("doc_id", "rank", "start", "node")
+    candidates = spark.read.parquet(path).withColumn("doc_id", F.col("doc_id").cast(id_type))
+    segments = candidates.select("node", "doc_id", "rank", F.explode(F.arrays_zip("starts", "ns", "anchors", "sids")).alias("s")).select(
+        "node", "doc_id", "rank", F.col("s.starts").alias("start"), F.col("s.ns").alias("n"), F.col("s.anchors").alias("anchor"), F.col("s.sids").alias("sid"))
+    # A segment's hash stands for it, its anchor and its length.
+    place = F.struct("doc_id", "rank", "start", "node", "n", "anchor")
     path = scratch_path(spark, "dedup-distinct")
-    placed.groupBy("anchor", "sid").agg(F.min(place).alias("first"), F.first("n").alias("n")).write.parquet(path)
+    segments.groupBy("sid").agg(F.min(place).alias("first")).select("sid", "first.n", "first.anchor", F.struct(
+        "first.doc_id", "first.rank", "first.start", "first.node").alias("first")).write.parquet(path)
     distinct = spark.read.parquet(path)
 
     def spell(frames):
@@ -191,16 +193,21 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
             out = []
             for row in pdf.itertuples():
                 h = C.word_hashes(C.spelled_words(row.text)).astype(np.uint32)
-                out += [(s["anchor"], s["sid"], h[s["start"]:s["start"] + s["n"] + window - 1].tobytes()) for s in row.wanted]
-            yield pd.DataFrame(out, columns=["anchor", "sid", "words"])
+                out += [(s["anchor"], s["sid"], s["n"], h[s["start"]:s["start"] + s["n"] + window - 1].tobytes(), row.doc_id, row.rank, s["start"])
+                        for s in row.wanted]
+            yield pd.DataFrame(out, columns=["anchor", "sid", "n", "words", "doc_id", "rank", "start"])
 
     wanted = distinct.groupBy(F.col("first.node").alias("node")).agg(  # at most a document's segments
         F.collect_list(F.struct("anchor", "sid", F.col("first.start").alias("start"), "n")).alias("wanted"))
     texts = candidates.select("node", "text")
     path = scratch_path(spark, "dedup-spelled")
-    texts.join(wanted, "node").select("text", "wanted").mapInPandas(spell, "anchor long, sid long, words binary").write.parquet(path)
-    spelled = spark.read.parquet(path).join(distinct, ["anchor", "sid"])
-    crowded = distinct.groupBy("anchor").agg(F.count("*").alias("c")).where(F.col("c") > anchor_segments).select("anchor")
+    spelling = candidates.select("node", F.col("doc_id").cast("string").alias("doc_id"), "rank", "text").join(wanted, "node").select("doc_id", "rank", "text", "wanted")
+    spelling.mapInPandas(spell, "anchor long, sid long, n int, words binary, doc_id string, rank long, start long").withColumn(
+        "doc_id", F.col("doc_id").cast(id_type)).write.parquet(path)
+    spelled = spark.read.parquet(path)
+    path = scratch_path(spark, "dedup-crowded")  # written, so its true size decides how it is joined
+    distinct.groupBy("anchor").agg(F.count("*").alias("c")).where(F.col("c") > anchor_segments).select("anchor").write.parquet(path)
+    crowded = spark.read.parquet(path)
     n_shards = distinct.count() // shard_segments + 1
 
     def stream(g: pd.DataFrame) -> pd.DataFrame:
@@ -213,23 +220,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
             if mask != (1 << n) - 1:
                 automaton.add(words)
             masks.append(mask)
-        return pd.DataFrame({"anchor": g["anchor"], "sid": g["sid"], "mask": masks})
+        return pd.DataFrame({"sid": g["sid"], "mask": masks})
 
     zero = F.lit(0 if id_type != "string" else "").cast(id_type)
     quiet = spelled.join(crowded, "anchor", "left_anti").select(
-        F.pmod("anchor", F.lit(n_shards)).alias("shard"), "anchor", "sid", "words", "n", F.col("first.doc_id").isNotNull().alias("has_id"),
-        F.coalesce("first.doc_id", zero).alias("doc_id"), F.col("first.rank").alias("rank"), F.col("first.start").alias("start"))
-    masks = quiet.groupBy("shard").applyInPandas(stream, "anchor long, sid long, mask long")
-    windows = spelled.join(crowded, "anchor").select("anchor", "sid", "words", "first", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
-    windows = windows.select("anchor", "sid", "i", F.expr(f"substring(words, 1 + 4 * i, {4 * window})").alias("w"),
-                             F.struct("first.doc_id", "first.rank", (F.col("first.start") + F.col("i")).alias("start")).alias("at"))
+        F.pmod("anchor", F.lit(n_shards)).alias("shard"), "sid", "words", "n", F.col("doc_id").isNotNull().alias("has_id"),
+        F.coalesce("doc_id", zero).alias("doc_id"), "rank", "start")
+    masks = quiet.groupBy("shard").applyInPandas(stream, "sid long, mask long")
+    windows = spelled.join(crowded, "anchor").select("sid", "words", "doc_id", "rank", "start", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    windows = windows.select("sid", "i", F.expr(f"substring(words, 1 + 4 * i, {4 * window})").alias("w"),
+                             F.struct("doc_id", "rank", (F.col("start") + F.col("i")).alias("start")).alias("at"))
     earliest = windows.groupBy("w").agg(F.min("at").alias("least"))
-    later = windows.join(earliest, "w").groupBy("anchor", "sid").agg(
+    later = windows.join(earliest, "w").groupBy("sid").agg(
         F.sum(F.when(F.col("least") < F.col("at"), F.expr("shiftleft(1L, i)")).otherwise(0)).alias("mask"))
-    judged = distinct.select("anchor", "sid", F.col("first.node").alias("first_node"), F.col("first.start").alias("first_start")).join(
-        masks.unionByName(later), ["anchor", "sid"])
+    judged = distinct.select("sid", F.col("first.node").alias("first_node"), F.col("first.start").alias("first_start")).join(
+        masks.unionByName(later), "sid")
     is_first = (F.col("node") == F.col("first_node")) & (F.col("start") == F.col("first_start"))
-    spans = (segments.join(judged, ["anchor", "sid"])
+    spans = (segments.select("node", "start", "n", "sid").join(judged, "sid")
              .select("node", "start", F.when(is_first, F.col("mask")).otherwise(F.expr("shiftleft(1L, n) - 1")).alias("mask"))
              .where("mask <> 0").groupBy("node").agg(F.collect_list(F.struct("start", "mask")).alias("spans")))
 
