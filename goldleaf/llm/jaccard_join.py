@@ -151,17 +151,20 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     placed = spark.read.parquet(path)
     main = placed.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(
         F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("components")).where("components > 1")
-    open_postings = placed.join(main.select("key", "main"), "key")
+    prefixes = left.select("node", "prefix", "levels")
+    open_postings = placed.join(main.select("key", "main"), "key").join(prefixes, "node")
     few = open_postings.where("component <> main").select(
-        "key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("shared").alias("sx"), F.col("matches").alias("mx"), F.col("level").alias("lx"),
-        F.col("component").alias("cx"))
+        "key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("shared").alias("sx"), F.col("matches").alias("mx"),
+        F.col("component").alias("cx"), F.col("prefix").alias("px"), F.col("levels").alias("lx"))
     most = F.least("shared", "sx")  # two sets cannot have more in common than either has in common with any other
     alike = (F.col("component") != F.col("cx")) & ((F.col("component") == F.col("main")) | (F.col("x") < F.col("node"))) & (
         100 * most >= percent * (F.col("n") + F.col("nx") - most))
     asked = F.least("matches", "mx")
-    pairs = (few.join(open_postings, "key").where(alike & (F.greatest("level", "lx") <= asked))
-             .groupBy(F.col("x").alias("a"), F.col("node").alias("b"), asked.alias("asked")).agg(F.count("*").alias("got"))
-             .where("got >= asked").select("a", "b"))
+    within = lambda keys, levels: F.filter(keys, lambda k, i: F.get(F.col(levels), i) <= asked)
+    common = F.array_intersect(within("px", "lx"), within("prefix", "levels"))
+    # A pair counts under the first prefix shingle that it shares, and only with enough of them.
+    once = (F.size(common) >= asked) & (F.get(common, F.lit(0)) == F.col("key"))
+    pairs = few.join(open_postings.drop("level"), "key").where(alike & F.when(alike, once)).select(F.col("x").alias("a"), F.col("node").alias("b"))
     second = linked(pairs, "join-links")
     final = components(first.unionByName(second))
     named = classes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
