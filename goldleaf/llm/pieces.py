@@ -21,8 +21,8 @@ from goldleaf.llm.chunks import mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Characters of text that are encoded at a time.
-SLICE_CHARS = 6_000_000
+#: Characters of text that are encoded at a time, some 150 MB of working memory.
+SLICE_CHARS = 1_500_000
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 
