@@ -98,7 +98,7 @@ RULES = (
     Rule("symbols", "10 * n_symbols > n_words", ("n_words", "n_symbols")),
     Rule("shouting", "n_upper > n_lower", ("n_upper", "n_lower")),
     Rule("marks", "3 * n_marks > n_words", ("n_words", "n_marks")),
-    Rule("dup_lines", "100 * n_dup_lines > 30 * n_lines", ("n_lines", "n_dup_lines")),
+    Rule("dup_lines", "n_dup_lines > 2 and 100 * n_dup_lines > 30 * n_lines", ("n_lines", "n_dup_lines")),
     Rule("repeat_words", "100 * n_repeat_words > 50 * n_words", ("n_words", "n_repeat_words")),
 )
 BASE_RULES = ("too_few_words", "repeat_words")

@@ -83,7 +83,7 @@ j AS (SELECT *, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 14 * n_words OR 10 * n_symbols > n_words OR up > lo
-    OR 3 * marks > n_words OR 100 * n_dup_lines > 30 * len(ls)) AS kept FROM j
+    OR 3 * marks > n_words OR (n_dup_lines > 2 AND 100 * n_dup_lines > 30 * len(ls))) AS kept FROM j
 """
 
 
