@@ -43,11 +43,13 @@ def gunzip_all(data: bytes) -> bytes:
     """All members of a gzip file (a truncated last one as far as it goes), or the data as it is."""
     if data[:2] != b"\x1f\x8b":
         return data
-    out = []
-    while data[:2] == b"\x1f\x8b":
+    out, at, view = [], 0, memoryview(data)
+    while data[at:at + 2] == b"\x1f\x8b":
         z = zlib.decompressobj(31)
-        out.append(z.decompress(data))
-        data = z.unused_data
+        while at < len(data) and not z.eof:  # in pieces, as a member's end copies what was fed beyond it
+            piece = view[at:at + 16_384]
+            out.append(z.decompress(piece))
+            at += len(piece) - len(z.unused_data)
     return b"".join(out)
 
 
