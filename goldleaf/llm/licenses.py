@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pkgutil
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +52,25 @@ KNOWN = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
 )
+_MIT, _ISC, _0BSD = (next(t for k, t in reversed(KNOWN) if k == i) for i in ("MIT", "ISC", "0BSD"))
+#: Whole license texts kept in ``known_licenses``, with the number of lines that form the title.
+TITLED = (
+    ("Apache-2.0", 3), ("Artistic-1.0-Perl", 1), ("BSL-1.0", 1), ("CC0-1.0", 2), ("GFDL-1.2", 2), ("GFDL-1.3", 2), ("GPL-1.0", 2),
+    ("GPL-2.0", 2), ("GPL-3.0", 2), ("LGPL-2.0", 2), ("LGPL-2.1", 2), ("LGPL-3.0", 2), ("MPL-1.1", 2), ("MPL-2.0", 1),
+)
+#: Titles that are put before texts that have none of their own.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "0BSD License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "The BSD 2-Clause License", "Simplified BSD License",
+                     'BSD 2-Clause "Simplified" License', "FreeBSD License", "BSD License", "The BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "The BSD 3-Clause License", "New BSD License", "Modified BSD License",
+                     'BSD 3-Clause "New" or "Revised" License', "BSD License", "The BSD License"),
+    "Unlicense": ("Unlicense", "The Unlicense"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"),
+}
+_END = re.compile("^ *END OF TERMS AND CONDITIONS *$", re.M)
 #: Most rows of the known table that may be sent to every executor; a larger table is joined by a shuffle.
 BROADCAST_ROWS = 100_000
 _COPYRIGHT = "^[^a-z0-9]*(copyright|\\(c\\)|©|all rights reserved)"
@@ -102,6 +124,34 @@ def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
             .groupBy("digest").agg(F.min("license_id").alias("license_id")))
 
 
+def _kept(name: str) -> str:
+    return pkgutil.get_data(__package__, f"known_licenses/{name}.txt").decode()
+
+
+def _bsd_texts() -> list[tuple[str, str]]:
+    """BSD texts of two and three clauses, numbered or with bullets, naming a holder, an owner or the Regents."""
+    three = [_kept("BSD-3-Clause"), _kept("BSD-3-Clause-UC")]
+    named = [("BSD-3-Clause", t) for t in three] + [("BSD-2-Clause", re.sub("(?ms)^3\\. Neither.*?\n\n", "\n", three[0]))]
+    named += [(i, t.replace("HOLDER OR CONTRIBUTORS", "OWNER OR CONTRIBUTORS")) for i, t in named]
+    return named + [(i, re.sub(r"(?m)^ *\d\. ", "* ", t)) for i, t in named]
+
+
+def whole_texts() -> tuple[tuple[str, str], ...]:
+    """(license_id, text) of whole license texts: each with its title, with each ending of it and without, and, where the
+    terms have a marked end, also without what follows it and without the mark."""
+    found = []
+    for license_id, n_title in TITLED:
+        text = _kept(license_id)
+        end = _END.search(text)
+        for body in [text] + ([text[:end.end()], text[:end.start()]] if end else []):
+            lines = [x for x in body.split("\n") if x.strip()]
+            found += [(license_id, "\n".join(lines[n:])) for n in range(n_title + 1)]
+    plain = [("MIT", _MIT), ("ISC", _ISC), ("0BSD", _0BSD), ("Unlicense", _kept("Unlicense")), ("Zlib", _kept("Zlib")), *_bsd_texts()]
+    for license_id, text in plain:
+        found += [(license_id, text), *[(license_id, f"{title}\n\n{text}") for title in TITLES[license_id]]]
+    return tuple(dict.fromkeys(found))
+
+
 def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Look up each whole text, and each of its lines as a text of its own, among the known digests.
 

@@ -122,7 +122,7 @@ def op8_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.known_digests(spark, licenses.KNOWN + licenses.whole_texts()))
 
 
 OP6_SQL = """

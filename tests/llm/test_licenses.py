@@ -21,3 +21,22 @@ def test_scan_cases(spark):
     assert licenses.scan_licenses(df.limit(0), licenses.known_digests(spark)).count() == 0
     none = licenses.known_digests(spark).limit(0)
     assert {r.license_id for r in licenses.scan_licenses(df, none).collect()} == {None}
+
+
+def test_whole_license_files(spark):
+    """Files as they are found in repositories: with and without title, owner's lines, appendix."""
+    kept = {i: licenses._kept(i) for i, _ in licenses.TITLED}
+    apache, gpl = kept["Apache-2.0"], kept["GPL-3.0"]
+    mit = next(t for i, t in licenses.KNOWN if i == "MIT" and len(t) > 500)
+    bsd = licenses._kept("BSD-3-Clause")
+    two = bsd[:bsd.index("3. Neither")] + bsd[bsd.index("THIS SOFTWARE"):]
+    docs = [("MIT", "MIT License\n\nCopyright (c) 2020 A. Body\n\n" + mit), ("MIT", "The MIT License (MIT)\n\n(c) 2021 B\n\n" + mit), ("MIT", mit),
+            ("ISC", "ISC License\n\nCopyright 2020 C\n\n" + licenses._ISC), ("Apache-2.0", apache.replace("[yyyy]", "2020")),
+            ("Apache-2.0", apache[:apache.index("   APPENDIX")]), ("Apache-2.0", apache[apache.index("   TERMS AND"):]),
+            ("GPL-3.0", gpl.split("\n", 2)[2]), ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, D\nAll rights reserved.\n\n" + bsd),
+            ("BSD-2-Clause", "Copyright (c) 2020, D\n\n" + two), ("BSD-2-Clause", two.replace("1. ", "* ").replace("2. ", "* ")),
+            (None, "MIT License"), (None, apache + gpl), *kept.items()]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(docs)], "doc_id long, text string")
+    known = licenses.known_digests(spark, licenses.KNOWN + licenses.whole_texts())
+    got = {r.doc_id: r.license_id for r in licenses.scan_licenses(df, known).collect()}
+    assert [got[i] for i in range(len(docs))] == [want for want, _ in docs]
