@@ -14,7 +14,7 @@ _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
 def op1_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
-    scored = lm_interpolation.score(table(spark, sf_dir, "documents"), ~held_out)
+    scored = lm_interpolation.score(table(spark, sf_dir, "documents"), ~held_out, order=3)
     return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

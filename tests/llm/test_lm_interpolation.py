@@ -83,6 +83,16 @@ def test_query_beats_the_base_on_held_out_texts(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_query_uses_contexts_of_two_words(spark, workdir):
+    """Pairs of words alike in every text: only the two words before tell which one follows."""
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    train = [(i, ("a b c", "d b e")[n % 2]) for n, i in enumerate(i for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 1)]
+    rows = train + [(held[0], "a b c"), (held[1], "a b e")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{workdir}/documents.parquet")
+    got = {r.doc_id: r.score for r in op1_interpolated_lm(spark, workdir).collect()}
+    assert got[held[0]] > got[held[1]] + 0.3
+
+
 def test_packing_round_trip():
     import numpy as np
 
