@@ -7,7 +7,8 @@
 * ``with_lineage`` adds ``_ingestion_timestamp`` and ``_source_file``.
 * ``evolve_union`` is schema evolution between runs: new fields become columns,
   older rows carry NULL.
-* ``rescue`` keeps fields and values that do not fit the schema in ``_rescued_data``.
+* ``rescue`` keeps fields and values that do not fit the schema in ``_rescued_data``; JSON snapshots read
+  with a schema have that column too (``rescue_records``).
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Lineage column names and the season pattern.
+# Lineage column names, Spark's name for broken records, and the season pattern.
 LINEAGE_TS = "_ingestion_timestamp"
 LINEAGE_FILE = "_source_file"
+CORRUPT = "_corrupt_record"
 SEASON_PATTERN = r"(\d{4}-\d{2})"
 
 
@@ -47,7 +49,9 @@ def infer_schema(spark: SparkSession, path: str, fmt: str = "json", multiline: b
     opts = dict(options or {})
     if fmt == "csv":
         opts.setdefault("inferSchema", True)
-    return _reader(spark, fmt, multiline, opts, stream=False).load(path).schema
+    found = _reader(spark, fmt, multiline, opts, stream=False).load(path).schema
+    # a broken record is no field: it goes to the rescue column
+    return T.StructType([f for f in found.fields if fmt != "json" or f.name != CORRUPT])
 
 
 def infer_once(spark: SparkSession, path: str, schema_location: str, fmt: str = "json",
@@ -64,10 +68,29 @@ def infer_once(spark: SparkSession, path: str, schema_location: str, fmt: str =
     return schema
 
 
+def _rescues(fmt: str, schema: T.StructType | None, options: dict) -> bool:
+    """JSON under a schema is read as text and rescued, unless the caller asks for another mode or encoding of Spark's reader."""
+    given = {k.lower(): v for k, v in options.items()}
+    return (fmt == "json" and schema is not None and str(given.get("mode", "PERMISSIVE")).upper() == "PERMISSIVE"
+            and not given.keys() & {"encoding", "charset"})
+
+
+def _texts(r, multiline: bool, options: dict):
+    r = r.format("text").option("wholetext", multiline)
+    for k, v in options.items():
+        r = r.option(k, v)
+    return r
+
+
 def read_snapshots(spark: SparkSession, path: str, fmt: str = "json", schema: T.StructType | None = None,
                    multiline: bool = False, options: dict | None = None) -> DataFrame:
-    """Batch read of a landing folder (all files, any depth)."""
+    """Batch read of a landing folder (all files, any depth).
+
+    JSON with a schema gets a last column ``_rescued_data`` (see ``rescue_records``).
+    """
     opts = {"recursiveFileLookup": True, **(options or {})}
+    if _rescues(fmt, schema, opts):
+        return rescue_records(_texts(spark.read, multiline, opts).load(path), "value", schema, opts)
     if schema is None and fmt == "csv":
         opts.setdefault("inferSchema", True)
     r = _reader(spark, fmt, multiline, opts, stream=False)
@@ -78,10 +101,15 @@ def read_snapshots(spark: SparkSession, path: str, fmt: str = "json", schema: T.
 
 def stream_snapshots(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json",
                      multiline: bool = False, max_files: int | None = None, options: dict | None = None) -> DataFrame:
-    """Incremental file source: each trigger reads only files not seen before."""
+    """Incremental file source: each trigger reads only files not seen before.
+
+    JSON gets a last column ``_rescued_data`` (see ``rescue_records``).
+    """
     opts = {"recursiveFileLookup": True, **(options or {})}
     if max_files:
         opts["maxFilesPerTrigger"] = max_files
+    if _rescues(fmt, schema, opts):
+        return rescue_records(_texts(spark.readStream, multiline, opts).load(path), "value", schema, opts)
     return _reader(spark, fmt, multiline, opts, stream=True).schema(schema).load(path)
 
 
@@ -107,9 +135,6 @@ def evolve_schema(spark: SparkSession, path: str, schema_location: str, fmt: str
     return merged
 
 
-CORRUPT = "_corrupt_record"
-
-
 def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV files with headers, their columns matched by name, every value as text, with lineage.
 
@@ -173,6 +198,58 @@ def rescue(df: DataFrame, raw_col: str, schema: T.StructType, out: str = "_rescu
     return df.withColumn("__m", m).select(*keep, *typed, rescued.alias(out))
 
 
+def _outside(text: Column, dt: T.DataType) -> Column:
+    """Whether JSON text of type ``dt`` holds a field, at any depth, that the type does not have."""
+    if isinstance(dt, T.StructType):
+        m = F.from_json(text, "map<string,string>")
+        found = F.exists(F.map_keys(m), lambda k: ~k.isin(*dt.names)) if dt.names else F.size(m) > 0
+        for f in dt.fields:
+            if isinstance(f.dataType, _NESTED):
+                found = found | _outside(m[f.name], f.dataType)
+    elif isinstance(dt, T.ArrayType) and isinstance(dt.elementType, _NESTED):
+        found = F.exists(F.from_json(text, "array<string>"), lambda x: _outside(x, dt.elementType))
+    elif isinstance(dt, T.MapType) and isinstance(dt.valueType, _NESTED):
+        found = F.exists(F.map_values(F.from_json(text, "map<string,string>")), lambda x: _outside(x, dt.valueType))
+    else:
+        return F.lit(False)
+    return F.coalesce(found, F.lit(False))
+
+
+_NESTED = (T.StructType, T.ArrayType, T.MapType)
+
+
+def rescue_records(df: DataFrame, raw_col: str, schema: T.StructType, options: dict | None = None,
+                   out: str = "_rescued_data") -> DataFrame:
+    """Rows of JSON text ``raw_col`` as Spark's JSON reader gives them, without losing anything.
+
+    Blank texts give no row, an array at the root one row per element. ``out`` (NULL when nothing was rescued) holds, as a JSON object of their text,
+    fields outside the schema, values that do not fit their type, and nested fields with such a field or value inside, each
+    whole; a text that is no JSON object is kept as it is, under NULLs.
+    """
+    from goldleaf.sources.landing import JSON_TIME_OPTIONS
+
+    raw = F.col(raw_col)
+    items = F.when(F.ltrim(raw).startswith("["), F.from_json(raw, "array<string>"))
+    rows = df.where(raw.rlike("[^\\s]")).withColumn("__r", F.explode(F.coalesce(items, F.array(raw))))
+    fields = T.StructType([*schema.fields, T.StructField("__bad", T.StringType())])
+    opts = {**JSON_TIME_OPTIONS, **{k: str(v) for k, v in (options or {}).items()}, "columnNameOfCorruptRecord": "__bad"}
+    rows = rows.withColumn("__p", F.from_json("__r", fields, opts)).withColumn("__m", F.from_json("__r", "map<string,string>"))
+    bad = F.col("__p")["__bad"].isNotNull()
+    kept = F.col("__m")
+    known = [f.name for f in schema.fields]
+    extra = F.map_filter(kept, lambda k, v: ~k.isin(*known)) if known else kept
+    entries = []
+    for f in schema.fields:
+        value = kept[f.name]
+        misfit = (bad | _outside(value, f.dataType)) if isinstance(f.dataType, _NESTED) else F.col("__p")[f.name].isNull()
+        entries.append(F.struct(F.lit(f.name).alias("k"), F.when(misfit, value).alias("v")))
+    misfits = F.map_filter(F.map_from_entries(F.array(*entries)), lambda k, v: v.isNotNull()) if entries else F.create_map().cast("map<string,string>")
+    leftover = F.map_concat(misfits, extra)
+    rescued = F.when(kept.isNull(), F.col("__r")).when(F.size(leftover) > 0, F.to_json(leftover))
+    keep = [c for c in df.columns if c != raw_col]
+    return rows.select(*keep, *[F.col("__p")[f.name].alias(f.name) for f in schema.fields], rescued.alias(out))
+
+
 def rescue_columns(df: DataFrame, schema: T.StructType, out: str = "_rescued_data",
                    keep: tuple[str, ...] = (LINEAGE_TS, LINEAGE_FILE)) -> DataFrame:
     """Rescue for flat sources (CSV with a header): project ``df`` onto ``schema``.

@@ -186,3 +186,28 @@ def test_silver_projection_on_a_stream(spark, workdir):
     rows = sorted((r.player_id, r.current_price, r._source_file.rsplit("/", 1)[-1])
                   for r in spark.read.parquet(f"{workdir}/silver").collect())
     assert rows == [(i, 45.0, f"bootstrap-static_2025-08-0{i + 1}T080000Z.json") for i in range(3)]
+
+
+def test_json_snapshots_rescue_what_does_not_fit(spark, workdir):
+    d = _local(workdir)
+    lines = ['{"id": 1, "at": "2001-01-01T00:00:00.000000Z", "sub": {"a": 1}}', '{"id": 2, "sub', '{"id": "3x", "name": "n"}', "",
+             '{"id": 4, "more": [1, 2]}', '{"id": 5, "sub": {"a": 2, "b": 7}}', '{"id": 6, "sub": {"a": "z"}}', "[]", '[{"id": 7}, {"id": 8, "w": null, "x": "y"}]',
+             "17", '{"id": null}']
+    _write_text(f"{d}/in", "a.json", "\n".join(lines))
+    schema = T.StructType.fromDDL("id long, name string, at timestamp, sub struct<a:int>")
+    out = f"{workdir}/out"
+    stream = files.with_lineage(files.stream_snapshots(spark, f"{d}/in", schema))
+    assert append_stream(stream, out, f"{workdir}/ckpt") == 1
+    batch = files.with_lineage(files.read_snapshots(spark, f"{d}/in", "json", schema))
+    for df in (spark.read.parquet(out), batch):
+        assert df.columns == [*schema.names, "_rescued_data", "_ingestion_timestamp", "_source_file"]
+        rows = df.collect()
+        assert all(r._source_file.endswith("a.json") for r in rows)
+        kept = sorted((r.id, json.loads(r._rescued_data)) for r in rows if r._rescued_data and r.id)
+        assert [(i, {k: json.loads(v) if k in ("sub", "more") else v for k, v in m.items()}) for i, m in kept] == [
+            (4, {"more": [1, 2]}), (5, {"sub": {"a": 2, "b": 7}}), (6, {"sub": {"a": "z"}}), (8, {"w": None, "x": "y"})]
+        assert sorted(r._rescued_data for r in rows if r._rescued_data and not r.id and r.name is None) == ["17", '{"id": 2, "sub']
+        assert [json.loads(r._rescued_data) for r in rows if r.name] == [{"id": "3x"}]
+        clean = [r for r in rows if r._rescued_data is None]
+        assert sorted((r.id or 0, r.at is not None) for r in clean) == [(0, False), (1, True), (7, False)]
+    assert "_corrupt_record" not in files.infer_schema(spark, f"{d}/in").names
