@@ -207,12 +207,15 @@ def questions(chunk: int, kind: int, role: int, keys: np.ndarray, counts: np.nda
     return out
 
 
-def answer(asked: DataFrame, totals: tuple[tuple[int, ...], ...], path: str, cap: int | None = None) -> DataFrame:
+def answer(asked: DataFrame, totals: tuple[tuple[int, ...], ...], path: str, cap: int | None = None,
+           told_to: tuple[tuple[int, ...] | None, ...] | None = None) -> DataFrame:
     """Sum the counts of equal keys over all chunks; one total per set of roles in ``totals``.
 
     Writes and returns rows of ANSWER: per question its totals in the order of its keys, and under chunk -1 the
     sum and the number of distinct keys of each total in the shard. ``cap`` limits what is told of a total.
+    ``told_to`` names per total the roles whose questions are told it (None: all); the others get none.
     """
+    to_roles = told_to or (None,) * len(totals)
 
     def merge(g: pd.DataFrame) -> pd.DataFrame:
         keys = [unpack(k, np.uint64) for k in g["keys"]]
@@ -233,7 +236,8 @@ def answer(asked: DataFrame, totals: tuple[tuple[int, ...], ...], path: str, cap
             each = np.empty(len(keys), np.uint32)
             each[order] = (per_key if cap is None else np.minimum(per_key, cap))[number]
             told.append(np.split(each, np.cumsum(lens)[:-1]))
-        rows = [(c, s, k, [pack(t[i]) for t in told], None) for i, (c, s, k) in enumerate(zip(g["chunk"], g["shard"], g["kind"]))]
+        rows = [(c, s, k, [pack(t[i]) if to is None or r in to else b"" for t, to in zip(told, to_roles)], None)
+                for i, (c, s, k, r) in enumerate(zip(g["chunk"], g["shard"], g["kind"], g["role"]))]
         rows.append((-1, int(g["shard"].iloc[0]), int(g["kind"].iloc[0]), None, sums))
         return pd.DataFrame(rows, columns=["chunk", "shard", "kind", "totals", "sums"])
 

@@ -49,7 +49,7 @@ def _asked(order: int, shards: int):
                 for n, (number, keys) in enumerate(_grams(row, order)[2], 1):
                     by = np.argsort(keys)
                     counts = np.bincount(number, minlength=len(keys))
-                    rows += C.questions(row.chunk, n, row.role, keys[by], counts[by], shards)
+                    rows += C.questions(row.chunk, n, row.role, keys[by], None if row.role == OTHER else counts[by], shards)
                 yield pd.DataFrame(rows, columns=["chunk", "shard", "kind", "role", "keys", "counts"])
     return ask
 
@@ -135,7 +135,7 @@ def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str
     chunks = C.write_chunks(docs, id_col, text_col, "lm-chunks", lower=True, end_token=True, role=role, chunk_words=chunk_words)
     shards = C.shard_count(chunks)
     asked = chunks.select("chunk", "role", "lens", "tokens", "hashes").mapInPandas(_asked(order, shards), C.ASK)
-    answers = C.answer(asked, ((COUNTED, TUNING), (COUNTED,)), scratch_path(spark, "lm-counts"))
+    answers = C.answer(asked, ((COUNTED, TUNING), (COUNTED,)), scratch_path(spark, "lm-counts"), told_to=(None, (TUNING,)))
     sums = answers.where("chunk = -1 and kind = 1").agg(*[F.coalesce(F.sum(F.get("sums", F.lit(i))), F.lit(0)).alias(f"s{i}") for i in range(4)]).first()
     docs_in = {r["role"]: r["n"] for r in chunks.groupBy("role").agg(F.sum(F.size("ids")).alias("n")).collect()}
     n_all, v_all, n_part, v_part = sums
