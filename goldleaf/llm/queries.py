@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import (arc, decontaminate, jaccard_join, licenses, lm_interpolation, pieces, pii, preference, quality,
-                          substring_dedup)
+from goldleaf.llm import (arc, collocations, decontaminate, hypervectors, jaccard_join, licenses, lm_interpolation, pieces, pii, preference,
+                          quality, substring_dedup, term_audit)
 from goldleaf.llm.text import table
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
@@ -198,6 +198,68 @@ SELECT cut.pair_id, CAST(n AS BIGINT) AS n_prompt_turns, coalesce(prompt, '') AS
 FROM cut LEFT JOIN p USING (pair_id) LEFT JOIN chosen_c c USING (pair_id) LEFT JOIN rejected_c j USING (pair_id)
 """
 
+
+def op11_suffix_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000, absorbed_percent=100)
+
+
+OP11_SQL = """
+WITH p AS (SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+n AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, w[i:i + m - 1] AS ws, m FROM p, unnest(range(1, 6)) AS k(m), unnest(range(1, len(w) - m + 2)) AS r(i)),
+f AS (SELECT lang, array_to_string(ws, ' ') AS phrase, any_value(ws) AS ws, any_value(m) AS m, CAST(count(*) AS HUGEINT) AS total
+  FROM g GROUP BY lang, array_to_string(ws, ' ') HAVING count(*) >= 100),
+c AS (SELECT f.lang, f.phrase, f.m, f.total AS a, n.n, x.total AS l, y.total AS r, k,
+  (CAST(1000 AS HUGEINT) * f.total * n.n) // (x.total * y.total) AS score
+  FROM f JOIN n USING (lang), unnest(range(1, f.m)) AS u(k)
+  JOIN f x ON x.lang = f.lang AND x.phrase = array_to_string(f.ws[1:k], ' ')
+  JOIN f y ON y.lang = f.lang AND y.phrase = array_to_string(f.ws[k + 1:f.m], ' ')),
+s AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT DISTINCT f.lang, array_to_string(f.ws[i:i + m2 - 1], ' ') AS phrase, f.total AS longer
+  FROM f, unnest(range(2, f.m)) AS u(m2), unnest(range(1, f.m - m2 + 2)) AS v(i)),
+kept AS (SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM inside x WHERE x.lang = s.lang AND x.phrase = s.phrase AND 100 * x.longer >= 100 * s.a)),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+first AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+mark AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+  100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t), regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > first, false)] AS fails
+  FROM d JOIN first USING (t) LEFT JOIN mark USING (doc_id)),
+cell AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+o AS (SELECT [a.x, b.x, c.x, e.x, f.x] AS o FROM range(1, 6) a(x), range(1, 6) b(x), range(1, 6) c(x), range(1, 6) e(x), range(1, 6) f(x)
+  WHERE len(list_distinct([a.x, b.x, c.x, e.x, f.x])) = 5),
+s AS (SELECT o, step, o[step] AS own, list_transform(o, lambda x: 'ABCDE'[x]) AS letters FROM o, range(1, 6) AS r(step)),
+j AS (SELECT part, array_to_string(letters, '') AS filter_order, step, own, n, good, toxic, fails[own] AS mine,
+  len(list_filter(o[1:step - 1], lambda x: fails[x])) > 0 AS gone, len(list_filter(fails, lambda x: x)) AS n_fails FROM cell, s),
+t AS (SELECT part, filter_order, step, own, sum(CASE WHEN NOT gone AND NOT mine THEN n ELSE 0 END) AS kept,
+  sum(CASE WHEN mine AND NOT gone THEN n ELSE 0 END) AS removed, sum(CASE WHEN mine AND gone THEN n ELSE 0 END) AS redundant,
+  sum(CASE WHEN mine AND n_fails = 1 THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN mine AND NOT gone THEN good ELSE 0 END) AS good_lost,
+  sum(CASE WHEN mine AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost FROM j GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM t
+"""
+
+
+def op13_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    predicted = hypervectors.predict(docs, ~held_out)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_interpolated_lm": op1_interpolated_lm,
     "op2_automaton_dedup": op2_automaton_dedup,
@@ -209,6 +271,9 @@ QUERIES = {
     "op8_piece_sampling": op8_piece_sampling,
     "op9_license_digest": op9_license_digest,
     "op10_preference_format": op10_preference_format,
+    "op11_suffix_collocations": op11_suffix_collocations,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_hyperdimensional_language": op13_hyperdimensional_language,
 }
 ORACLE = {
     "op2_automaton_dedup": OP2_SQL,
@@ -218,4 +283,6 @@ ORACLE = {
     "op6_arc_to_warc": OP6_SQL,
     "op9_license_digest": OP9_SQL,
     "op10_preference_format": OP10_SQL,
+    "op11_suffix_collocations": OP11_SQL,
+    "op12_filter_audit": OP12_SQL,
 }
