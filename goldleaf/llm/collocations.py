@@ -3,7 +3,8 @@
 Every word of a text starts a suffix: it and the words behind it in its piece, cut off after five words, or before a word too
 rare for any phrase. Suffixes are parted vertically: a word's suffixes are one subtree if they fit the memory budget, else the subtrees of
 its two-word prefixes, and so on; small prefixes share a group up to the budget. Each group's task sorts its suffixes, which lays its
-subtrees out: a node is a run of suffixes with the same first words, and its count is the sum of the leaves in the run.
+subtrees out: a node is a run of suffixes with the same first words, and its count is the sum of the leaves in the run. The nodes above the
+subtrees, prefixes beyond the budget, are summed over their groups.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ _PIECE_ENDS, _BLANKS, _END = b".,;:!?\n\x0b\x0c\r", b"\t", b"."
 _TABLE = bytes.maketrans(bytes(range(65, 91)) + _PIECE_ENDS + _BLANKS, bytes(range(97, 123)) + _END * len(_PIECE_ENDS) + b" " * len(_BLANKS))
 _SLICE = 1 << 22
 _U64 = np.uint64
-_GATHERED = "chunk long, part string, n_vocab long, words binary, counts binary, tokens binary"
+_GATHERED = "chunk long, part string, n long, n_vocab long, words binary, counts binary, tokens binary"
 
 
 class _Tokens:
@@ -59,7 +60,7 @@ class _Tokens:
     def row(self, chunk: int, part: str) -> dict:
         tokens = np.concatenate(self.parts)
         counts = np.bincount(tokens, minlength=len(self.vocab))[1:]
-        return {"chunk": chunk, "part": part, "n_vocab": len(self.vocab) - 1, "words": packed_words(list(self.vocab)[1:]),
+        return {"chunk": chunk, "part": part, "n": int(counts.sum()), "n_vocab": len(self.vocab) - 1, "words": packed_words(list(self.vocab)[1:]),
                 "counts": pack(counts.astype(np.uint32)), "tokens": pack(tokens)}
 
 
@@ -204,17 +205,18 @@ def vertical_partition(leaves: DataFrame, depth: int, budget: int, n_leaves: int
     return plan
 
 
-def _groups(columns: list[np.ndarray], plan: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The group of each leaf: that of its shortest prefix within the budget."""
-    out, open_, base = np.full(len(columns[0]), -1, np.int64), np.ones(len(columns[0]), bool), 0
+def _groups(columns: list[np.ndarray], plan: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each leaf, which is that of its shortest prefix within the budget, and the length of that prefix."""
+    out, levels, open_, base = np.full(len(columns[0]), -1, np.int64), np.zeros(len(columns[0]), np.int64), np.ones(len(columns[0]), bool), 0
     for level, (heavy, starts) in enumerate(plan, 1):
         at = np.flatnonzero(open_)
         keys = _prefix([c[at] for c in columns], level)
         light = ~_among(keys, heavy)
         out[at[light]] = base + np.searchsorted(starts, keys[light], side="right")
+        levels[at[light]] = level
         open_[at[light]] = False
         base += len(starts) + 1
-    return out
+    return out, levels
 
 
 def frequent_phrases(docs: DataFrame, path: str, least: int = 100, longest: int = 5, text_col: str = "text", lang_col: str = "lang",
@@ -237,53 +239,49 @@ def frequent_phrases(docs: DataFrame, path: str, least: int = 100, longest: int
         return pa.Table.from_pylist(made, schema=arrow_schema(leaf_ddl))
 
     packed = ", ".join(f"{c} binary" for c in ["weights", *names])
-    leaf_ddl, dealt_ddl = f"part string, n long, {packed}", f"part string, at long, {packed}"
+    leaf_ddl, dealt_ddl = f"part string, n long, {packed}", f"part string, at long, level long, {packed}"
 
     def subtree(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         columns, weights = merged([np.concatenate([unpack(r[c], np.int64) for r in rows]) for c in names], np.concatenate([unpack(r["weights"], np.int64) for r in rows]))
         out = []
         for d in range(2, depth + 1):
-            first, totals = nodes(columns, weights, d, least)
+            # A prefix above the budget has leaves in several groups: its count is the sum of all of theirs.
+            first, totals = nodes(columns, weights, d, least if d >= rows[0]["level"] else 1)
             flat = np.stack([c[first] for c in columns[:d]], axis=1).reshape(-1) if len(first) else np.empty(0, np.int64)
             ids = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, d, dtype=np.int32)), pa.array(flat))
             out.append(pa.table({"part": pa.array([rows[0]["part"]] * len(first), pa.string()), "ids": ids, "f": pa.array(totals.astype(np.int64))}))
         return pa.concat_tables(out)
 
-    with scratch(spark, "phrase-chunks") as temporary:
-        with arrow_rows(spark, 500):
-            chunks = stored(given.mapInArrow(_tokenizer(chunk_words), _GATHERED), f"{temporary}/tokens")
-        dictionary, told = global_ids(chunks, f"{temporary}/ids", least)
-        words = stored(spelled(dictionary), f"{path}/words")
-        leaves = stored(chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(leaf_rows, leaf_ddl), f"{temporary}/leaves")
+    with scratch(spark, "phrase-leaves") as kept:
+        with scratch(spark, "phrase-chunks") as temporary:
+            with arrow_rows(spark, 500):
+                chunks = stored(given.mapInArrow(_tokenizer(chunk_words), _GATHERED), f"{temporary}/tokens")
+            dictionary, told = global_ids(chunks, f"{temporary}/ids", least)
+            words = stored(spelled(dictionary), f"{path}/words")
+            totals = stored(chunks.groupBy("part").agg(F.sum("n").alias("n")), f"{path}/totals")
+            leaves = stored(chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(leaf_rows, leaf_ddl), kept)
         n_leaves = leaves.agg(F.sum("n").alias("n")).first()["n"] or 0
-        totals = stored(chunks.select("part", "tokens").mapInArrow(_count_words, "part string, n long").groupBy("part").agg(F.sum("n").alias("n")), f"{path}/totals")
         plan = spark.sparkContext.broadcast(vertical_partition(leaves, depth, budget, n_leaves))
 
         def deal(batches):
             for batch in batches:
                 for r in batch.to_pylist():
                     columns, weights = [unpack(r[c], np.int64) for c in names], unpack(r["weights"], np.int64)
-                    of = _groups(columns, plan.value)
+                    of, levels = _groups(columns, plan.value)
                     order = np.argsort(of, kind="stable")
                     at, starts = np.unique(of[order], return_index=True)
-                    rows = [{"part": r["part"], "at": int(a), "weights": pack(weights[i])} | {c: pack(v[i]) for c, v in zip(names, columns)}
+                    rows = [{"part": r["part"], "at": int(a), "level": int(levels[i[0]]), "weights": pack(weights[i])} | {c: pack(v[i]) for c, v in zip(names, columns)}
                             for a, i in zip(at, np.split(order, starts[1:]) if len(at) else [])]
                     yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema(dealt_ddl))
 
         with arrow_rows(spark, 1):
             dealt = leaves.where("n > 0").mapInArrow(deal, dealt_ddl)
             phrases = dealt.groupBy("part", "at").applyInArrow(subtree, "part string, ids array<long>, f long")
-            phrases = stored(phrases, f"{path}/phrases")
+            phrases = stored(phrases.groupBy("part", "ids").agg(F.sum("f").alias("f")).where(F.col("f") >= least), f"{path}/phrases")
     return words.join(F.broadcast(totals), "part"), phrases.join(F.broadcast(totals), "part")
 
 
-def _count_words(batches):
-    for batch in batches:
-        for part, tokens in zip(*(c.to_pylist() for c in batch.columns)):
-            yield pa.RecordBatch.from_pylist([{"part": part, "n": int(np.count_nonzero(unpack(tokens, np.uint32)))}], schema=arrow_schema("part string, n long"))
-
-
 def _score(batches):
     """The lowest floor(1000 a n / (l r)) of a phrase's cuts, and its l and r; of equal ones that with the shortest first part."""
     for batch in batches:
