@@ -13,13 +13,17 @@
 
 from __future__ import annotations
 
+import csv
 import json
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldleaf.sources.nested import merge_types, union_evolved
+
 # Lineage column names, Spark's name for broken records, and the season pattern.
 LINEAGE_TS = "_ingestion_timestamp"
 LINEAGE_FILE = "_source_file"
@@ -117,8 +121,8 @@ def evolve_schema(spark: SparkSession, path: str, schema_location: str, fmt: str
                   multiline: bool = False, options: dict | None = None) -> T.StructType:
     """The persisted schema widened by the fields of the files now present, saved under a new version.
 
-    Run it before a stream starts: new fields become columns at the end, known ones keep their type (values that do not
-    fit are for ``rescue``). Rows read earlier have NULL in later columns when the table is read with this schema. Versions are folders ``v=<n>``, so an
+    Run it before a stream starts: new fields become columns at the end, or nested fields at the end of their struct at any depth (see
+    ``nested.merge_types``); known ones keep their type (values that do not fit are for ``rescue``). Rows read earlier have NULL in later columns when the table is read with this schema. Versions are folders ``v=<n>``, so an
     interrupted save leaves the last whole one in force.
     """
     try:
@@ -127,7 +131,7 @@ def evolve_schema(spark: SparkSession, path: str, schema_location: str, fmt: str
         found = None
     known = T.StructType.fromJson(json.loads(found["value"])) if found else T.StructType([])
     now = infer_schema(spark, path, fmt, multiline, {"recursiveFileLookup": True, **(options or {})})
-    merged = T.StructType([*known.fields, *[f for f in now.fields if f.name not in known.names]])
+    merged = merge_types(known, now)
     if merged != known:
         version = (found["v"] if found else 0) + 1
         spark.createDataFrame([(merged.json(),)], "value string").coalesce(1).write.mode("overwrite").text(
@@ -135,23 +139,36 @@ def evolve_schema(spark: SparkSession, path: str, schema_location: str, fmt: str
     return merged
 
 
+def _header_names(line: str) -> list[str]:
+    """Column names of a CSV header; the second ``x`` is called ``x__2``, so a repeated name loses no values."""
+    names, seen = [], set()
+    for name in next(csv.reader([line.removeprefix("\ufeff")]), []):
+        free, n = name, 1
+        while free.lower() in seen:
+            n += 1
+            free = f"{name}__{n}"
+        seen.add(free.lower())
+        names.append(free)
+    return names
+
+
 def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV files with headers, their columns matched by name, every value as text, with lineage.
 
-    Spark takes one header for all files it reads at once and fills the others by position. So every folder (a season) is read with its own
-    header, files inside a folder must agree with it (else the read fails), and the folders are united by
-    name, absent columns NULL. A line with more or fewer values than the header is kept whole in ``_corrupt_record``. With a ``schema`` the
-    result is projected onto it by ``rescue_columns``: nothing is lost, values and columns that do not fit are kept
-    as JSON. The driver lists folders, not files: one per season.
+    Files are grouped by their header line, wherever they lie, each group is read with its own header, and the groups are united by
+    name, absent columns NULL. A header may repeat a name (see ``_header_names``) but not span lines. A line with more or fewer values than the header is kept whole
+    in ``_corrupt_record``. With a ``schema`` the result is projected onto it by ``rescue_columns``: nothing is lost, values and columns that do not fit are kept
+    as JSON. Finding the headers reads the files once more; the plan grows with the number of different headers, not of files or folders.
     """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(path)
-    folders = sorted(r[0] for r in listed.select(F.regexp_replace("path", "/[^/]*$", "")).distinct().collect())
+    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+             .where("start = 0").withColumn("at", F.monotonically_increasing_id()))
+    headers = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
     united = None
-    for folder in folders:
-        names = spark.read.option("header", True).csv(folder).columns
-        fields = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-        one = with_lineage(spark.read.option("header", True).option("enforceSchema", False)
-                           .option("columnNameOfCorruptRecord", CORRUPT).schema(fields).csv(folder))
+    for found in headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
+        fields = T.StructType([T.StructField(n, T.StringType()) for n in [*_header_names(found["header"]), CORRUPT]])
+        one = with_lineage(spark.read.option("header", True).option("columnNameOfCorruptRecord", CORRUPT).schema(fields)
+                           .csv([unquote(f) for f in found["files"]]))
         united = one if united is None else united.unionByName(one, allowMissingColumns=True)
     if united is None:
         raise FileNotFoundError(f"no CSV files under {path}")
@@ -170,12 +187,19 @@ def season_from_path(df: DataFrame, path_col: str = LINEAGE_FILE, pattern: str =
 
 
 def evolve_union(older: DataFrame, newer: DataFrame) -> DataFrame:
-    """Union by name where fields new in either side become columns (NULL on the other side)."""
-    return older.unionByName(newer, allowMissingColumns=True)
+    """Union by name where fields new in either side, at any depth, become fields (NULL on the other side)."""
+    return union_evolved(older, newer)
+
 
+def _repeats(text: Column) -> Column:
+    """Whether JSON text is an object in which a key stands twice (which no map can hold)."""
+    keys = F.json_object_keys(text)
+    return F.coalesce(F.size(keys) > F.size(F.array_distinct(keys)), F.lit(False))
 
-def _sql_type(dt: T.DataType) -> str:
-    return dt.simpleString()
+
+def _entries(text: Column) -> Column:
+    """The fields of a JSON object as a map of texts; NULL for other text and for an object that repeats a key."""
+    return F.from_json(F.when(~_repeats(text), text), "map<string,string>")
 
 
 def rescue(df: DataFrame, raw_col: str, schema: T.StructType, out: str = "_rescued_data") -> DataFrame:
@@ -183,33 +207,37 @@ def rescue(df: DataFrame, raw_col: str, schema: T.StructType, out: str = "_rescu
 
     Every schema field is read from the text and cast with ``try_cast``; fields that are not
     in the schema, and values whose cast fails, are kept as a JSON object in ``out``
-    (NULL when nothing was rescued). Text that is not a JSON object goes to ``out`` as it is.
+    (NULL when nothing was rescued). Text that is not a JSON object, and an object that repeats a key, go to ``out`` as they are, under NULLs.
     The schema itself never changes.
     """
-    m = F.from_json(F.col(raw_col), "map<string,string>")
-    typed = [F.expr(f"try_cast(__m['{f.name}'] AS {_sql_type(f.dataType)})").alias(f.name) for f in schema.fields]
-    cases = " ".join(
-        f"WHEN '{f.name}' THEN v IS NOT NULL AND try_cast(v AS {_sql_type(f.dataType)}) IS NULL"
-        for f in schema.fields)
-    leftover = F.expr(f"map_filter(__m, (k, v) -> CASE k {cases} ELSE true END)")
-    unread = F.col(raw_col).isNotNull() & F.col("__m").isNull()
-    rescued = F.when(unread, F.col(raw_col)).when(F.size(leftover) > 0, F.to_json(leftover))
+    m, raw = F.col("__m"), F.col(raw_col)
+    typed = [m[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]
+
+    def unread(k: Column, v: Column) -> Column:
+        known = F.lit(False)
+        for f in schema.fields:
+            known = known | ((k == F.lit(f.name)) & (v.isNull() | v.try_cast(f.dataType).isNotNull()))
+        return ~known
+
+    leftover = F.map_filter(m, unread)
+    rescued = F.when(raw.isNotNull() & m.isNull(), raw).when(F.size(leftover) > 0, F.to_json(leftover))
     keep = [c for c in df.columns if c != raw_col]
-    return df.withColumn("__m", m).select(*keep, *typed, rescued.alias(out))
+    return df.withColumn("__m", _entries(raw)).select(*keep, *typed, rescued.alias(out))
 
 
 def _outside(text: Column, dt: T.DataType) -> Column:
     """Whether JSON text of type ``dt`` holds a field, at any depth, that the type does not have."""
     if isinstance(dt, T.StructType):
-        m = F.from_json(text, "map<string,string>")
+        m = _entries(text)
         found = F.exists(F.map_keys(m), lambda k: ~k.isin(*dt.names)) if dt.names else F.size(m) > 0
+        found = _repeats(text) | F.coalesce(found, F.lit(False))
         for f in dt.fields:
             if isinstance(f.dataType, _NESTED):
                 found = found | _outside(m[f.name], f.dataType)
     elif isinstance(dt, T.ArrayType) and isinstance(dt.elementType, _NESTED):
         found = F.exists(F.from_json(text, "array<string>"), lambda x: _outside(x, dt.elementType))
     elif isinstance(dt, T.MapType) and isinstance(dt.valueType, _NESTED):
-        found = F.exists(F.map_values(F.from_json(text, "map<string,string>")), lambda x: _outside(x, dt.valueType))
+        found = _repeats(text) | F.exists(F.map_values(_entries(text)), lambda x: _outside(x, dt.valueType))
     else:
         return F.lit(False)
     return F.coalesce(found, F.lit(False))
@@ -224,7 +252,7 @@ def rescue_records(df: DataFrame, raw_col: str, schema: T.StructType, options: d
 
     Blank texts give no row, an array at the root one row per element. ``out`` (NULL when nothing was rescued) holds, as a JSON object of their text,
     fields outside the schema, values that do not fit their type, and nested fields with such a field or value inside, each
-    whole; a text that is no JSON object is kept as it is, under NULLs.
+    whole; a text that is no JSON object is kept as it is, under NULLs, and so is an object that repeats a key, next to the fields that could be read.
     """
     from goldleaf.sources.landing import JSON_TIME_OPTIONS
 
@@ -233,7 +261,7 @@ def rescue_records(df: DataFrame, raw_col: str, schema: T.StructType, options: d
     rows = df.where(raw.rlike("[^\\s]")).withColumn("__r", F.explode(F.coalesce(items, F.array(raw))))
     fields = T.StructType([*schema.fields, T.StructField("__bad", T.StringType())])
     opts = {**JSON_TIME_OPTIONS, **{k: str(v) for k, v in (options or {}).items()}, "columnNameOfCorruptRecord": "__bad"}
-    rows = rows.withColumn("__p", F.from_json("__r", fields, opts)).withColumn("__m", F.from_json("__r", "map<string,string>"))
+    rows = rows.withColumn("__p", F.from_json("__r", fields, opts)).withColumn("__m", _entries(F.col("__r")))
     bad = F.col("__p")["__bad"].isNotNull()
     kept = F.col("__m")
     known = [f.name for f in schema.fields]

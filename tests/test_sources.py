@@ -211,3 +211,29 @@ def test_json_snapshots_rescue_what_does_not_fit(spark, workdir):
         clean = [r for r in rows if r._rescued_data is None]
         assert sorted((r.id or 0, r.at is not None) for r in clean) == [(0, False), (1, True), (7, False)]
     assert "_corrupt_record" not in files.infer_schema(spark, f"{d}/in").names
+
+
+def test_csv_headers_that_repeat_a_name_or_differ_in_one_folder(spark, workdir):
+    d = _local(workdir)
+    _write_text(f"{d}/one folder", "a.csv", "id,name,name\n1,x,y\n")
+    _write_text(f"{d}/one folder", "b.csv", "name,id\nz,2\n")
+    _write_text(f"{d}/other", "c.csv", "﻿id,name,name\n3,u,v\nshort\n")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    rows = {r["name"]: (r["id"], r["_rescued_data"] and json.loads(r["_rescued_data"])) for r in files.read_csv_by_name(spark, d, schema).collect()}
+    assert rows == {"x": (1, {"name__2": "y"}), "z": (2, None), "u": (3, {"name__2": "v"}), None: (None, {"id": "short", "_corrupt_record": "short"})}
+
+
+def test_json_objects_that_repeat_a_key_are_kept_whole(spark, workdir):
+    d = _local(workdir)
+    lines = ['{"id":1,"x":1,"x":2}', '{"id":2,"id":3}', '{"id":4,"s":{"a":1,"a":2}}', '{"id":5,"it\'s":6}', '{"id":7,"arr":[{"a":1,"a":2}]}']
+    _write_text(f"{d}/a", "s.json", "\n".join(lines))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("it's", T.LongType()),
+                           T.StructField("s", T.StructType([T.StructField("a", T.LongType())])),
+                           T.StructField("arr", T.ArrayType(T.StructType([T.StructField("a", T.LongType())])))])
+    rows = {r["_rescued_data"]: (r["id"], r["it's"]) for r in files.read_snapshots(spark, f"{d}/a", "json", schema).collect()}
+    assert rows.keys() == {lines[0], lines[1], '{"s":"{\\"a\\":1,\\"a\\":2}"}', None, '{"arr":"[{\\"a\\":1,\\"a\\":2}]"}'}
+    assert rows[lines[0]] == (1, None) and rows[None] == (5, 6)
+    raw = spark.createDataFrame([(x,) for x in lines[:4]], "raw string")
+    plain = T.StructType(schema.fields[:2])
+    got = {r["_rescued_data"]: (r["id"], r["it's"]) for r in files.rescue(raw, "raw", plain).collect()}
+    assert got == {lines[0]: (None, None), lines[1]: (None, None), '{"s":"{\\"a\\":1,\\"a\\":2}"}': (4, None), None: (5, 6)}
