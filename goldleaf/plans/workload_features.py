@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from goldleaf.functions.scalars import round_half_up
 from goldleaf.operators import features as fe
 from goldleaf.operators import forecast as fc
+from goldleaf.operators import least_squares as ls
 from goldleaf.plans import tpch_mapping as m
 from goldleaf.plans.workload import register, rhu
 from goldleaf.session import checkpoint_root
@@ -102,6 +103,10 @@ def _with(body: str) -> str:
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in FEATURE_CTES.items()) + "\n" + body
 
 
+def _with_more(more: dict[str, str], body: str) -> str:
+    return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in {**FEATURE_CTES, **more}.items()) + "\n" + body
+
+
 _G = "PARTITION BY split, player_name ORDER BY kickoff_time, event_id"
 _X = [(t, f) for t in range(1, fe.PAST_LEN + 1) for f in fe.SEQUENCE_FEATURES]
 _SEQ_SQL = _with(
@@ -117,6 +122,13 @@ _SEQ_SQL = _with(
     f"AND rn <= cnt - {fe.FUTURE_LEN - 1}")
 
 
+# the same samples, not rounded
+_SEQ_RAW_SQL = ("SELECT * FROM (SELECT split, kickoff_time, " + ", ".join(f"lag({f}, {fe.PAST_LEN + 1 - t}) OVER g AS x{t}_{f}" for t, f in _X) + ", "
+                + ", ".join(fe.CONTEXT_FEATURES) + ", total_points AS y1, lead(total_points, 1) OVER g AS y2, lead(total_points, 2) OVER g AS y3, "
+                "row_number() OVER g AS rn, count(*) OVER (PARTITION BY split, player_name) AS cnt FROM sc WHERE player_name IS NOT NULL "
+                f"WINDOW g AS ({_G})) WHERE rn > {fe.PAST_LEN} AND rn <= cnt - {fe.FUTURE_LEN - 1}")
+
+
 # ------------------------------------------------------------------ queries
 
 @register("one_hot", _with("SELECT event_id, pos_GK, pos_DEF, pos_MID, pos_FWD, was_home, fixture_difficulty FROM enc"))
@@ -181,3 +193,74 @@ def q_forecast_metrics(spark, d):
     lo, hi = params[fe.TARGET]
     scored = fc.forecast(assembler, models, flat.where(F.col("split") == "test"))
     return fc.metrics(scored, target_range=(hi - lo) if hi is not None and hi != lo else 1.0)
+
+
+#: Inputs of the small forecaster: form (mean influence of the last rows), minutes (mean), home flag.
+_FORM_INPUTS = ("form", "minutes", "was_home")
+
+
+def _form_frame(spark, d):
+    """Samples with the three inputs and the targets, stored: fits and scores read them again for every step."""
+    s, _ = samples(spark, d)
+    mean = lambda f: (sum((F.col("seq")[t][f] for t in range(1, fe.PAST_LEN)), F.col("seq")[0][f]) / fe.PAST_LEN).alias
+    checkpoint_root(spark)
+    return s.select("split", "kickoff_time", mean("influence")("form"), mean("minutes")("minutes"), F.col("ctx.was_home").cast("double").alias("was_home"),
+                    *[F.col("y")[h - 1].alias(f"y{h}") for h in range(1, fe.FUTURE_LEN + 1)]).checkpoint(eager=True)
+
+
+def _cov(a: str, b: str) -> str:
+    return f"covar_pop({a}, {b})"
+
+
+def _det(m) -> str:
+    (a, b, c), (d, e, f), (g, h, i) = m
+    return f"(({a}) * (({e}) * ({i}) - ({f}) * ({h})) - ({b}) * (({d}) * ({i}) - ({f}) * ({g})) + ({c}) * (({d}) * ({h}) - ({e}) * ({g})))"
+
+
+def _step_sql(h: int) -> str:
+    """Least squares of three inputs by Cramer's rule on covariances, and the errors on the test split."""
+    a = [[f"s{min(i, j)}{max(i, j)}" for j in range(3)] for i in range(3)]
+    w = [f"{_det([[f't{i}' if j == k else a[i][j] for j in range(3)] for i in range(3)])} / {_det(a)}" for k in range(3)]
+    sums = ", ".join(f"{_cov(_FORM_INPUTS[i], _FORM_INPUTS[j])} AS s{i}{j}" for i in range(3) for j in range(i, 3))
+    cross = ", ".join(f"{_cov(x, f'y{h}')} AS t{i}" for i, x in enumerate(_FORM_INPUTS))
+    means = ", ".join(f"avg({x}) AS m{i}" for i, x in enumerate(_FORM_INPUTS))
+    rows = f"{' AND '.join(f'{x} IS NOT NULL' for x in _FORM_INPUTS)} AND y{h} IS NOT NULL"
+    return (f"SELECT {h} AS step, n_train, count(err) AS n_test, {rhu('intercept', 6)} AS intercept, {rhu('w0', 6)} AS w_form, {rhu('w1', 6)} AS w_minutes, "
+            f"{rhu('w2', 6)} AS w_home, {rhu('avg(abs(err))', 6)} AS mae, {rhu('avg(err * err)', 6)} AS mse FROM ("
+            f"SELECT f.*, y{h} - (intercept + w0 * form + w1 * minutes + w2 * was_home) AS err FROM ("
+            f"SELECT *, my - w0 * m0 - w1 * m1 - w2 * m2 AS intercept FROM (SELECT *, {w[0]} AS w0, {w[1]} AS w1, {w[2]} AS w2 FROM ("
+            f"SELECT count(*) AS n_train, {sums}, {cross}, {means}, avg(y{h}) AS my FROM z WHERE split = 'train' AND {rows}))) f, z "
+            "WHERE z.split = 'test') GROUP BY n_train, intercept, w0, w1, w2")
+
+
+_Z_SQL = ("SELECT split, kickoff_time, (" + " + ".join(f"x{t}_influence" for t in range(1, fe.PAST_LEN + 1)) + f") / {fe.PAST_LEN} AS form, ("
+          + " + ".join(f"x{t}_minutes" for t in range(1, fe.PAST_LEN + 1)) + f") / {fe.PAST_LEN} AS minutes, CAST(was_home AS DOUBLE) AS was_home, y1, y2, y3 FROM "
+          f"({_SEQ_RAW_SQL})")
+
+
+@register("forecast_eval", _with_more({"z": _Z_SQL}, " UNION ALL ".join(_step_sql(h) for h in range(1, fe.FUTURE_LEN + 1))))
+def q_forecast_eval(spark, d):
+    """Least squares per horizon step from one Gram matrix of the training split; coefficients, and MAE and MSE on the held-out split."""
+    z, out = _form_frame(spark, d), None
+    train, test = z.where(F.col("split") == "train"), z.where(F.col("split") == "test")
+    for h in range(1, fe.FUTURE_LEN + 1):
+        fit = ls.fit_linear(train, _FORM_INPUTS, f"y{h}")
+        if fit is None:
+            continue
+        found = [F.lit(h).alias("step"), F.lit(fit.n).cast("long").alias("n_train"), F.col("n").alias("n_test")]
+        found += [round_half_up(F.lit(v), 6).alias(c) for c, v in zip(("intercept", "w_form", "w_minutes", "w_home"), (fit.intercept, *fit.weights))]
+        one = ls.errors(test, f"y{h}", fit.predicted()).select(*found, round_half_up("mae", 6).alias("mae"), round_half_up("mse", 6).alias("mse"))
+        out = one if out is None else out.unionByName(one)
+    return out if out is not None else spark.createDataFrame([], "step int, n_train long, n_test long, intercept double, w_form double, w_minutes double, w_home double, mae double, mse double")
+
+
+@register("forecast_early_stop")
+def q_forecast_early_stop(spark, d):
+    """M8: boosted trees for the next step, fitted on the earlier four fifths of the training split, stopped by the later fifth, scored on the test
+    split that neither saw. No SQL: trees are fitted in rounds (checked by tests)."""
+    z = _form_frame(spark, d)
+    cut = fe.exact_quantile(z.where(F.col("split") == "train"), F.unix_micros(F.col("kickoff_time").cast("timestamp")), 0.8)
+    later = F.unix_micros(F.col("kickoff_time").cast("timestamp")) > F.lit(cut)
+    model = ls.fit_boosted(z.where(F.col("split") == "train"), _FORM_INPUTS, "y1", later, max_rounds=20)
+    scored = ls.apply_boosted(model, z.where(F.col("split") == "test"), _FORM_INPUTS, "p1")
+    return ls.errors(scored, "y1", F.col("p1")).select(F.lit(model.getNumTrees).cast("int").alias("rounds"), "n", "mae", "mse")

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from goldleaf.operators import cdc
-from goldleaf.streaming.sinks import scd1_compact, scd1_stream, scd1_target
+from goldleaf.streaming.sinks import append_stream, scd1_compact, scd1_stream, scd1_target
 
 SCHEMA = "player_id long, price double, team long, name string, seq timestamp"
 
@@ -122,3 +122,10 @@ def test_null_sequence_comes_first(spark):
     df = spark.createDataFrame(rows, "player_id long, price double, seq timestamp")
     for ignore in (False, True):
         assert {r.player_id: r.price for r in cdc.scd1(df, ["player_id"], "seq", ignore).collect()} == {1: 6.0, 2: 7.0}
+
+
+def test_an_append_run_counts_more_batches_than_spark_reports_by_default(spark, workdir):
+    spark.range(0, 150, 1, 150).write.parquet(f"{workdir}/in")
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{workdir}/in")
+    assert append_stream(stream, f"{workdir}/out", f"{workdir}/ckpt") == 150
+    assert spark.read.parquet(f"{workdir}/out").count() == 150
