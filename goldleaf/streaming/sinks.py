@@ -17,36 +17,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from goldleaf.operators import cdc
+from goldleaf.sources import shared_files
 
 BATCH_COL = "_batch_id"
-_KEPT_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
 
 
-def _drained(start: Callable[[], StreamingQuery], spark: SparkSession) -> int:
-    """Run an availableNow query to its end; the number of its micro-batches that carried data.
+def _last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """Id of the last micro-batch that the checkpoint has committed; -1 before the first."""
+    return max((int(n) for n in shared_files.names(spark, f"{checkpoint}/commits") if n.isdigit()), default=-1)
 
-    Progress reports are kept for up to a million batches of the run (Spark keeps 100 unless told).
-    """
-    before = spark.conf.get(_KEPT_PROGRESS)
-    spark.conf.set(_KEPT_PROGRESS, "1000000")
-    try:
-        q = start()
-    finally:
-        spark.conf.set(_KEPT_PROGRESS, before)
-    q.awaitTermination()
-    return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
+
+def _drained(start: Callable[[], StreamingQuery], spark: SparkSession, checkpoint: str) -> int:
+    """Run an availableNow query to its end; the number of micro-batches it ran, however many (none without new input)."""
+    before = _last_batch(spark, checkpoint)
+    start().awaitTermination()
+    return _last_batch(spark, checkpoint) - before
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                   partition_by: Sequence[str] | None = None) -> int:
     """Append every new input row to ``path`` and stop when the input is drained.
 
-    Returns the number of micro-batches that carried data.
+    Returns the number of micro-batches run (none without new input).
     """
     w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    return _drained(lambda: w.trigger(availableNow=True).start(path), df.sparkSession)
+    return _drained(lambda: w.trigger(availableNow=True).start(path), df.sparkSession, checkpoint)
 
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> DataFrame:
@@ -103,7 +100,7 @@ def scd1_stream(changes: DataFrame, keys: Sequence[str], sequence_by, path: str,
 
     w = (state.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(write).trigger(availableNow=True))
-    return _drained(w.start, changes.sparkSession)
+    return _drained(w.start, changes.sparkSession, checkpoint)
 
 
 def _partition_values(spark: SparkSession, path: str, name: str) -> list[int]:
