@@ -31,7 +31,8 @@ LEAST_PAYLOAD = 100
 FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length",
           2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_LINE = re.compile(rb"[^\s]+ [^\s]+ (\d{14}) [^\n]* ?(\d+)$")
+#: A record line: a URL (which may hold raw spaces behind its scheme), an address, a date of 4 to 14 digits, what the version adds, the length.
+_LINE = re.compile(rb"([A-Za-z][A-Za-z0-9+.-]*:.*?|\S+) ([0-9A-Fa-f.:]+|-) (\d{4,14}) (?:(.*) )?(\d+)$")
 
 
 def _gzip(data: bytes) -> bytes:
@@ -40,16 +41,19 @@ def _gzip(data: bytes) -> bytes:
 
 
 def gunzip_all(data: bytes) -> bytes:
-    """All members of a gzip file (a truncated last one as far as it goes), or the data as it is."""
+    """All members of a gzip file (a truncated last one as far as it goes), or the data as it is. Bytes between members are left out."""
     if data[:2] != b"\x1f\x8b":
         return data
     out, at, view = [], 0, memoryview(data)
-    while data[at:at + 2] == b"\x1f\x8b":
-        z = zlib.decompressobj(31)
-        while at < len(data) and not z.eof:  # in pieces, as a member's end copies what was fed beyond it
-            piece = view[at:at + 16_384]
-            out.append(z.decompress(piece))
-            at += len(piece) - len(z.unused_data)
+    while (at := data.find(b"\x1f\x8b\x08", at)) >= 0:
+        z, start = zlib.decompressobj(31), at
+        try:
+            while at < len(data) and not z.eof:  # in pieces, as a member's end copies what was fed beyond it
+                piece = view[at:at + 16_384]
+                out.append(z.decompress(piece))
+                at += len(piece) - len(z.unused_data)
+        except zlib.error:  # no member, or a damaged one: the next may follow anywhere
+            at = start + 3
     return b"".join(out)
 
 
@@ -153,30 +157,34 @@ def _contents(spark: SparkSession, folder: str, report: DataFrame, pattern: str)
     return named.join(report.select("file"), "file", "left_semi")
 
 
-def parse_arc(data: bytes) -> Iterator[tuple]:
+def parse_arc(data: bytes, skipped: list[int] | None = None) -> Iterator[tuple]:
     """(place, version, url, ip, date, mime, block, complete) of each record after the file's head.
 
-    The head names the version; without one, a line's number of fields tells it. A line that declares no length is
-    skipped, up to the next that does. A block that ends early is given as far as it goes, not complete.
+    The head names the version; without one, a line's number of fields tells it. A URL may hold raw spaces and a date may have fewer than 14
+    digits. A line that is no record line (no URL, address, date and length) is skipped, up to the next that is; the sizes of lines skipped,
+    but for blank ones, are appended to ``skipped``. A block that ends early is given as far as it goes, not complete.
     """
     data, at, place, version = gunzip_all(data), 0, 0, None
     while at < len(data):
         end = data.find(b"\n", at)
         end = len(data) if end < 0 else end
         line = data[at:end].rstrip(b"\r")
-        if not _LINE.match(line):
+        found = _LINE.fullmatch(line)
+        if not found:
+            if line.strip() and skipped is not None:
+                skipped.append(len(line))
             at = end + 1
             continue
-        fields = line.decode("utf-8", "replace").split(" ")
-        size = int(fields[-1])
-        block = data[end + 1:end + 1 + size]
-        at = end + 1 + size
-        if fields[0].startswith("filedesc:"):
+        url, ip, date, middle, size = (x.decode("utf-8", "replace") for x in (found[i] or b"" for i in range(1, 6)))
+        block = data[end + 1:end + 1 + int(size)]
+        at = end + 1 + int(size)
+        if url.startswith("filedesc:"):
             version = 2 if block[:1] == b"2" else 1
             continue
-        own = version or (2 if len(fields) >= 10 else 1)
-        tail = 6 if own == 2 else 1
-        yield place, own, fields[0], fields[1], fields[2], " ".join(fields[3:len(fields) - tail]), block, len(block) == size
+        fields = middle.split(" ")
+        own = version or (2 if len(fields) >= 6 else 1)
+        mime = " ".join(fields[:-5] if own == 2 else fields)
+        yield place, own, url, ip, date, mime, block, len(block) == int(size)
         place += 1
 
 
@@ -184,7 +192,9 @@ def record_id(file: str, place: int) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file}#{place}')}>"
 
 
-def iso_date(date14: str) -> str:
+def iso_date(date: str) -> str:
+    """ISO form of an archive date; a shorter one means the beginning of its period."""
+    date14 = date + "00010101000000"[len(date):]
     return f"{date14[:4]}-{date14[4:6]}-{date14[6:8]}T{date14[8:10]}:{date14[10:12]}:{date14[12:14]}Z"
 
 
@@ -194,14 +204,15 @@ def warc_record(headers: list[tuple[str, str]], block: bytes) -> bytes:
 
 
 def convert(spark: SparkSession, arc_folder: str, arc_report: DataFrame, warc_folder: str, rank_header: str = "X-Page-Id",
-            least_payload: int = LEAST_PAYLOAD) -> DataFrame:
+            least_payload: int = LEAST_PAYLOAD, rank_type: str = "decimal(38,0)") -> DataFrame:
     """Convert the reported ARC files to WARC files and return (file, n).
 
     HTTP blocks become response records, other blocks resource records. Among records of equal payloads of
-    at least ``least_payload`` bytes the one with the least number in the HTTP header ``rank_header`` (none: last),
+    at least ``least_payload`` bytes the one with the least value of type ``rank_type`` in the HTTP header ``rank_header`` (none, or no such value: last),
     then date, file and place stays; the others become revisit records that keep their HTTP head and refer to it.
     Only digests and places are shuffled to find them, reduced before the shuffle, so thousands of copies cost one row
-    per task. An archive without records becomes one without records; no archives make none.
+    per task; then each task opens the archives whose names it gets, in a folder that Arrow's file systems reach as the one it writes to. The size of what a
+    file holds outside its records stands in its warcinfo record. An archive without records becomes one without records; no archives make none.
     """
     source = _contents(spark, arc_folder, arc_report, "*.arc.gz")
 
@@ -212,14 +223,13 @@ def convert(spark: SparkSession, arc_folder: str, arc_report: DataFrame, warc_fo
                 for place, _, url, _, date, _, block, complete in parse_arc(content):
                     head, payload = split_http(block)
                     if complete and len(payload) >= least_payload:
-                        rank = http_header(head, rank_header)
-                        rank = int(rank) if rank and re.fullmatch(r"-?\d{1,18}", rank) else None
-                        out.append((file, place, rank, date, url, hashlib.sha256(payload).hexdigest()))
+                        out.append((file, place, http_header(head, rank_header), date, url, hashlib.sha256(payload).hexdigest()))
                 names = ["file", "place", "rank", "date", "url", "digest"]
-                types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
+                types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
 
-    found = source.mapInArrow(index, "file string, place long, rank long, date string, url string, digest string")
+    found = source.mapInArrow(index, "file string, place long, rank string, date string, url string, digest string")
+    found = found.withColumn("rank", F.col("rank").try_cast(rank_type))
     path = scratch_path(spark, "arc-index")
     found.write.parquet(path)
     found = spark.read.parquet(path)
@@ -232,30 +242,33 @@ def convert(spark: SparkSession, arc_folder: str, arc_report: DataFrame, warc_fo
     per_file = again.groupBy("file").agg(F.collect_list(F.struct("place", "of_file", "of_place", "of_date", "of_url")).alias("revisits"))
 
     def run(batches):
-        out = None
+        given, inside = pa.fs.FileSystem.from_uri(arc_folder)
         for batch in batches:
-            for file, content, revisits in zip(*(c.to_pylist() for c in batch.columns)):
+            for file, revisits in zip(*(c.to_pylist() for c in batch.columns)):
+                with given.open_input_stream(f"{inside}/{file}", compression=None) as f:
+                    content = f.read()
                 name = file.removesuffix(".arc.gz") + ".warc.gz"
                 refers = {r["place"]: r for r in revisits or []}
-                records = [_info(name, file)]
-                for place, version, url, ip, date, mime, block, complete in parse_arc(content):
-                    records.append(_warc_of(file, place, url, ip, date, mime, block, complete, refers.get(place)))
+                skipped: list[int] = []
+                records = [_gzip(_warc_of(file, place, url, ip, date, mime, block, complete, refers.get(place)))
+                           for place, _, url, ip, date, mime, block, complete in parse_arc(content, skipped)]
                 fs, base = pa.fs.FileSystem.from_uri(warc_folder)
                 fs.create_dir(base, recursive=True)
                 temporary = f"{base}/.{name}.{uuid.uuid4().hex}"
                 with fs.open_output_stream(temporary, compression=None) as f:
+                    f.write(_gzip(_info(name, file, sum(skipped))))
                     for r in records:
-                        f.write(_gzip(r))
+                        f.write(r)
                 fs.move(temporary, f"{base}/{name}")
-                out = _listed([(name, len(records) - 1)])
-                yield out
+                yield _listed([(name, len(records))])
 
-    joined = source.join(per_file, "file", "left").select("file", "content", "revisits")
-    return _reported(joined.mapInArrow(run, "file string, n long"), warc_folder)
+    joined = arc_report.select("file").join(per_file, "file", "left").select("file", "revisits")
+    spread = joined.repartition(max(1, min(arc_report.count(), 10_000)), "file")  # few rows, each of which is a whole file
+    return _reported(spread.mapInArrow(run, "file string, n long"), warc_folder)
 
 
-def _info(name: str, file: str) -> bytes:
-    body = f"software: goldleaf\r\nformat: WARC File Format 1.1\r\ndescription: converted from {file}\r\n".encode()
+def _info(name: str, file: str, skipped: int = 0) -> bytes:
+    body = f"software: goldleaf\r\nformat: WARC File Format 1.1\r\ndescription: converted from {file}\r\nskipped-bytes: {skipped}\r\n".encode()
     return warc_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id(file, -1)), ("WARC-Date", "2001-01-01T00:00:00Z"),
                         ("WARC-Filename", name), ("Content-Type", "application/warc-fields")], body)
 
@@ -324,7 +337,7 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     Returns ``page_id, url, payload_bytes, payload_digest, record_type, refers_to`` (the page id of the record that a
     revisit refers to). NULL html: an empty payload. NULL url: ``urn:page:<id>``. NULL ids are written without an id, rank last
-    and come back NULL. Repeated rows are records of their own; the first written is the response. An empty table
+    and come back NULL. Ids are compared in their own type. Very long pages are records like any other (a task holds one archive). Repeated rows are records of their own; the first written is the response. An empty table
     makes no archive and gives no rows. Other columns are ignored.
     """
     spark = pages.sparkSession
@@ -333,7 +346,7 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     report = write_arc(pages, arcs, id_col, url_col, html_col)
     if report.limit(1).count() == 0:
         return spark.createDataFrame([], f"page_id {id_type}, url string, payload_bytes long, payload_digest string, record_type string, refers_to {id_type}")
-    back = read_warc(spark, warcs, convert(spark, arcs, report, warcs, least_payload=least_payload))
+    back = read_warc(spark, warcs, convert(spark, arcs, report, warcs, least_payload=least_payload, rank_type=id_type))
     path = scratch_path(spark, "warc-records")
     back.write.parquet(path)
     back = spark.read.parquet(path)

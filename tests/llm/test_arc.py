@@ -1,4 +1,5 @@
 import hashlib
+from decimal import Decimal
 import zlib
 
 import pytest
@@ -69,3 +70,28 @@ def test_converted_records(spark):
     assert heads[3]["WARC-Payload-Digest"] == "sha256:" + hashlib.sha256(b"z" * 200).hexdigest()
     assert len({h["WARC-Record-ID"] for h in heads}) == 4
     assert arc.read_warc(spark, out, done).count() == 3
+
+
+@pytest.mark.parametrize("kind,ids,least", [("long", [10 ** 18 + 5, 10 ** 18 + 3, 10 ** 18 + 4], 10 ** 18 + 3), ("long", [7, -3, 2], -3), ("string", ["b", "a", "10"], "10"),
+                                            ("decimal(30,0)", [Decimal(10 ** 25 + 1), Decimal(10 ** 25)], Decimal(10 ** 25))])
+def test_ids_are_compared_in_their_own_type(spark, kind, ids, least):
+    df = spark.createDataFrame([(i, f"http://x/{n}", "same " * 40) for n, i in enumerate(ids)], f"page_id {kind}, url string, html string").coalesce(1)
+    got = {r["page_id"]: r["refers_to"] for r in arc.archive_pages(df).collect()}
+    assert got == {i: None if i == least else least for i in ids}
+
+
+def test_odd_record_lines_are_read_and_others_counted():
+    body = b"<p>x</p>"
+    data = (b"http://a/with raw space 1.2.3.4 1999 text/html 8\n" + body + b"\n" + b"ftp://b 1.2.3.4 200102030405 no-type 8\n" + body + b"\nnoise 12\n\n"
+            + b"http://c - 19990102030405  8\n" + body + b"\n")
+    skipped = []
+    got = [(r[2], r[3], r[4], r[5], r[6]) for r in arc.parse_arc(data, skipped)]
+    assert got == [("http://a/with raw space", "1.2.3.4", "1999", "text/html", body), ("ftp://b", "1.2.3.4", "200102030405", "no-type", body),
+                   ("http://c", "-", "19990102030405", "", body)]
+    assert skipped == [8] and arc.iso_date("1999") == "1999-01-01T00:00:00Z" and arc.iso_date("200102030405") == "2001-02-03T04:05:00Z"
+
+
+def test_members_after_padding_and_damage_are_read():
+    a, b = arc._gzip(b"first"), arc._gzip(b"second" * 5000)
+    assert arc.gunzip_all(a + b"\0" * 700 + b) == b"first" + b"second" * 5000
+    assert arc.gunzip_all(a + b"\x1f\x8b\x08 no member" + b) == b"first" + b"second" * 5000
