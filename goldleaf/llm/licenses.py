@@ -92,7 +92,7 @@ def canonical_lines(text: Column) -> Column:
     for m in _OWNER_MARKS:
         marked = marked | F.contains(low, F.lit(m))
     kept = F.when(marked, F.array_join(F.filter(F.split(low, "\n"), lambda x: ~x.rlike(_COPYRIGHT)), "\n")).otherwise(low)
-    flat = F.regexp_replace(F.regexp_replace(kept, f"[{_MARKS}]*\n[{_MARKS}\n]*", "\n"), f"[{_MARKS}]+", " ")
+    flat = F.regexp_replace(F.regexp_replace(kept, f"(?<![{_MARKS}])[{_MARKS}]*+\n[{_MARKS}\n]*+", "\n"), f"[{_MARKS}]+", " ")
     padded = F.concat(F.lit(" "), F.replace(F.replace(F.btrim(flat, F.lit(" \n")), F.lit("\n"), F.lit(" \n ")), F.lit(" "), F.lit("  ")), F.lit(" "))
     spelled = padded
     for a, b in EQUIVALENT:

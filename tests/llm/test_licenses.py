@@ -40,3 +40,15 @@ def test_whole_license_files(spark):
     known = licenses.known_digests(spark, licenses.KNOWN + licenses.whole_texts())
     got = {r.doc_id: r.license_id for r in licenses.scan_licenses(df, known).collect()}
     assert [got[i] for i in range(len(docs))] == [want for want, _ in docs]
+
+
+def test_long_runs_of_punctuation_take_linear_time(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    texts = ["a " + "-" * 200_000 + " b", "-" * 200_000, "x" + " .\n" * 60_000 + "y", "p --\n-- q\n\n---\nr"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    started = time.time()
+    got = {r["i"]: r["c"] for r in df.select("i", licenses.canonical_lines(F.col("t")).alias("c")).collect()}
+    assert got == {0: "a b", 1: "", 2: "x\ny", 3: "p\nq\nr"} and time.time() - started < 30
