@@ -150,8 +150,8 @@ class _Open:
 
 def write_chunks(docs: DataFrame, id_col: str, text_col: str, name: str, lower: bool = False, end_token: bool = False,
                  role: Column | None = None, digest: Callable | None = None, chunk_words: int = CHUNK_WORDS,
-                 spelled: bool = False) -> DataFrame:
-    """Write the texts as chunks of whole documents to the shared folder and return them.
+                 spelled: bool = False, path: str | None = None) -> DataFrame:
+    """Write the texts as chunks of whole documents to the shared folder (or to ``path``) and return them.
 
     ``role`` (a small integer) keeps documents of different roles in different chunks. ``digest(state, words)``
     folds lists of a document's words into a hashlib object (from None). The vocabulary is kept as hashes, or as words where ``spelled``.
@@ -186,7 +186,7 @@ def write_chunks(docs: DataFrame, id_col: str, text_col: str, name: str, lower:
             yield pa.RecordBatch.from_pylist([c.row(at + made, kind, spelled)], schema=out)
             made += 1
 
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     with arrow_rows(spark, 1000):
         given.mapInArrow(encode, schema).write.option("compression", "none").parquet(path)
     return spark.read.schema(schema).parquet(path)

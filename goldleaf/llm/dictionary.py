@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from goldleaf.llm.chunks import pack, spelled_words, unpack, word_hashes
 from goldleaf.session import scratch_path
+from goldleaf.sources.shared_files import delete
 
 #: Vocabulary entries that a shard adds up, on average.
 SHARD_WORDS = 1_000_000
@@ -55,8 +56,7 @@ def scratch(spark: SparkSession, name: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        delete(spark, path)
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:

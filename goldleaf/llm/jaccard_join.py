@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from goldleaf.llm import chunks as C
 from goldleaf.llm.graph import components
 from goldleaf.session import scratch_path
+from goldleaf.sources.shared_files import delete
 
 #: Longest prefix extension, and the cost of comparing two sets in postings.
 MOST_MATCHES, VERIFY_COST = 5, 8
@@ -70,7 +71,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    chunks = C.write_chunks(docs, id_col, text_col, "join-chunks", lower=True, chunk_words=chunk_words)
+    chunks_at, counts_at = scratch_path(spark, "join-chunks"), scratch_path(spark, "join-counts")
+    chunks = C.write_chunks(docs, id_col, text_col, "join-chunks", lower=True, chunk_words=chunk_words, path=chunks_at)
 
     def signed(frames):
         for pdf in frames:
@@ -103,7 +105,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
                 yield pd.DataFrame(C.questions(row.chunk, 1, 0, keys, counts, shards),
                                    columns=["chunk", "shard", "kind", "role", "keys", "counts"])
 
-    answers = C.answer(picked.mapInPandas(ask, C.ASK), ((0,),), scratch_path(spark, "join-counts"), TOP_FREQUENCY)
+    answers = C.answer(picked.mapInPandas(ask, C.ASK), ((0,),), counts_at, TOP_FREQUENCY)
 
     def survivors(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -126,6 +128,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     picked.groupBy("chunk").cogroup(answers.where("chunk >= 0").groupBy("chunk")).applyInPandas(
         survivors, "node long, n long, shared long, central double, matches int, prefix array<long>, levels array<int>, keys array<long>").write.parquet(path)
     left = spark.read.parquet(path)
+    for done in (chunks_at, counts_at):  # all that follows reads the survivors
+        delete(spark, done)
     postings = left.select("node", "n", "shared", "central", "matches", F.explode(F.arrays_zip("prefix", "levels")).alias("p")).select(
         "node", "n", "shared", "central", "matches", F.col("p.prefix").alias("key"), F.col("p.levels").alias("level"))
     sets = left.select("node", "n", "keys")
