@@ -193,6 +193,7 @@ def historical_filter(d: str) -> str:
 
 HISTORICAL_KEYS = ["player_name", "season", "gameweek"]
 HISTORICAL_SEQUENCE = ["kickoff_time", "_tie"]
+# Rules of the historical and performance feeds.
 HISTORICAL_RULES = [
     quality.Expectation("valid_player_name", "player_name IS NOT NULL", "drop"),
     quality.Expectation("valid_season", "season IS NOT NULL", "drop"),

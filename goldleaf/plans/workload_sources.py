@@ -18,8 +18,9 @@ from goldleaf.streaming.sinks import backfill_once
 
 PULL_STAMP = "2001-05-01T080000Z"  # the landing stamp of the generated snapshot
 ELEMENTS_PER_DOC = 1000  # bound on the array length of one bootstrap document
-FIXTURES_PER_FILE = 500  # bound on the array length of one fixtures file
+FIXTURES_PER_FILE = 20_000  # bound on the array length of one fixtures file
 
+# Rules of the bootstrap and fixture feeds.
 BOOTSTRAP_RULES = [Expectation("has_elements", "elements IS NOT NULL", "drop"),
                    Expectation("has_teams", "teams IS NOT NULL", "drop")]
 FIXTURE_RULES = [Expectation("has_fixture_id", "id IS NOT NULL", "drop")]
@@ -77,7 +78,7 @@ def fixture_rows(spark, d):
 def q_ingest_json_array(spark, d):
     """A2/A3: JSON arrays at the root of each file, read with multiLine, typed by the silver view."""
     root = scratch_path(spark, "fixtures")
-    path = landing.write_json_arrays(fixture_rows(spark, d), f"{root}/landing/fixtures", FIXTURES_PER_FILE, key="id")
+    path = landing.write_json_arrays(fixture_rows(spark, d), f"{root}/landing/fixtures", FIXTURES_PER_FILE)
     raw = files.read_snapshots(spark, path, "json", multiline=True)
     bronze = apply_expectations(files.with_lineage(raw), FIXTURE_RULES)
     fx = silver.fixtures(bronze)

@@ -37,11 +37,18 @@ def test_root_array_with_and_without_multiline(spark, workdir):
         assert fx[2].gameweek is None and fx[1].home_difficulty is None       # absent field -> typed NULL
 
 
-def test_write_json_arrays_round_trip(spark, workdir):
-    df = spark.range(0, 1200).select(F.col("id"), (F.col("id") % 7).alias("v"))
-    path = landing.write_json_arrays(df, f"{workdir}/arrays", 500, key="id")
-    back = files.read_snapshots(spark, path, "json", multiline=True)
-    assert back.count() == 1200 and back.agg(F.sum("v")).first()[0] == sum(i % 7 for i in range(1200))
+def test_write_json_arrays_round_trip_within_bounds(spark, workdir):
+    df = spark.range(0, 1200).select(F.col("id"), F.lit(1).alias("hot"), F.when(F.col("id") == 7, F.repeat(F.lit("x"), 9000)).otherwise("é").alias("v"))
+    path = landing.write_json_arrays(df.repartition(3), f"{workdir}/arrays", max_items=300, max_bytes=4000)
+    found = os.listdir(_local(path))
+    arrays = [open(f"{_local(path)}/{n}").read() for n in found if n.endswith(".txt")]
+    assert all(a.count("\n") == 1 and len(json.loads(a)) <= 300 and (len(a) <= 4001 or len(json.loads(a)) == 1) for a in arrays)
+    assert 5 < len(arrays) < 40 and not [n for n in found if os.path.isdir(f"{_local(path)}/{n}")]
+    for multiline in (True, False):
+        back = files.read_snapshots(spark, path, "json", multiline=multiline)
+        assert back.count() == 1200 and back.agg(F.sum("id")).first()[0] == sum(range(1200))
+    empty = landing.write_json_arrays(df.limit(0), f"{workdir}/none")
+    assert not [n for n in os.listdir(_local(empty)) if os.path.getsize(f"{_local(empty)}/{n}") and n.endswith(".txt")]
 
 
 def test_infer_once_persists_schema(spark, workdir):
