@@ -22,6 +22,8 @@ from goldleaf.sources.shared_files import delete
 
 #: Longest prefix extension, and the cost of comparing two sets in postings.
 MOST_MATCHES, VERIFY_COST = 5, 8
+#: Size classes of the second round per factor of the threshold.
+SIZE_STEPS = 4
 #: Frequencies from here on are told as this one; they only order shingles and estimate costs.
 TOP_FREQUENCY = 65_535
 
@@ -66,8 +68,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
        frequent shingles, so the likely original of a group, and of these the one that most of its prefix votes for. What links
        is joined: a large group of near copies becomes one component without all pairs.
     4. A second round takes, under each prefix shingle, the classes outside the most frequent component there against
-       all others of another component whose sizes and numbers of shared shingles allow a link, counts shared prefix shingles per pair, and compares the sets of those with
-       enough. Pairs inside a component need no comparison, so no link between components is lost.
+       all others of another component. The place of the first shared shingle bounds what a pair can have in common, and so the
+       sizes of its partners: classes meet by shingle and size class, places without a partner's size are left out before. Pairs
+       with enough shared prefix shingles have their sets compared. Pairs inside a component need no comparison, so no link
+       between components is lost.
+
+    A long text is one set of its shingles in one row; its cost is linear but for the sort of its shingles.
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -121,17 +127,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
                     levels = np.maximum(1, np.arange(len(places)) - base + 2)
                     shared = freq[places] > 1
                     out.append(((row.chunk << 17) + int(i), len(sets[i]), int((freq > 1).sum()), float(freq.mean()), matches,
-                                sets[i][places[shared]].view(np.int64), levels[shared].astype(np.int32), sets[i].view(np.int64)))
-        return pd.DataFrame(out, columns=["node", "n", "shared", "central", "matches", "prefix", "levels", "keys"])
+                                sets[i][places[shared]].view(np.int64), np.flatnonzero(shared).astype(np.int32), levels[shared].astype(np.int32),
+                                sets[i].view(np.int64)))
+        return pd.DataFrame(out, columns=["node", "n", "shared", "central", "matches", "prefix", "places", "levels", "keys"])
 
     path = scratch_path(spark, "join-survivors")
     picked.groupBy("chunk").cogroup(answers.where("chunk >= 0").groupBy("chunk")).applyInPandas(
-        survivors, "node long, n long, shared long, central double, matches int, prefix array<long>, levels array<int>, keys array<long>").write.parquet(path)
+        survivors, "node long, n long, shared long, central double, matches int, prefix array<long>, places array<int>, levels array<int>, keys array<long>").write.parquet(path)
     left = spark.read.parquet(path)
     for done in (chunks_at, counts_at):  # all that follows reads the survivors
         delete(spark, done)
-    postings = left.select("node", "n", "shared", "central", "matches", F.explode(F.arrays_zip("prefix", "levels")).alias("p")).select(
-        "node", "n", "shared", "central", "matches", F.col("p.prefix").alias("key"), F.col("p.levels").alias("level"))
+    postings = left.select("node", "n", "shared", "central", "matches", F.explode(F.arrays_zip("prefix", "places")).alias("p")).select(
+        "node", "n", "shared", "central", "matches", F.col("p.prefix").alias("key"), F.col("p.places").alias("place"))
     sets = left.select("node", "n", "keys")
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
@@ -156,19 +163,28 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     main = placed.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(
         F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("components")).where("components > 1")
     prefixes = left.select("node", "prefix", "levels")
-    open_postings = placed.join(main.select("key", "main"), "key").join(prefixes, "node")
+    # A pair is looked for under the first shingle that it shares. At place i of a set of n it leaves at most n - i in common,
+    # which bounds the partner's size; places that no size satisfies are left out, the others are dealt by size class.
+    least_size = F.ceil(percent * F.col("n") / 100)
+    reach = F.floor((100 + percent) * (F.col("n") - F.col("place")) / percent) - F.col("n")
+    step = float(np.log(100 / percent)) / SIZE_STEPS
+    class_of = lambda n: F.floor(F.log(n) / F.lit(step)) if step else n.cast("long")
+    open_postings = placed.join(main.select("key", "main"), "key").withColumn("reach", reach).where(
+        F.col("reach") >= least_size).join(prefixes, "node").withColumn("sizes", class_of(F.col("n")))
+    largest = F.least("reach", F.floor(100 * F.col("n") / percent))
     few = open_postings.where("component <> main").select(
-        "key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("shared").alias("sx"), F.col("matches").alias("mx"),
-        F.col("component").alias("cx"), F.col("prefix").alias("px"), F.col("levels").alias("lx"))
+        "key", F.explode(F.sequence(class_of(least_size), class_of(largest))).alias("sizes"), F.col("node").alias("x"), F.col("n").alias("nx"),
+        F.col("shared").alias("sx"), F.col("matches").alias("mx"), F.col("component").alias("cx"), F.col("reach").alias("rx"),
+        F.col("prefix").alias("px"), F.col("levels").alias("lx"))
     most = F.least("shared", "sx")  # two sets cannot have more in common than either has in common with any other
-    alike = (F.col("component") != F.col("cx")) & ((F.col("component") == F.col("main")) | (F.col("x") < F.col("node"))) & (
+    alike = (F.col("component") != F.col("cx")) & (F.col("n") <= F.col("rx")) & (F.col("nx") <= F.col("reach")) & ((F.col("component") == F.col("main")) | (F.col("x") < F.col("node"))) & (
         100 * most >= percent * (F.col("n") + F.col("nx") - most))
     asked = F.least("matches", "mx")
     within = lambda keys, levels: F.filter(keys, lambda k, i: F.get(F.col(levels), i) <= asked)
     common = F.array_intersect(within("px", "lx"), within("prefix", "levels"))
     # A pair counts under the first prefix shingle that it shares, and only with enough of them.
     once = (F.size(common) >= asked) & (F.get(common, F.lit(0)) == F.col("key"))
-    pairs = few.join(open_postings.drop("level"), "key").where(alike & F.when(alike, once)).select(F.col("x").alias("a"), F.col("node").alias("b"))
+    pairs = few.join(open_postings, ["key", "sizes"]).where(alike & F.when(alike, once)).select(F.col("x").alias("a"), F.col("node").alias("b"))
     second = linked(pairs, "join-links")
     final = components(first.unionByName(second))
     named = classes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
