@@ -116,7 +116,7 @@ def op7_bootstrap_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), decoded="decoded")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
                         F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -21,12 +22,12 @@ def paths(word, v, m):
                 for tail, w in rec(rest[n:]):
                     yield (i, *tail), w - math.log(2.0 - m.get_score(i))
 
-    return dict(rec(pieces.SPACE + word))
+    return dict(rec(pieces.SPACE + word.replace(" ", pieces.SPACE)))
 
 
 def test_sampled_segmentations_have_the_lattice_probabilities():
     v, m = pieces.Vocabulary(pieces.MODEL), sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
-    for word in ("then", "ation"):
+    for word in ("then", "ation", "  a", "at   "):
         want = paths(word, v, m)
         z = sum(math.exp(w) for w in want.values())
         n = 40_000
@@ -51,6 +52,30 @@ def test_round_trip_seeds_and_edge_cases(spark):
     assert run(df, seed=1) != got
     assert len({tuple(r[2]) for r in got if r[0] == 10}) == 1
     assert run(df.limit(0)) == []
+    both = pieces.encode(df, decoded="back")
+    assert sorted(((r.doc_id, r.text, r.ids, r.back) for r in both.collect()), key=str) == got
+
+
+def test_parts_join_to_the_text():
+    assert pieces._parts("") == [" "] and pieces._parts(" ") == ["  "] and pieces._parts("a  b ") == [" a", "  b", " "]
+    rng = random.Random(4)
+    for _ in range(500):
+        text = "".join(rng.choice("a  b") for _ in range(rng.randrange(12)))
+        assert "".join(pieces._parts(text)) == " " + text and all(p.lstrip(" ") == "" or " " not in p.lstrip(" ") for p in pieces._parts(text))
+
+
+def test_runs_of_spaces_draw_pieces_of_several_marks():
+    v = pieces.Vocabulary(pieces.MODEL)
+    ids, _ = pieces.encode_texts([0], ["x" + " " * 4000 + "y"], v)
+    sizes = {len(v.decoded[i]) for i in ids if not v.decoded[i].strip(b" ")}
+    assert len(sizes) > 1 and len(ids) < 4000
+
+
+def test_one_long_text():
+    v = pieces.Vocabulary(pieces.MODEL)
+    for text in ("q" * 100_000, " " * 100_000, "ab c" * 50_000):
+        ids, ends = pieces.encode_texts([1], [text], v)
+        assert pieces.decode_ids(ids[:ends[0]], v) == text
 
 
 def test_query_is_lossless(spark):
