@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldleaf.llm.text import blocks, let, running
 from goldleaf.session import scratch_path
 
 KINDS = ("email", "ip", "card", "phone", "identifier")
@@ -54,27 +55,37 @@ def _places(text: Column, form: str) -> Column:
     """Array of (m, start, end) of all matches of a form; places are code points."""
     found = F.regexp_extract_all(text, F.lit(form), F.lit(0))
     kind = "array<struct<m:string,start:int,end:int>>"
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+    pairs = F.filter(F.zip_with(F.split(text, form, -1), found, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("m"))), lambda x: x["m"].isNotNull())
 
-    def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["m"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(x["m"].alias("m"), start.alias("start"), end.alias("end")))).alias("out"))
+    def placed(ps: Column) -> Column:
+        ends = running(F.transform(ps, lambda x: x["gap"] + F.length(x["m"])), lambda a, b: a + b)
+        return F.zip_with(ps, ends, lambda x, end: F.struct(x["m"].alias("m"), (end - F.length(x["m"])).alias("start"), end.alias("end")))
 
-    pairs = F.zip_with(F.split(text, form, -1), found, lambda g, m: F.struct(g.alias("gap"), m.alias("m")))
-    return F.when(F.size(found) > 0, F.aggregate(F.filter(pairs, lambda x: x["m"].isNotNull()), zero, step)["out"]).otherwise(F.array().cast(kind))
+    return F.when(F.size(found) > 0, let(pairs, placed)).otherwise(F.array().cast(kind))
 
 
-def _masked(text: Column, spans: Column) -> Column:
-    """The text with every character of the spans (sorted by start, not overlapping) replaced by the mark."""
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+def _replaced(text: Column, spans: Column, by) -> Column:
+    """The text with every span (sorted by start, not overlapping) replaced by by(span).
+
+    A block of spans is cut from the text once, with what lies between it and the next block, so no span searches the whole text.
+    """
 
-    def step(acc, x):
-        gap = F.substring(text, acc["at"] + 1, x["start"] - acc["at"])
-        return F.struct(x["end"].alias("at"), F.concat(acc["out"], F.array(gap, F.repeat(F.lit(MARK), x["end"] - x["start"]))).alias("out"))
+    def filled(piece: Column, first: Column, block: Column) -> Column:
+        parts = F.transform(block, lambda x, i: F.concat(
+            by(x), F.substring(piece, x["end"] - first + 1, F.coalesce(F.get(block, i + 1)["start"], first + F.length(piece)) - x["end"])))
+        return F.array_join(parts, "")
 
-    folded = F.aggregate(spans, zero, step)
-    return F.when(F.size(spans) > 0, F.concat(F.array_join(folded["out"], ""), F.substring(text, folded["at"] + 1, F.length(text)))).otherwise(text)
+    def whole(bs: Column) -> Column:
+        begin = lambda b: F.get(F.get(bs, b), F.lit(0))["start"]
+        return F.concat(F.substring(text, F.lit(1), begin(F.lit(0))), F.array_join(F.transform(bs, lambda block, b: let(
+            F.substring(text, begin(b) + 1, F.coalesce(begin(b + 1), F.length(text)) - begin(b)), lambda piece: filled(piece, begin(b), block))), ""))
+
+    return let(blocks(spans), lambda bs: F.when(F.size(bs) > 0, whole(bs)).otherwise(text))
+
+
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with every character of the spans (sorted by start, not overlapping) replaced by the mark."""
+    return _replaced(text, spans, lambda x: F.repeat(F.lit(MARK), x["end"] - x["start"]))
 
 
 def _context(c: Column) -> Column:
@@ -97,14 +108,33 @@ def count_of(spans: Column, kind: int) -> Column:
 
 def _disjoint(spans: Column) -> Column:
     """(start, end) of overlapping spans joined, in order."""
-    empty = F.array().cast("array<struct<start:int,end:int>>")
+    ordered = F.sort_array(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
+
+    def joined(o: Column) -> Column:
+        return let(running(F.transform(o, lambda x: x["end"]), F.greatest), lambda far: F.zip_with(
+            F.filter(o, lambda x, i: (i == 0) | (x["start"] >= F.get(far, i - 1))),
+            F.filter(far, lambda end, i: (i == F.size(far) - 1) | (F.get(o, i + 1)["start"] >= end)),
+            lambda x, end: F.struct(x["start"].alias("start"), end.alias("end"))))
+
+    return F.when(F.size(spans) > 0, let(ordered, joined)).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+
+
+def _mentions(text: Column, masked: Column, at: Column) -> Column:
+    """Mentions at the places of the masked text: their own text and the words around them, cut from one piece per block."""
 
-    def step(acc, x):
-        last = F.element_at(acc, -1)
-        joined = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))))
-        return F.when((F.size(acc) > 0) & (x["start"] < F.try_element_at(acc, F.lit(-1))["end"]), joined).otherwise(F.concat(acc, F.array(x)))
+    def of(block: Column) -> Column:
+        first = F.greatest(F.get(block, F.lit(0))["start"] - CONTEXT_CHARS, F.lit(0))
+        size = F.element_at(block, -1)["end"] + CONTEXT_CHARS - first
+        here = lambda piece, a, n: F.substring(piece, a - first + 1, n)
+        mention = lambda t, m, x: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), F.startswith(x["m"], F.lit(MARK)).alias("marked"),
+            here(t, x["start"], x["end"] - x["start"]).alias("instance"),
+            _context(here(m, F.greatest(x["start"] - CONTEXT_CHARS, F.lit(0)), F.least(x["start"], F.lit(CONTEXT_CHARS)))).alias("left"),
+            _context(here(m, x["end"], F.lit(CONTEXT_CHARS))).alias("right"))
+        return let(F.substring(text, first + 1, size), lambda t: let(F.substring(masked, first + 1, size), lambda m: F.transform(
+            block, lambda x: mention(t, m, x))))
 
-    return F.aggregate(F.sort_array(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))), empty, step)
+    return F.flatten(F.transform(blocks(at), of))
 
 
 def _trusted(edges: DataFrame) -> DataFrame:
@@ -134,6 +164,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``spans`` adds the identifiers that the bootstrapping found. ``text_key`` is xxhash64 of the text and ``copies`` the
     number of input rows. NULL and empty texts have no span. Repeated rows are one result with ``copies``, and count
     once as instances. NULL ids are ids like any other. An empty table gives no rows; other columns are ignored.
+    A long text is one row; its spans and mentions are cut in blocks, so its cost is not that of every match times its length.
 
     Texts are read once, where they lie; mentions with their few context words travel, as distinct (pattern, instance)
     edges, reduced before the shuffle, so a name or pattern in a third of all rows is one edge per task.
@@ -143,11 +174,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     based = rows.withColumn("base", base_spans(F.col("text")))
     masked = based.withColumn("masked", _masked(F.translate("text", MARK, " "), _disjoint(F.col("base"))))
     placed = masked.withColumn("at", _places(F.col("masked"), CANDIDATE))
-    mention = F.transform("at", lambda x, i: F.struct(
-        x["start"].alias("start"), x["end"].alias("end"), F.startswith(x["m"], F.lit(MARK)).alias("marked"),
-        F.substring(F.col("text"), x["start"] + 1, x["end"] - x["start"]).alias("instance"),
-        _context(F.substring(F.col("masked"), F.greatest(x["start"] - CONTEXT_CHARS, F.lit(0)) + 1, F.least(x["start"], F.lit(CONTEXT_CHARS)))).alias("left"),
-        _context(F.substring(F.col("masked"), x["end"] + 1, F.lit(CONTEXT_CHARS))).alias("right")))
+    mention = _mentions(F.col("text"), F.col("masked"), F.col("at"))
     path = scratch_path(spark, "pii-mentions")
     placed.select("doc_id", F.xxhash64("text").alias("text_key"), "base", mention.alias("mentions")).write.parquet(path)
     stored = spark.read.parquet(path)
@@ -176,8 +203,4 @@ def shown(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column) -> Column:
     """The text with every span (overlapping ones as one) replaced by [PII]."""
-    joined = _disjoint(spans)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    folded = F.aggregate(joined, zero, lambda acc, x: F.struct(x["end"].alias("at"), F.concat(
-        acc["out"], F.array(F.substring(text, acc["at"] + 1, x["start"] - acc["at"]))).alias("out")))
-    return F.when(F.size(spans) > 0, F.concat(F.array_join(folded["out"], "[PII]"), F.lit("[PII]"), F.substring(text, folded["at"] + 1, F.length(text)))).otherwise(text)
+    return F.when(F.size(spans) > 0, let(_disjoint(spans), lambda j: _replaced(text, j, lambda x: F.lit("[PII]")))).otherwise(text)

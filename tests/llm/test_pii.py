@@ -74,3 +74,35 @@ def test_query_base_columns(spark):
     by = {d: ",".join(sum(base(t), [])) for d, t in rows}
     assert all(r.spans.startswith(by[r.doc_id]) for r in got)
     assert sum("identifier" in r.spans for r in got) < 100
+
+
+def test_one_text_of_many_matches(spark):
+    text = " ".join(f"mail user{i}@example{i % 7}.org or id AB-{i:06d}" for i in range(20_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = pii.personal_data(df).select("base", "spans", pii.redacted(F.lit(text), F.col("base")).alias("r")).first()
+    assert [(s.start, s.end) for s in got.base] == [m.span() for m in re.finditer(PLAIN["email"], text)]
+    assert got.r == re.sub(PLAIN["email"], "[PII]", text)
+
+
+def test_blocks_and_overlaps_against_plain_python(spark, monkeypatch):
+    from goldleaf.llm import text as T
+
+    monkeypatch.setattr(T, "BLOCK", 3)
+    rng = random.Random(9)
+    rows = []
+    for _ in range(200):
+        t = "".join(rng.choice("ab é🙂") for _ in range(rng.randrange(60)))
+        spans = [tuple(sorted((rng.randrange(len(t) + 1), rng.randrange(len(t) + 1)))) for _ in range(rng.randrange(12))]
+        rows.append((t, [(0, a, b) for a, b in spans if a < b]))
+    df = spark.createDataFrame(rows, "text string, spans array<struct<kind:int,start:int,end:int>>")
+    for r in df.select("text", "spans", pii.redacted(F.col("text"), F.col("spans")).alias("r"), pii._masked(F.col("text"), pii._disjoint(F.col("spans"))).alias("m")).collect():
+        joined = []
+        for _, a, b in sorted(map(tuple, r.spans)):
+            if joined and a < joined[-1][1]:
+                joined[-1][1] = max(b, joined[-1][1])
+            else:
+                joined.append([a, b])
+        red, masked, at = "", "", 0
+        for a, b in joined:
+            red, masked, at = red + r.text[at:a] + "[PII]", masked + r.text[at:a] + pii.MARK * (b - a), b
+        assert (r.r, r.m) == (red + r.text[at:], masked + r.text[at:])
