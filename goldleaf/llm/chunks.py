@@ -11,6 +11,7 @@ Two different words or windows are taken for the same only if their 64-bit hashe
 
 from __future__ import annotations
 
+import gc
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -207,6 +208,13 @@ def questions(chunk: int, kind: int, role: int, keys: np.ndarray, counts: np.nda
     return out
 
 
+def release(spark) -> None:
+    """Let Spark remove the shuffle files of finished jobs: it does so when the driver collects garbage, which on a
+    driver with free memory may be after the disks of the executors are full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def answer(asked: DataFrame, totals: tuple[tuple[int, ...], ...], path: str, cap: int | None = None,
            told_to: tuple[tuple[int, ...] | None, ...] | None = None) -> DataFrame:
     """Sum the counts of equal keys over all chunks; one total per set of roles in ``totals``.

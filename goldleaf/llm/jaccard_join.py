@@ -112,6 +112,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
                                    columns=["chunk", "shard", "kind", "role", "keys", "counts"])
 
     answers = C.answer(picked.mapInPandas(ask, C.ASK), ((0,),), counts_at, TOP_FREQUENCY)
+    C.release(spark)
 
     def survivors(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -137,6 +138,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     left = spark.read.parquet(path)
     for done in (chunks_at, counts_at):  # all that follows reads the survivors
         delete(spark, done)
+    C.release(spark)
     postings = left.select("node", "n", "shared", "central", "matches", F.explode(F.arrays_zip("prefix", "places")).alias("p")).select(
         "node", "n", "shared", "central", "matches", F.col("p.prefix").alias("key"), F.col("p.places").alias("place"))
     sets = left.select("node", "n", "keys")
