@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldleaf.operators.windows import Frame, over_rows
+from goldleaf.session import scratch_path
 
 # The feature lists of the forecaster.
 PAST_LEN = 5
@@ -52,53 +53,94 @@ def _micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def exact_quantile(df: DataFrame, col: Column, q: float, buckets: int = 4096, collect_max: int = 4096) -> float | None:
-    """Exact linear-interpolation quantile of an integral column (e.g. epoch micros).
+def _value_at(values: DataFrame, rank: int, lo: int, hi: int, below: int, size: int, buckets: int, collect_max: int) -> int:
+    """Value at a rank of (v, c) rows: ``size`` rows lie in [lo, hi], ``below`` before them.
+
+    Each pass sums the counts in ``buckets`` equal-width buckets (one partial aggregation) and goes on in the bucket that
+    holds the rank, until it is one value or few enough rows to fetch.
+    """
+    a, b = lo, hi
+    while a < b:
+        inside = values.where((F.col("v") >= a) & (F.col("v") <= b))
+        if size <= collect_max:
+            for v, c in sorted((r["v"], r["c"]) for r in inside.collect()):
+                below += c
+                if below > rank:
+                    return v
+        width = (b - a) // buckets + 1
+        for k, c in sorted(inside.groupBy(F.expr(f"(v - {a}) div {width}").alias("k")).agg(F.sum("c")).collect()):
+            if below + c > rank:
+                a, b, size = a + k * width, min(b, a + (k + 1) * width - 1), c
+                break
+            below += c
+    return a
+
+
+def _brackets(pairs: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Overlapping value ranges made one; sorted."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted(pairs):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def exact_quantiles(df: DataFrame, col: Column, qs: Sequence[float], accuracy: int = 10_000, buckets: int = 4096,
+                    collect_max: int = 4096) -> list[float | None]:
+    """Exact linear-interpolation quantiles of an integral column (e.g. epoch micros), in the order asked.
 
     Same definition as ``quantile_cont`` / pandas: h = (n-1)q, x[floor h] + frac * (x[floor h + 1] - x[floor h]).
-    Computed by histogram refinement: each pass counts the rows of the current value range
-    in ``buckets`` equal-width buckets (one partial aggregation, at most ``buckets`` rows
-    to the driver) and narrows to the bucket holding the wanted rank. Once a bucket holds at
-    most ``collect_max`` rows its values are fetched; a bucket of one distinct value (a hot
-    value shared by many rows) is answered without fetching anything.
+    The input is read twice, however many quantiles are asked:
+
+    1. a mergeable sketch (``approx_percentile``, rank error n / ``accuracy``) gives a range of values around every wanted rank;
+    2. one aggregation counts the rows between the ranges, and by value within them (a share of some 8 / ``accuracy`` of all rows for
+       each quantile, stored under the scratch folder). From these counts the ranks are found exactly.
+
+    A rank that the sketch missed is looked for in the input itself. A value that many rows share is one counted row. NULLs are
+    left out; without values every quantile is None.
     """
     v = df.select(col.cast("long").alias("v")).where(F.col("v").isNotNull())
-    stats = v.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    off = 4 / accuracy
+    asked = [min(1.0, max(0.0, p)) for q in qs for p in (q - off, q + off)]
+    stats = v.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
+                  F.percentile_approx("v", asked, accuracy).alias("p")).first()
     n, lo, hi = stats["n"], stats["lo"], stats["hi"]
     if not n:
-        return None
-    h = (n - 1) * q
-    r0 = int(h)
-    frac = h - r0
-
-    def pair(rank: int) -> tuple[int, int | None]:
-        """Values at ``rank`` and ``rank + 1`` (the latter only when it lies in the final range)."""
-        a, b, below, size = lo, hi, 0, n
-        refined = False
-        while True:
-            if a == b:  # one distinct value left: no need to look at the rows
-                return a, (a if rank + 1 < below + size else None)
-            if refined and size <= collect_max:
-                vals = sorted(r[0] for r in v.where((F.col("v") >= a) & (F.col("v") <= b)).collect())
-                i = rank - below
-                return vals[i], (vals[i + 1] if i + 1 < len(vals) else None)
-            width = (b - a) // buckets + 1
-            counts = sorted(v.where((F.col("v") >= a) & (F.col("v") <= b))
-                            .groupBy(F.expr(f"(v - {a}) div {width}").alias("k"))
-                            .agg(F.count(F.lit(1)).alias("c")).collect())
-            for k, c in counts:
-                if below + c > rank:
-                    a, b, size = a + k * width, min(b, a + (k + 1) * width - 1), c
-                    break
-                below += c
-            refined = True
-
-    x0, x1 = pair(r0)
-    if frac == 0 or r0 + 1 >= n:
-        return float(x0)
-    if x1 is None:
-        x1, _ = pair(r0 + 1)
-    return x0 + frac * (x1 - x0)
+        return [None for _ in qs]
+    spots = [((n - 1) * q, int((n - 1) * q)) for q in qs]
+    # A few thousand rows are one range: ranks this near to each other are not told apart by the sketch.
+    near = [(lo if asked[2 * i] == 0 else stats["p"][2 * i], hi if asked[2 * i + 1] == 1 else stats["p"][2 * i + 1]) for i in range(len(qs))]
+    ranges = _brackets([(lo, hi)] if n < accuracy else near)
+    zone, value = F.lit(2 * len(ranges)), F.lit(None).cast("long")
+    for i, (a, b) in reversed(list(enumerate(ranges))):  # zone 2i lies before range i, 2i + 1 is the range
+        zone = F.when(F.col("v") < a, 2 * i).when(F.col("v") <= b, 2 * i + 1).otherwise(zone)
+        value = F.when((F.col("v") >= a) & (F.col("v") <= b), F.col("v")).otherwise(value)
+    path = scratch_path(df.sparkSession, "quantile-ranges")
+    v.groupBy(zone.alias("zone"), value.alias("v")).agg(F.count(F.lit(1)).alias("c")).write.parquet(path)
+    kept = df.sparkSession.read.schema("zone int, v long, c long").parquet(path)
+    sizes = dict(kept.groupBy("zone").agg(F.sum("c")).collect())  # at most two per quantile and one
+    found: dict[int, int] = {}
+    for rank in sorted({r for h, r0 in spots for r in (r0, min(r0 + (h > r0), n - 1))}):
+        below = 0
+        for z in sorted(sizes):
+            if below + sizes[z] > rank:
+                break
+            below += sizes[z]
+        if z % 2:
+            a, b = ranges[z // 2]
+            found[rank] = _value_at(kept.where(F.col("zone") == z), rank, a, b, below, sizes[z], buckets, collect_max)
+        else:
+            a = ranges[z // 2 - 1][1] + 1 if z else lo
+            b = ranges[z // 2][0] - 1 if z // 2 < len(ranges) else hi
+            found[rank] = _value_at(v.withColumn("c", F.lit(1)), rank, a, b, below, sizes[z], buckets, collect_max)
+    return [float(found[r]) if h == r else found[r] + (h - r) * (found[r + 1] - found[r]) for h, r in spots]
+
+
+def exact_quantile(df: DataFrame, col: Column, q: float, buckets: int = 4096, collect_max: int = 4096) -> float | None:
+    """One quantile by ``exact_quantiles``."""
+    return exact_quantiles(df, col, [q], buckets=buckets, collect_max=collect_max)[0]
 
 
 def time_split(df: DataFrame, time_col: str = "kickoff_time", q: float = 0.8,

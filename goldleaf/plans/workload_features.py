@@ -10,7 +10,7 @@ from goldleaf.operators import forecast as fc
 from goldleaf.operators import least_squares as ls
 from goldleaf.plans import tpch_mapping as m
 from goldleaf.plans.workload import register, rhu
-from goldleaf.session import checkpoint_root
+from goldleaf.session import checkpoint_root, scratch_path
 
 ORDER = ["kickoff_time", "event_id"]
 KEYS = ["split", "player_name"]
@@ -64,8 +64,13 @@ SCALED = fe.SEQUENCE_FEATURES + fe.CONTEXT_FEATURES + [fe.TARGET]
 
 
 def prepared(spark, d):
-    """Encoded, filled, split frame (rows with a split only) and the scaler parameters."""
-    split, _ = fe.time_split(fe.fill_defaults(fe.encode(frame(spark, d))))
+    """Encoded, filled, split frame (rows with a split only) and the scaler parameters.
+
+    The filled frame is stored once, so that the split, the scaler and the windows read its columns instead of the raw records.
+    """
+    path = scratch_path(spark, "encoded")
+    fe.fill_defaults(fe.encode(frame(spark, d))).write.parquet(path)
+    split, _ = fe.time_split(spark.read.parquet(path))
     split = split.where(F.col("split").isNotNull())
     params = fe.fit_minmax(split.where(F.col("split") == "train"), SCALED)
     return fe.apply_minmax(split, params), params

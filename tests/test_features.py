@@ -76,3 +76,24 @@ def test_exact_quantile_wide_range_is_exact(spark):
         i = int(h)
         want = float(s[i]) if i + 1 >= len(s) else s[i] + (h - i) * (s[i + 1] - s[i])
         assert fe.exact_quantile(df, F.col("v"), q, buckets=16, collect_max=20) == want
+
+
+def test_quantiles_of_many_ranks_read_the_input_twice(spark, workdir, monkeypatch):
+    rng = random.Random(5)
+    vals = [rng.randrange(10**9) for _ in range(30_000)] + [777_777_777] * 15_000  # a third of all rows share one value
+    spark.createDataFrame([(v,) for v in vals] + [(None,)], "v long").write.parquet(workdir)
+    sources, plain = [], fe._value_at
+    monkeypatch.setattr(fe, "_value_at", lambda values, *a: sources.extend(values.inputFiles()) or plain(values, *a))
+    qs = [0.0, 0.01, 0.2, 0.5, 0.8, 0.80001, 0.99, 1.0]
+    got = fe.exact_quantiles(spark.read.parquet(workdir), F.col("v"), qs, accuracy=1000, buckets=64, collect_max=20)
+    want = [float(np.quantile(np.array(vals, dtype=np.float64), q)) for q in qs]
+    assert got == pytest.approx(want, rel=1e-12)
+    assert sources and not [f for f in sources if workdir in f]  # ranks are looked up in the stored counts, not in the input
+    assert fe.exact_quantiles(spark.read.parquet(workdir).where("v < 0"), F.col("v"), qs) == [None] * len(qs)
+
+
+def test_quantile_missed_by_the_sketch_is_found_in_the_input(spark, monkeypatch):
+    df = spark.createDataFrame([(v,) for v in range(3000)], "v long")
+    monkeypatch.setattr(fe, "_brackets", lambda pairs: [(10, 20), (2500, 2600)])
+    qs = [0.0, 0.4, 0.99]
+    assert fe.exact_quantiles(df, F.col("v"), qs, accuracy=100, buckets=8, collect_max=4) == pytest.approx([0.0, 1199.6, 2969.01])
