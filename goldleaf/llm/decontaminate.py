@@ -19,7 +19,8 @@ from goldleaf.llm.text import lower_ascii, shingle_hashes, words
 SHINGLE, PERCENT = 5, 80
 #: Similarity 0.8 means about 10 differing bits of 64 (standard deviation 3), so 23 lie some 4.5 deviations off.
 RADIUS, BLOCKS, BITS = 23, 8, 8
-#: Most rows of an item table that is broadcast (it is counted first); a larger one is joined by a shuffle.
+#: Most rows of an item table that is broadcast (it is counted first); a larger one is joined by a shuffle. Such a table holds
+#: four numbers a row and no texts or arrays, so the bound is one of bytes too.
 BROADCAST_ROWS = 500_000
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -50,6 +51,7 @@ def _shared(a: Column, b: Column) -> Column:
 
 
 def _bounded(df: DataFrame) -> DataFrame:
+    """Broadcast a table of numbers if it is small; not for columns whose values have no size bound."""
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
@@ -67,7 +69,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT, id_col
 
     Shared shingles are found where the texts are read, in a hash join with the items' shingles (broadcast
     behind a check of its size); only windows travel, first reduced to distinct ones, so a passage that fills a
-    third of all rows costs a few windows per row.
+    third of all rows costs a few windows per row. Of the index, only lengths, fingerprints and block values are broadcast; the
+    items' shingles are joined to the pairs within the radius. A very long text is one row of the first join; from there
+    on only its windows, each as long as an item, travel.
     """
     item = items.select(F.col(item_col).cast("string").alias("item_id"), normal_words(F.col(item_text)).alias("w")).where(
         F.col("item_id").isNotNull() & (F.size("w") > 0)).distinct()
@@ -88,17 +92,19 @@ def find_leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT, id_col
             "doc_id", "text_key", "length", "start", F.expr("slice(w, start + 1, length)").alias("w")).distinct()
         windows = windows.select("doc_id", "text_key", "length", "start", F.size("w").alias("n"), shingle_hashes(F.col("w"), k).alias("sh"))
         marked = windows.withColumn("fp", simhash(F.col("sh")))
-        index = known.withColumn("ifp", simhash(F.col("sh"))).withColumnRenamed("sh", "ish")
+        printed = known.withColumn("ifp", simhash(F.col("sh"))).withColumnRenamed("sh", "ish")
         masks = [sum(1 << b for b in bits) for n in range(RADIUS // BLOCKS + 1) for bits in combinations(range(BITS), n)]
-        index = index.select("*", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block"))
+        index = printed.select("length", "ifp", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block"))
         index = index.select("*", F.explode(F.array(*map(F.lit, masks))).alias("mask"))
-        index = index.select("item_id", "length", "ish", "ifp", "block", _block(F.col("ifp"), F.col("block")).bitwiseXOR(F.col("mask")).alias("value"))
+        index = index.select("length", "ifp", "block", _block(F.col("ifp"), F.col("block")).bitwiseXOR(F.col("mask")).alias("value")).distinct()
         asked = marked.select("*", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block"))
         asked = asked.withColumn("value", _block(F.col("fp"), F.col("block")))
         apart = F.col("fp").bitwiseXOR(F.col("ifp"))
         near_blocks = F.filter(F.sequence(F.lit(0), F.lit(BLOCKS - 1)), lambda b: F.bit_count(_block(apart, b)) <= RADIUS // BLOCKS)
-        pairs = asked.join(_bounded(index), ["length", "block", "value"]).where(
+        near = asked.join(_bounded(index), ["length", "block", "value"]).where(
             (F.bit_count(apart) <= RADIUS) & (F.get(near_blocks, F.lit(0)) == F.col("block")))  # once per pair
+        # The items' shingles come only now, to the pairs within the radius.
+        pairs = near.drop("block", "value").join(printed, ["length", "ifp"])
         shared = pairs.withColumn("shared", _shared(F.col("sh"), F.col("ish")))
         alike = shared.where(100 * F.col("shared") >= percent * (F.size("sh") + F.size("ish") - F.col("shared"))).select(
             "doc_id", "text_key", "item_id", "start", (F.col("start") + F.col("n")).alias("end"))

@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from goldleaf.llm.text import words
 from goldleaf.session import scratch_path
 
-#: Rows on which costs and selectivities are estimated; the verdicts do not depend on them.
+#: Rows, on average, on which costs and selectivities are estimated; the verdicts do not depend on them.
 SAMPLE_ROWS = 1_000
-#: Longest text in the sample, which bounds what the driver holds; texts of every length are judged.
-SAMPLE_CHARS = 20_000
+#: Files in which the sample is stored, and so tasks that measure it.
+SAMPLE_FILES = 8
 SYMBOLS = "[#*$%&|<>]"
 
 
@@ -132,11 +132,19 @@ def prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def measure(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text",
             sample_rows: int = SAMPLE_ROWS) -> list[dict]:
-    """Cost (seconds on the sample, beyond that of reading it) and share of rejected sample rows per rule."""
-    picked = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).where(
-        F.length("text") <= SAMPLE_CHARS).sample(0.2, seed=7)
-    n = len(rows := picked.take(sample_rows))
-    base = prepared(docs.sparkSession.createDataFrame(rows, picked.schema).coalesce(1), "doc_id", "text")
+    """Cost (seconds on the sample, beyond that of reading it) and share of rejected sample rows per rule.
+
+    The sample is drawn from all partitions and texts of every length, each row with the same chance, and stored; none of it
+    passes through the driver. Costs are times, so the order of rules of like rate can change between runs.
+    """
+    spark = docs.sparkSession
+    share = min(1.0, sample_rows / max(docs.count(), 1))
+    picked = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+    path = scratch_path(spark, "rule-sample")
+    (picked if share == 1 else picked.sample(share, seed=7)).repartition(SAMPLE_FILES).write.parquet(path)
+    sample = spark.read.schema("doc_id string, text string").parquet(path)
+    n = sample.count()
+    base = prepared(sample, "doc_id", "text")
 
     def timed(df):
         best, row = float("inf"), None

@@ -79,3 +79,54 @@ def test_simhash_bits(spark):
     for x, f in zip(h, got):
         want = sum(1 << b for b in range(64) if 2 * sum((v >> b) & 1 for v in x) > len(x))
         assert f % 2 ** 64 == want
+
+
+def test_recall_against_all_windows_of_the_documents(spark):
+    """Brute force here slides over every start, not only those that put a shared shingle at the same place."""
+    rng = random.Random(8)
+    vocab = [f"v{i}" for i in range(400)]
+    items = [(f"i{n}", [rng.choice(vocab) for _ in range(rng.choice([20, 30, 45]))]) for n in range(12)]
+    docs = []
+    for n in range(300):
+        w = [rng.choice(vocab) for _ in range(120)]
+        t = list(rng.choice(items)[1])
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            at = rng.randrange(len(t))
+            rng.choice([lambda: t.__setitem__(at, "edit"), lambda: t.insert(at, "new"), lambda: t.pop(at)])()
+        at = rng.randrange(121)
+        docs.append((n, " ".join(w[:at] + t + w[at:])))
+    truth = set()
+    for d, t in docs:
+        w = t.split()
+        for i, v in items:
+            ci = Counter(grams(v, 5))
+            for s in range(len(w) - len(v) + 1):
+                cw = Counter(grams(w[s:s + len(v)], 5))
+                if 100 * sum((ci & cw).values()) >= 80 * sum((ci | cw).values()):
+                    truth.add((d, i))
+                    break
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(v)) for i, v in items], "item_id string, text string")
+    got = {(r.doc_id, i) for r in decontaminate.find_leaks(df, it).collect() for i in r.item_ids.split(",") if i}
+    assert got <= truth and len(truth) > 60
+    assert len(got) >= 0.97 * len(truth)
+
+
+def test_long_text_and_a_passage_in_a_third_of_all_rows(spark):
+    rng = random.Random(9)
+    item = " ".join(f"q{i}" for i in range(30))
+    long = " ".join(rng.choice(["a", "b", "c"]) + str(rng.randrange(5000)) for _ in range(200_000))
+    rows = [(0, long + " " + item + " " + long)] + [(n, f"own{n} words {item if n % 3 == 0 else ''} end") for n in range(1, 301)]
+    got = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"),
+                                   spark.createDataFrame([("x", item), ("y", long[:3000])], "item_id string, text string")).collect()
+    assert {r.doc_id for r in got if "x" in r.item_ids.split(",")} == {n for n in range(301) if n % 3 == 0}
+    assert [r.spans for r in got if r.doc_id == 0] == [f"x:200000:200030,y:0:{n},y:200030:{200030 + n}" for n in [len(long[:3000].split())]] and len(got) == 301
+
+
+def test_an_index_beyond_the_broadcast_bound_gives_the_same_rows(spark, monkeypatch):
+    item = " ".join(f"q{i}" for i in range(25))
+    df = spark.createDataFrame([(n, f"z{n} {item} y{n}" if n % 2 else f"z{n}") for n in range(20)], "doc_id long, text string")
+    it = spark.createDataFrame([("a", item), ("b", item), ("b", item + " more words of it")], "item_id string, text string")
+    find = lambda: sorted(map(tuple, decontaminate.find_leaks(df, it).collect()))
+    want = find()
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 3)
+    assert find() == want and sum(r[1] for r in want) == 10
