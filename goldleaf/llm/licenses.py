@@ -158,7 +158,8 @@ def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     Returns one row per input row: ``doc_id, digest, license_id`` (of the whole text, else NULL),
     ``notice_ids`` (sorted ids of lines that are known notices), ``n_notices`` (such lines, repeats included).
     NULL and empty texts, and texts of punctuation or copyright lines only, have no digest and match nothing.
-    Repeated rows each keep their row; a NULL id is an id like any other. No known rows: nothing matches.
+    Repeated rows each keep their row; a NULL id is an id like any other. No known rows: nothing matches. No documents: no rows.
+    Other columns are ignored. A long text is one row, canonical in time linear in its length.
 
     Lines become rows on the map side, meet the known digests in a broadcast hash join (only where the
     known table is proven to have at most BROADCAST_ROWS rows, else a shuffled one that AQE may split),

@@ -123,7 +123,8 @@ def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str
 
     NULL and empty texts are the end token alone. Repeated rows count and are scored one by one; NULL ids are
     ids like any other. Without training rows every text has probability 1 (the uniform share over no types);
-    without held-out ones the weights stay even. An empty table gives no rows. Other columns are ignored.
+    without held-out ones the weights stay even. An empty table gives no rows. Other columns are ignored. A document is never cut:
+    one of more than ``chunk_words`` words makes a larger chunk, held whole by one task.
 
     Counts of n-grams are summed by key range, so a frequent n-gram is one entry per chunk, and no task or driver
     holds a table that grows with the corpus.

@@ -115,7 +115,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
 
     NULL and empty texts have no words. A NULL id comes before all others. Documents that share an id are
     ordered by the hash of their words; equal rows (id and words) are one document and get the same result. Texts shorter
-    than a window lose nothing. An empty table gives no rows; other columns are ignored.
+    than a window lose nothing. An empty table gives no rows; other columns are ignored. A document is never cut: one of more
+    than ``chunk_words`` words makes a larger chunk, held whole by one task.
 
     Copies: only the first document of equal words meets the shards; in the others, every window started earlier. Equal
     segments are reduced to the first before the shuffle, by a 64-bit hash, and only the first one's words travel. An anchor with very many distinct segments (a passage
