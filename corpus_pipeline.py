@@ -22,12 +22,21 @@ def _key() -> Column:
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects.
+
+    NULL and empty texts have too few words and go. Repeated rows are judged alike. An empty table stays empty; columns other than
+    those of documents are dropped. A long text is judged whole, in its own task.
+    """
     return quality.kept_rows(docs, COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each component of documents alike in 0.8 of their five-word shingles."""
+    """One document, that of the least id, of each component of documents alike in 0.8 of their five-word shingles.
+
+    A NULL id comes before all others; rows of one id are ordered by the digest of their text, and of rows equal in both one stays.
+    NULL, empty and blank texts link with nothing and all stay, but for equal rows. An empty table stays empty; columns other than
+    those of documents are dropped. A long text is one set of shingles.
+    """
     keyed = docs.select(_key().alias("key"), *COLUMNS)
     linked = jaccard_join.jaccard_components(keyed, k=5, percent=80, id_col="key")
     stays = linked.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("key")).distinct()
@@ -35,14 +44,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window alike to a benchmark item."""
+    """Documents without a window alike to a benchmark item.
+
+    NULL and empty texts hold no window and stay. Repeated rows go or stay together. Without documents there are no rows, without items
+    all documents stay; columns other than those of documents are dropped. All windows of a long text count.
+    """
     keyed = docs.select(_key().alias("key"), *COLUMNS)
     leaks = decontaminate.find_leaks(keyed, table(spark, sf_dir, "benchmark"), id_col="key").where("contaminated")
     return keyed.join(leaks.select(F.col("doc_id").alias("key")).distinct(), "key", "left_anti").select(*COLUMNS)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced, with the new number of characters."""
+    """All documents, personal data replaced, with the new number of characters.
+
+    NULL and empty texts, and texts without spans, are passed on with the ``n_chars`` they had. Repeated rows all stay and are changed
+    alike. An empty table stays empty; columns other than those of documents are dropped. A long text is cut in blocks, never shortened.
+    """
     keyed = docs.select(_key().alias("key"), *COLUMNS)
     found = pii.personal_data(keyed, id_col="key").where(F.size("spans") > 0).select(F.col("doc_id").alias("key"), "spans")
     joined = keyed.join(found, "key", "left")
@@ -52,7 +69,11 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled piece ids of every document."""
+    """Sampled piece ids of every document.
+
+    NULL ids and repeated rows stay, one row each; rows equal in id and text get the same ids. A NULL text is coded as ``pieces.encode``
+    says. An empty table gives no rows; other columns are dropped. A long text is encoded whole.
+    """
     coded = pieces.encode(docs.select("doc_id", "text"))
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids")
 
