@@ -22,7 +22,8 @@ from goldleaf.functions.scalars import (
 )
 from goldleaf.operators.silver import CURRENT_SOURCE_TAG
 from goldleaf.operators.windows import Frame, over_rows
-from goldleaf.plans.joins import one_row
+from goldleaf.plans.joins import bounded_broadcast, one_row
+from goldleaf.session import scratch_path
 
 # The column lists and renamings of the published tables.
 TEAM_COLUMNS = [
@@ -296,12 +297,16 @@ def upcoming_difficulty(gold_player: DataFrame, gold_fixture: DataFrame, latest:
 
     Fixtures are pre-aggregated per team (sum, count) before joining players, so the
     player x fixture fan-out never materialises; sums and counts then add up per name,
-    which gives exactly the average and count over the fanned-out rows.
+    which gives exactly the average and count over the fanned-out rows. The per-team rows are stored and, if few,
+    broadcast: players are not shuffled on the team, a key of few values.
     """
     per_team = upcoming_window(unpivot_home_away(gold_fixture), latest, horizon).groupBy("team_id").agg(
         F.sum("fdr").alias("fdr_sum"), F.count(F.lit(1)).alias("n"), F.count("fdr").alias("fdr_n"))
+    path = scratch_path(gold_fixture.sparkSession, "per-team")
+    per_team.write.parquet(path)
+    per_team = gold_fixture.sparkSession.read.parquet(path)
     p = gold_player.select("full_name", "team_id")
-    joined = p.join(per_team, "team_id", "inner")
+    joined = p.join(bounded_broadcast(per_team), "team_id", "inner")
     return joined.groupBy(F.col("full_name").alias("player_name")).agg(
         round_half_up(safe_divide(F.sum("fdr_sum"), F.sum("fdr_n")), 2).alias("avg_upcoming_fdr"),
         F.sum("n").alias("upcoming_fixtures_count"),

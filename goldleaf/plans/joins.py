@@ -10,6 +10,15 @@ def one_row(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
+#: Most rows of a frame that ``bounded_broadcast`` broadcasts.
+BROADCAST_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a frame of fixed-width columns if it has at most ``rows`` rows (counted); else leave the join to Spark."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL (``<=>``), keys kept once from the left."""
     renamed = right

@@ -52,3 +52,19 @@ def test_source_tag_filter_prunes_historical_branch(spark):
     plan = _plan(gold.latest_period(p.combined()), "simple")
     assert "historical" not in plan and "Union" not in plan
     assert HIST not in plan and F is not None
+
+
+def test_difficulty_of_few_teams_is_broadcast_to_the_players(spark, monkeypatch):
+    from goldleaf.plans import joins
+
+    query = entry.queries()["upcoming_difficulty"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only the checked broadcast is left
+    try:
+        few = query(spark, SF)
+        assert _plan(few, "simple").count("BroadcastHashJoin [team_id") == 1
+        monkeypatch.setattr(joins.bounded_broadcast, "__defaults__", (3,))
+        many = query(spark, SF)
+        assert "BroadcastHashJoin [team_id" not in _plan(many, "simple")
+        assert sorted(map(tuple, few.collect()), key=str) == sorted(map(tuple, many.collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
