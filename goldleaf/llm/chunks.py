@@ -11,7 +11,7 @@ Two different words or windows are taken for the same only if their 64-bit hashe
 
 from __future__ import annotations
 
-import gc
+import functools
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -70,10 +70,12 @@ def chain(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def window_keys(words: np.ndarray, k: int) -> np.ndarray:
     """Keys of all windows of k word hashes, in order."""
     n = max(0, len(words) - k + 1)
-    out = mix(words[:n])
-    for j in range(1, k):
-        out = chain(out, words[j:n + j])
-    return out
+    out = words[:n].copy()
+    with np.errstate(over="ignore"):
+        for j in range(1, k):
+            out *= _U64(0x9E3779B97F4A7C15)
+            out += words[j:n + j]
+    return mix(out)
 
 
 def word_hashes(words) -> np.ndarray:
@@ -208,11 +210,25 @@ def questions(chunk: int, kind: int, role: int, keys: np.ndarray, counts: np.nda
     return out
 
 
-def release(spark) -> None:
-    """Let Spark remove the shuffle files of finished jobs: it does so when the driver collects garbage, which on a
-    driver with free memory may be after the disks of the executors are full."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Let Spark remove the shuffle files of each query run inside as the query ends, not when the driver next collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def removes_shuffles(operator: Callable) -> Callable:
+    """An operator whose own queries, each written and reread, run under ``shuffles_removed``; the frame it returns does not."""
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **kwargs):
+        with shuffles_removed(docs.sparkSession):
+            return operator(docs, *args, **kwargs)
+    return run
 
 
 def answer(asked: DataFrame, totals: tuple[tuple[int, ...], ...], path: str, cap: int | None = None,

@@ -51,6 +51,7 @@ def _prefix(keys: np.ndarray, freq: np.ndarray, percent: int) -> tuple[int, np.n
     return best, order[:base + best - 1]
 
 
+@C.removes_shuffles
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
                        chunk_words: int = C.CHUNK_WORDS) -> DataFrame:
     """Components of documents linked by Jaccard similarity of k-word shingle sets >= percent / 100.
@@ -77,7 +78,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    chunks_at, counts_at = scratch_path(spark, "join-chunks"), scratch_path(spark, "join-counts")
+    chunks_at, picked_at, counts_at = (scratch_path(spark, f"join-{x}") for x in ("chunks", "picked", "counts"))
     chunks = C.write_chunks(docs, id_col, text_col, "join-chunks", lower=True, chunk_words=chunk_words, path=chunks_at)
 
     def signed(frames):
@@ -100,45 +101,59 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     classes = spark.read.parquet(path)
 
     of_chunk = classes.groupBy("chunk").agg(F.collect_list("at").alias("picked"))  # at most a chunk's documents
-    picked = small.drop("ids").join(of_chunk.hint("merge"), "chunk")  # one plan at every size
     shards = C.shard_count(chunks)
 
+    def pick(frames):
+        """Chunks with one document of each class; ``picked`` are the documents' places before."""
+        for pdf in frames:
+            for row in pdf.itertuples():
+                kept, lens = np.sort(row.picked), np.asarray(row.lens)
+                tokens, hashes = row.tokens, row.hashes
+                if len(kept) < len(lens):
+                    stays = np.zeros(len(lens), bool)
+                    stays[kept] = True
+                    used, left = np.unique(C.unpack(tokens, np.uint32)[np.repeat(stays, lens)], return_inverse=True)
+                    tokens, hashes = C.pack(left.astype(np.uint32)), C.pack(C.unpack(hashes, np.uint64)[used])
+                yield pd.DataFrame({"chunk": [row.chunk], "picked": [kept], "lens": [lens[kept]], "tokens": [tokens], "hashes": [hashes]})
+
+    small.drop("ids").join(of_chunk.hint("merge"), "chunk").mapInPandas(  # one plan at every size
+        pick, "chunk long, picked array<int>, lens array<int>, tokens binary, hashes binary").write.option("compression", "none").parquet(picked_at)
+    picked = spark.read.parquet(picked_at)
+    delete(spark, chunks_at)  # all that follows reads the picked documents
+
     def ask(frames):
         for pdf in frames:
             for row in pdf.itertuples():
-                sets = _sets(row, k)
-                keys, counts = np.unique(np.concatenate([sets[i] for i in row.picked]), return_counts=True)
+                keys, counts = np.unique(np.concatenate(_sets(row, k)), return_counts=True)
                 yield pd.DataFrame(C.questions(row.chunk, 1, 0, keys, counts, shards),
                                    columns=["chunk", "shard", "kind", "role", "keys", "counts"])
 
     answers = C.answer(picked.mapInPandas(ask, C.ASK), ((0,),), counts_at, TOP_FREQUENCY)
-    C.release(spark)
 
     def survivors(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in left.itertuples():
             sets = _sets(row, k)
-            all_keys = np.unique(np.concatenate([sets[i] for i in row.picked]))
+            all_keys = np.unique(np.concatenate(sets))
             freq_of = C.told(right, 1, 0)
-            for i in row.picked:
-                freq = freq_of[np.searchsorted(all_keys, sets[i])]
-                if 100 * int((freq > 1).sum()) >= percent * len(sets[i]):
-                    matches, places = _prefix(sets[i], freq, percent)
+            for at, keys in zip(row.picked, sets):
+                freq = freq_of[np.searchsorted(all_keys, keys)]
+                if 100 * int((freq > 1).sum()) >= percent * len(keys):
+                    matches, places = _prefix(keys, freq, percent)
                     base = len(places) - matches + 1
                     levels = np.maximum(1, np.arange(len(places)) - base + 2)
                     shared = freq[places] > 1
-                    out.append(((row.chunk << 17) + int(i), len(sets[i]), int((freq > 1).sum()), float(freq.mean()), matches,
-                                sets[i][places[shared]].view(np.int64), np.flatnonzero(shared).astype(np.int32), levels[shared].astype(np.int32),
-                                sets[i].view(np.int64)))
+                    out.append(((row.chunk << 17) + int(at), len(keys), int((freq > 1).sum()), float(freq.mean()), matches,
+                                keys[places[shared]].view(np.int64), np.flatnonzero(shared).astype(np.int32), levels[shared].astype(np.int32),
+                                keys.view(np.int64)))
         return pd.DataFrame(out, columns=["node", "n", "shared", "central", "matches", "prefix", "places", "levels", "keys"])
 
     path = scratch_path(spark, "join-survivors")
     picked.groupBy("chunk").cogroup(answers.where("chunk >= 0").groupBy("chunk")).applyInPandas(
         survivors, "node long, n long, shared long, central double, matches int, prefix array<long>, places array<int>, levels array<int>, keys array<long>").write.parquet(path)
     left = spark.read.parquet(path)
-    for done in (chunks_at, counts_at):  # all that follows reads the survivors
+    for done in (picked_at, counts_at):  # all that follows reads the survivors
         delete(spark, done)
-    C.release(spark)
     postings = left.select("node", "n", "shared", "central", "matches", F.explode(F.arrays_zip("prefix", "places")).alias("p")).select(
         "node", "n", "shared", "central", "matches", F.col("p.prefix").alias("key"), F.col("p.places").alias("place"))
     sets = left.select("node", "n", "keys")

@@ -3,9 +3,10 @@ import re
 
 import pytest
 
-from goldleaf.llm import jaccard_join
+from goldleaf.llm import chunks, jaccard_join
 from goldleaf.llm.graph import components
 from goldleaf.llm.queries import op5_adaptive_jaccard
+from goldleaf.session import checkpoint_root, scratch_path
 
 
 def shingles(text, k):
@@ -99,3 +100,31 @@ def test_query_against_all_pairs(spark):
     path = "/root/testdata/sf0.01"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()]
     assert result(op5_adaptive_jaccard(spark, path)) == brute(rows, 3, 90)
+
+
+def test_finished_steps_leave_no_files(spark, monkeypatch):
+    """Only frames that the result reads stay on disk: no chunks, no counts, and no shuffle of a query that has ended."""
+    import pathlib
+
+    root = pathlib.Path(checkpoint_root(spark)) / "goldleaf"
+    made = []
+    monkeypatch.setattr(jaccard_join, "scratch_path", lambda s, name: made.append(p := scratch_path(s, name)) or p)
+    monkeypatch.setattr(chunks, "scratch_path", jaccard_join.scratch_path)
+    rows = [(i, " ".join(f"w{(i // 3 * 50 + j) % 400}" for j in range(60))) for i in range(90)]
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    linked = jaccard_join.jaccard_components(df, k=3, percent=90)
+    assert tracker.shuffleStatuses().size() <= before
+    left = {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in made if (root / p.rsplit("/", 1)[1]).exists()}
+    assert left.isdisjoint({"join-chunks", "join-picked", "join-counts"})
+    assert result(linked) == brute(rows, 3, 90)
+
+
+def test_chunks_cut_to_their_classes(spark):
+    """Chunks of which no, some, and all but one document are copies."""
+    base = [" ".join(f"v{i}x{j}" for j in range(40)) for i in range(12)]
+    texts = base + base[:6] * 2 + [base[3]] * 10 + [t + " more" for t in base]
+    rows = list(enumerate(texts)) + [(100, None), (101, "one"), (102, "one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert result(jaccard_join.jaccard_components(df, k=3, percent=90, chunk_words=400)) == brute(rows, 3, 90)
