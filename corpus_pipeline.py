@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import decontaminate, jaccard_join, pieces, pii, quality
+from goldleaf.llm import chunks, decontaminate, jaccard_join, pieces, pii, quality
 from goldleaf.llm.text import table
 from goldleaf.session import scratch_path
 
@@ -89,6 +89,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with chunks.shuffles_removed(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -110,14 +110,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
                 kept, lens = np.sort(row.picked), np.asarray(row.lens)
                 tokens, hashes = row.tokens, row.hashes
                 if len(kept) < len(lens):
-                    stays = np.zeros(len(lens), bool)
+                    stays, hashes = np.zeros(len(lens), bool), C.unpack(hashes, np.uint64)
                     stays[kept] = True
-                    used, left = np.unique(C.unpack(tokens, np.uint32)[np.repeat(stays, lens)], return_inverse=True)
-                    tokens, hashes = C.pack(left.astype(np.uint32)), C.pack(C.unpack(hashes, np.uint64)[used])
+                    left, used = C.unpack(tokens, np.uint32)[np.repeat(stays, lens)], np.zeros(len(hashes), bool)
+                    used[left] = True
+                    tokens, hashes = C.pack((np.cumsum(used, dtype=np.uint32) - np.uint32(1))[left]), C.pack(hashes[used])
                 yield pd.DataFrame({"chunk": [row.chunk], "picked": [kept], "lens": [lens[kept]], "tokens": [tokens], "hashes": [hashes]})
 
-    small.drop("ids").join(of_chunk.hint("merge"), "chunk").mapInPandas(  # one plan at every size
-        pick, "chunk long, picked array<int>, lens array<int>, tokens binary, hashes binary").write.option("compression", "none").parquet(picked_at)
+    with C.arrow_rows(spark, 2):  # a chunk has some megabytes
+        small.drop("ids").join(of_chunk.hint("merge"), "chunk").mapInPandas(  # one plan at every size
+            pick, "chunk long, picked array<int>, lens array<int>, tokens binary, hashes binary").write.option("compression", "none").parquet(picked_at)
     picked = spark.read.parquet(picked_at)
     delete(spark, chunks_at)  # all that follows reads the picked documents
 
