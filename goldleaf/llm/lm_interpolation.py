@@ -19,59 +19,72 @@ from goldleaf.session import scratch_path
 #: Context frequencies of 2**15 and more share a bucket.
 TOP_BUCKET = 15
 COUNTED, TUNING, OTHER = 0, 1, 2
+#: Words per chunk: all n-grams of a chunk take some 70 MB in a Python worker.
+CHUNK_WORDS = 750_000
+#: Tokens whose estimates are computed at once.
+BLOCK = 1 << 18
 _BEGIN = np.uint64(0x5851F42D4C957F2D)
 
 
+def _starts(row) -> np.ndarray:
+    """Place of each document's first token."""
+    return np.cumsum(np.concatenate([[0], row.lens[:-1]])).astype(np.int64)
+
+
 def _grams(row, order: int):
-    """Per n-gram order: type number per token, key per type; token 0 of the vocabulary ends a document."""
-    tokens = C.unpack(row.tokens, np.uint32).astype(np.int64)
-    hashes = C.unpack(row.hashes, np.uint64)
-    starts = np.zeros(len(tokens), bool)
-    ends = np.cumsum(row.lens)
-    starts[np.concatenate([[0], ends[:-1]]).astype(np.int64)] = True
-    per_order = [(tokens, C.mix(hashes))]
+    """For each n-gram order in turn: type number per token, key per type; token 0 of the vocabulary ends a document."""
+    tokens, hashes, starts = C.unpack(row.tokens, np.uint32), C.unpack(row.hashes, np.uint64), _starts(row)
+    number, keys = tokens, C.mix(hashes)
+    yield number, keys
     for n in range(2, order + 1):
-        prev, keys = per_order[-1]
-        left = np.empty_like(prev)  # number of the context, the (n-1)-gram that ends at the previous token
-        left[1:] = prev[:-1]
-        left[starts] = len(keys)  # at a document's start: only beginnings
-        code, number = np.unique(left * len(hashes) + tokens, return_inverse=True)
+        code = np.empty(len(tokens), np.int64)  # first of the context, the (n-1)-gram that ends at the previous token
+        code[1:] = number[:-1]
+        code[starts] = len(keys)  # at a document's start: only beginnings
+        code *= len(hashes)
+        code += tokens
+        code, number = np.unique(code, return_inverse=True)
+        number = number.astype(np.uint32)
         ctx = np.concatenate([keys, [_BEGIN + np.uint64(n)]])[code // len(hashes)]
-        per_order.append((number, C.chain(ctx, hashes[code % len(hashes)])))
-    return tokens, starts, per_order
+        keys = C.chain(ctx, hashes[code % len(hashes)])
+        del code, ctx
+        yield number, keys
 
 
-def _asked(order: int, shards: int):
+def _asked(n: int, shards: int):
     def ask(frames):
         for pdf in frames:
             for row in pdf.itertuples():
-                rows = []
-                for n, (number, keys) in enumerate(_grams(row, order)[2], 1):
-                    by = np.argsort(keys)
-                    counts = np.bincount(number, minlength=len(keys))
-                    rows += C.questions(row.chunk, n, row.role, keys[by], None if row.role == OTHER else counts[by], shards)
-                yield pd.DataFrame(rows, columns=["chunk", "shard", "kind", "role", "keys", "counts"])
+                for number, keys in _grams(row, n):
+                    pass
+                by = np.argsort(keys)
+                counts = None if row.role == OTHER else np.bincount(number, minlength=len(keys))[by]
+                yield pd.DataFrame(C.questions(row.chunk, n, row.role, keys[by], counts, shards),
+                                   columns=["chunk", "shard", "kind", "role", "keys", "counts"])
     return ask
 
 
 def _counts(row, answers: pd.DataFrame, order: int, which: int, n_docs: int):
     """Per token: gram and context count of each order under one total."""
-    tokens, starts, per_order = _grams(row, order)
-    gram, context, before = [], [], None
-    for n, (number, keys) in enumerate(per_order, 1):
-        by = np.argsort(keys)
-        count = np.empty(len(keys), np.int64)
-        count[by] = C.told(answers, n, which)
+    starts, gram, context = _starts(row), [], []
+    for n, (number, keys) in enumerate(_grams(row, order), 1):
+        count = np.empty(len(keys), np.uint32)
+        count[np.argsort(keys)] = C.told(answers, n, which)
         if n > 1:
-            ctx = np.empty(len(tokens), np.int64)
-            ctx[1:] = before[:-1]
+            ctx = np.empty(len(number), np.uint32)
+            ctx[1:] = gram[-1][:-1]
             ctx[starts] = n_docs
             context.append(ctx)
-        before = count[number]
-        gram.append(before)
+        gram.append(count[number])
     return gram, context
 
 
+def _blocks(gram: list[np.ndarray], context: list[np.ndarray]):
+    """The counts of some tokens at a time: their place, gram and context counts."""
+    for a in range(0, len(gram[0]), BLOCK):
+        here = slice(a, a + BLOCK)
+        yield here, [c[here].astype(np.int64) for c in gram], [c[here].astype(np.int64) for c in context]
+
+
 def _bucket(context: list[np.ndarray], n: int) -> np.ndarray:
     """Number of the longest seen context's order and frequency class; 0 if none was seen."""
     b = np.zeros(n, np.int64)
@@ -112,8 +125,9 @@ def fit_weights(rows: DataFrame, order: int, total: int, distinct: int, rounds:
     return weights
 
 
+@C.removes_shuffles
 def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2,
-          chunk_words: int = C.CHUNK_WORDS) -> DataFrame:
+          chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """Score every row's whole text under a model of the rows where ``trains`` is true (NULL: false).
 
     Tokens are the words with A-Z lower-cased, then one end. Returns one row per input row: ``doc_id, trained,
@@ -126,7 +140,7 @@ def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str
     without held-out ones the weights stay even. An empty table gives no rows. Other columns are ignored. A document is never cut:
     one of more than ``chunk_words`` words makes a larger chunk, held whole by one task.
 
-    Counts of n-grams are summed by key range, so a frequent n-gram is one entry per chunk, and no task or driver
+    Counts of n-grams are summed by key range, one order after the other, so a frequent n-gram is one entry per chunk, and no task or driver
     holds a table that grows with the corpus.
     """
     spark = docs.sparkSession
@@ -135,8 +149,11 @@ def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str
     role = F.when(~trained, OTHER).when(tuning, TUNING).otherwise(COUNTED)
     chunks = C.write_chunks(docs, id_col, text_col, "lm-chunks", lower=True, end_token=True, role=role, chunk_words=chunk_words)
     shards = C.shard_count(chunks)
-    asked = chunks.select("chunk", "role", "lens", "tokens", "hashes").mapInPandas(_asked(order, shards), C.ASK)
-    answers = C.answer(asked, ((COUNTED, TUNING), (COUNTED,)), scratch_path(spark, "lm-counts"), told_to=(None, (TUNING,)))
+    answers = None
+    for n in range(1, order + 1):  # each order's questions are gone before the next are asked
+        asked = chunks.select("chunk", "role", "lens", "tokens", "hashes").mapInPandas(_asked(n, shards), C.ASK)
+        told = C.answer(asked, ((COUNTED, TUNING), (COUNTED,)), scratch_path(spark, f"lm-counts-{n}"), told_to=(None, (TUNING,)))
+        answers = told if answers is None else answers.unionByName(told)
     sums = answers.where("chunk = -1 and kind = 1").agg(*[F.coalesce(F.sum(F.get("sums", F.lit(i))), F.lit(0)).alias(f"s{i}") for i in range(4)]).first()
     docs_in = {r["role"]: r["n"] for r in chunks.groupBy("role").agg(F.sum(F.size("ids")).alias("n")).collect()}
     n_all, v_all, n_part, v_part = sums
@@ -147,10 +164,9 @@ def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str
     def held_out(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         made = []
         for row in left.itertuples():
-            gram, context = _counts(row, right, order, 1, docs_part)
-            cols = [_bucket(context, len(gram[0])), *gram, *context]
-            keys, k = np.unique(np.stack(cols), axis=1, return_counts=True)
-            made.append(pd.DataFrame(np.concatenate([keys[:1], k[None], keys[1:]]).T, columns=names))
+            for _, gram, context in _blocks(*_counts(row, right, order, 1, docs_part)):
+                keys, k = np.unique(np.stack([_bucket(context, len(gram[0])), *gram, *context]), axis=1, return_counts=True)
+                made.append(pd.DataFrame(np.concatenate([keys[:1], k[None], keys[1:]]).T, columns=names))
         return pd.concat(made) if made else pd.DataFrame(columns=names)
 
     needed = ["chunk", "ids", "lens", "tokens", "hashes"]
@@ -171,18 +187,18 @@ def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str
             table[b, :known] = weights[nearest][:known] if nearest is not None else 1.0 / known
         out = []
         for row in left.itertuples():
-            gram, context = _counts(row, right, order, 0, docs_all)
-            c, n = gram[0].astype(np.float64), len(gram[0])
-            w = table[_bucket(context, n)]
-            p = w[:, 0] / (v_all + 1.0) + w[:, 1] * (c / n_all if n_all else 1.0)
-            for i, (g, x) in enumerate(zip(gram[1:], context), 2):
-                p += w[:, i] * np.divide(g, x, out=np.zeros(n), where=x > 0)
-            base = np.log10((c + 0.5) / (n_all + 0.5 * (v_all + 1)))
-            at = np.concatenate([[0], np.cumsum(row.lens)[:-1]]).astype(np.int64)
-            total = lambda a, at=at: np.add.reduceat(a, at)
+            n = sum(row.lens)
+            known, base, log_p = np.empty(n, bool), np.empty(n), np.empty(n)
+            for here, gram, context in _blocks(*_counts(row, right, order, 0, docs_all)):
+                c, bucket = gram[0].astype(np.float64), _bucket(context, len(gram[0]))
+                p = table[bucket, 0] / (v_all + 1.0) + table[bucket, 1] * (c / n_all if n_all else 1.0)
+                for i, (g, x) in enumerate(zip(gram[1:], context), 2):
+                    p += table[bucket, i] * np.divide(g, x, out=np.zeros(len(c)), where=x > 0)
+                known[here], base[here], log_p[here] = c > 0, np.log10((c + 0.5) / (n_all + 0.5 * (v_all + 1))), np.log10(p)
+            at = _starts(row)
             out.append(pd.DataFrame({"doc_id": row.ids, "trained": row.role != OTHER, "n_tokens": np.asarray(row.lens, np.int64),
-                                     "n_known": total((c > 0).astype(np.int64)), "train_tokens": n_all, "train_types": v_all,
-                                     "base_score": total(base), "score": total(np.log10(p))}))
+                                     "n_known": np.add.reduceat(known.astype(np.int64), at), "train_tokens": n_all, "train_types": v_all,
+                                     "base_score": np.add.reduceat(base, at), "score": np.add.reduceat(log_p, at)}))
         return pd.concat(out) if out else pd.DataFrame()
 
     id_type = docs.schema[id_col].dataType.simpleString()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from goldleaf.llm import chunks, lm_interpolation
 from goldleaf.llm.queries import op1_interpolated_lm
+from goldleaf.session import scratch_path
 
 TEXTS = [(1, "the cat sat on the mat"), (2, "The cat sat"), (3, None), (4, ""), (5, "the the the THE dog"), (6, "a dog sat on the mat"),
          (7, "the cat\tsat\non the mat"), (8, "zebra"), (None, "the cat sat on a mat"), (1, "the cat sat on the mat"), (9, "x " * 3000)]
@@ -99,3 +100,26 @@ def test_packing_round_trip():
     for a in (np.array([], np.uint64), np.array([0, 2**63, 5], np.uint64), np.arange(1000, dtype=np.uint32)):
         assert (chunks.unpack(chunks.pack(a), a.dtype) == a).all()
     assert [w for p in chunks.word_lists(b"ab cd\tef  gh", 3) for w in p] == b"ab cd\tef  gh".split()
+
+
+def test_orders_are_counted_one_after_the_other(spark, monkeypatch):
+    """Every order has its own counts, and no shuffle of a query that has ended is left."""
+    made = []
+    monkeypatch.setattr(lm_interpolation, "scratch_path", lambda s, name: made.append(name) or scratch_path(s, name))
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+    df = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    lm_interpolation.score(df, F.col("doc_id") % 4 != 3, order=3, chunk_words=10)
+    assert [x for x in made if x.startswith("lm-counts")] == ["lm-counts-1", "lm-counts-2", "lm-counts-3"]
+    assert tracker.shuffleStatuses().size() <= before
+
+
+def test_blocks_of_a_chunk_score_alike(spark, monkeypatch):
+    df = spark.createDataFrame(TEXTS, "doc_id long, text string").coalesce(1)
+    rows = lambda: sorted(((r.doc_id, r.n_known, round(r.base_score, 9), round(r.score, 9)) for r in
+                           lm_interpolation.score(df, F.col("doc_id") % 4 != 3, order=3).collect()), key=str)
+    whole = rows()
+    monkeypatch.setattr(lm_interpolation, "BLOCK", 7)
+    gram = [lm_interpolation.np.arange(20, dtype="uint32")] * 3
+    assert [len(g[0]) for _, g, _ in lm_interpolation._blocks(gram, gram[1:])] == [7, 7, 6]
+    assert rows() == whole
