@@ -293,13 +293,8 @@ def rescue_columns(df: DataFrame, schema: T.StructType, out: str = "_rescued_dat
     for f in schema.fields:
         if f.name in present:
             bad = F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
-            entries.append(F.struct(F.lit(f.name).alias("k"), F.when(bad, F.col(f.name).cast("string")).alias("v")))
-    for c in df.columns:
-        if c not in schema.names and c not in keep:
-            entries.append(F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")))
-    if entries:
-        leftover = F.map_filter(F.map_from_entries(F.array(*entries)), lambda k, v: v.isNotNull())
-        rescued = F.when(F.size(leftover) > 0, F.to_json(leftover))
-    else:
-        rescued = F.lit(None).cast("string")
+            entries.append(F.when(bad, F.col(f.name).cast("string")).alias(f.name))
+    entries += [F.col(c).cast("string").alias(c) for c in df.columns if c not in schema.names and c not in keep]
+    # NULL fields are left out, so a row that fits is an empty object
+    rescued = F.nullif(F.to_json(F.struct(*entries), {"ignoreNullFields": "true"}), F.lit("{}")) if entries else F.lit(None).cast("string")
     return df.select(*typed, *[F.col(c) for c in keep if c in present], rescued.alias(out))

@@ -244,3 +244,28 @@ def test_json_objects_that_repeat_a_key_are_kept_whole(spark, workdir):
     plain = T.StructType(schema.fields[:2])
     got = {r["_rescued_data"]: (r["id"], r["it's"]) for r in files.rescue(raw, "raw", plain).collect()}
     assert got == {lines[0]: (None, None), lines[1]: (None, None), '{"s":"{\\"a\\":1,\\"a\\":2}"}': (4, None), None: (5, 6)}
+
+
+def test_backfill_joins_its_rows_once(spark, monkeypatch):
+    """Both kinds of headers are written from stored rows, by compiled methods only while the query writes."""
+    from goldleaf.plans import workload_sources as w
+
+    seen, real, key = [], w._land_seasons, "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+
+    def land(raw, root):
+        seen.append((raw._jdf.queryExecution().optimizedPlan().toString(), spark.conf.get(key)))
+        return real(raw, root)
+
+    monkeypatch.setattr(w, "_land_seasons", land)
+    assert w.q_ingest_csv_backfill(spark, "/root/testdata/sf0.001").count() > 0
+    (plan, limit), = seen
+    assert "Join" not in plan and "Aggregate" not in plan and limit == "8000" and spark.conf.get(key) == before
+
+
+def test_rescue_columns_evaluate_no_map(spark):
+    schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("s", T.StringType())])
+    df = spark.createDataFrame([("1", "a", None), ("x", None, 'say "hi"'), (None, None, "")], "n string, s string, extra string")
+    out = files.rescue_columns(df, schema)
+    assert [tuple(r) for r in out.collect()] == [(1, "a", None), (None, None, '{"n":"x","extra":"say \\"hi\\""}'), (None, None, '{"extra":""}')]
+    assert "map_from_entries" not in out._jdf.queryExecution().optimizedPlan().toString()
