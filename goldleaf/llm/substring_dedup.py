@@ -56,28 +56,35 @@ class SuffixAutomaton:
         return clone
 
     def add(self, words: list[int]) -> None:
-        last = 0
+        edges, link, length, last = self.next, self.link, self.length, 0
         for w in words:
-            if w in self.next[last]:
+            if w in edges[last]:
                 last = self._child(last, w)
                 continue
-            now, p = self._new(self.length[last] + 1, {}, 0), last
-            while p >= 0 and w not in self.next[p]:
-                self.next[p][w] = now
-                p = self.link[p]
+            now, p = len(edges), last
+            edges.append({})
+            length.append(length[last] + 1)
+            link.append(0)
+            while p >= 0 and w not in (own := edges[p]):
+                own[w] = now
+                p = link[p]
             if p >= 0:
-                self.link[now] = self._child(p, w)
+                q = edges[p][w]
+                link[now] = q if length[q] == length[p] + 1 else self._child(p, w)
             last = now
 
     def matches(self, words: list[int]) -> list[int]:
         """Per word the length of the longest string ending there that occurs in an added string."""
-        state, got, out = 0, 0, []
+        edges, link, length = self.next, self.link, self.length
+        state, own, got, out = 0, edges[0], 0, []
         for w in words:
-            while state and w not in self.next[state]:
-                state = self.link[state]
-                got = self.length[state]
-            if w in self.next[state]:
-                state, got = self.next[state][w], got + 1
+            to = own.get(w)
+            while to is None and state:
+                state = link[state]
+                got, own = length[state], edges[state]
+                to = own.get(w)
+            if to is not None:
+                state, own, got = to, edges[to], got + 1
             out.append(got)
         return out
 
@@ -89,19 +96,31 @@ def _fold(state, words):
     return state
 
 
-def _anchors(h: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per window the place of its anchor, and the (scrambled) key of each anchor-word sequence."""
-    if len(h) < window:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+def _least_places(keys: np.ndarray, span: int) -> np.ndarray:
+    """Place of the first least one of every ``span`` keys in a row."""
+    place, width = np.arange(len(keys)), 1
+    while width < span:
+        step = min(width, span - width)
+        left, right = place[:-step], place[step:]
+        place = np.where(keys[right] < keys[left], right, left)
+        width += step
+    return place
+
+
+def _runs(h: np.ndarray, lens: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one anchor in texts of ``lens`` words, in order: first word (a place in ``h``), number of
+    windows, (scrambled) key of the anchor; and per text the number of its first run, and the end."""
+    counts = np.maximum(lens - window + 1, 0)
+    ends = np.cumsum(counts)
+    if not len(counts) or not ends[-1]:
+        none = np.zeros(0, np.int64)
+        return none, none, none.view(np.uint64), np.zeros(len(lens) + 1, np.int64)
     keys = C.window_keys(h, anchor)
-    span = window - anchor + 1
-    places = np.lib.stride_tricks.sliding_window_view(keys, span).argmin(axis=1) + np.arange(len(keys) - span + 1)
-    return places, C.mix(keys)
-
-
-def _runs(places: np.ndarray) -> np.ndarray:
-    """First window of each run of windows with one anchor, and the end."""
-    return np.concatenate([[0], np.flatnonzero(np.diff(places)) + 1, [len(places)]]).astype(np.int64)
+    windows = np.arange(ends[-1]) + np.repeat(np.cumsum(lens) - lens - ends + counts, counts)  # no window leaves its text
+    places = _least_places(keys, window - anchor + 1)[windows]
+    first = np.concatenate([[0], np.flatnonzero(np.diff(places)) + 1])  # texts share no place
+    return (windows[first], np.diff(first, append=len(windows)), C.mix(keys[places[first]]),
+            np.searchsorted(first, np.concatenate([[0], ends])))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text",
@@ -138,19 +157,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     small = chunks.select("chunk", "lens", "tokens", "hashes", "words")
     shards = C.shard_count(chunks, 2.0 / (window - anchor + 2))
 
-    def chunk_keys(row):
-        """The anchors of a chunk's texts, and per text its runs' anchor keys."""
-        found = []
-        for h in C.document_hashes(row):
-            places, keys = _anchors(h, window, anchor)
-            runs = _runs(places) if len(places) else np.zeros(1, np.int64)
-            found.append((h, runs, keys[places[runs[:-1]]]))
-        return found, np.unique(np.concatenate([own for _, _, own in found]), return_counts=True)
+    def chunk_runs(row):
+        """Word hashes of a chunk's texts in a row, and their runs."""
+        h = C.word_hashes(C.spelled_words(row.words))[C.unpack(row.tokens, np.uint32)]
+        return h, _runs(h, np.asarray(row.lens, np.int64), window, anchor)
 
     def ask(frames):
         for pdf in frames:
             for row in pdf.itertuples():
-                keys, counts = chunk_keys(row)[1]
+                keys, counts = np.unique(chunk_runs(row)[1][2], return_counts=True)
                 yield pd.DataFrame(C.questions(row.chunk, 1, 0, keys, counts, shards),
                                    columns=["chunk", "shard", "kind", "role", "keys", "counts"])
 
@@ -159,20 +174,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     picked = first.groupBy("chunk").agg(F.collect_list(F.struct("at", F.col("first_id").cast("string").alias("id"), rank.alias("rank"))).alias("picked"))
 
     def cut(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out, packer = [], zstandard.ZstdCompressor(level=1)
         for row in left.itertuples():
-            found, (all_keys, _) = chunk_keys(row)
-            again = C.told(right, 1, 0) > 1
-            vocab = C.spelled_words(row.words)
-            tokens = np.split(C.unpack(row.tokens, np.uint32), np.cumsum(row.lens)[:-1])
+            h, (starts, ns, own, bounds) = chunk_runs(row)
+            again = (C.told(right, 1, 0) > 1)[np.searchsorted(np.unique(own), own)]
+            vocab, hashes = C.spelled_words(row.words), memoryview(h).cast("B")
+            tokens, ends = C.unpack(row.tokens, np.uint32), np.cumsum(row.lens)
             for doc in row.picked:  # at most a chunk's documents
                 at = doc["at"]
-                h, runs, own = found[at]
-                hit = np.flatnonzero(again[np.searchsorted(all_keys, own)])
+                a, b = bounds[at:at + 2]
+                hit = a + np.flatnonzero(again[a:b])
                 if len(hit):
-                    sids = [xxhash.xxh64_intdigest(h[runs[r]:runs[r + 1] + window - 1].tobytes()) - (1 << 63) for r in hit]
-                    text = zstandard.ZstdCompressor(level=1).compress(b" ".join([vocab[i] for i in tokens[at]]))
-                    out.append(((row.chunk << 17) + int(at), doc["id"], doc["rank"], runs[hit], np.diff(runs)[hit], own[hit].view(np.int64), sids, text))
+                    begin, end = int(ends[at] - row.lens[at]), int(ends[at])
+                    sids = [xxhash.xxh64_intdigest(hashes[8 * i:8 * (i + n + window - 1)]) - (1 << 63)
+                            for i, n in zip(starts[hit].tolist(), ns[hit].tolist())]
+                    text = packer.compress(b" ".join([vocab[i] for i in tokens[begin:end].tolist()]))
+                    out.append(((row.chunk << 17) + int(at), doc["id"], doc["rank"], starts[hit] - begin, ns[hit].astype(np.int32),
+                                own[hit].view(np.int64), sids, text))
         return pd.DataFrame(out, columns=["node", "doc_id", "rank", "starts", "ns", "anchors", "sids", "text"])
 
     path = scratch_path(spark, "dedup-candidates")
@@ -193,16 +211,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
         for pdf in frames:
             out = []
             for row in pdf.itertuples():
-                h = C.word_hashes(C.spelled_words(row.text)).astype(np.uint32)
-                out += [(s["anchor"], s["sid"], s["n"], h[s["start"]:s["start"] + s["n"] + window - 1].tobytes(), row.doc_id, row.rank, s["start"])
-                        for s in row.wanted]
+                h = C.word_hashes(C.spelled_words(row.text)).astype(np.uint32).tobytes()
+                out += [(anchor, sid, n, h[4 * start:4 * (start + n + window - 1)], row.doc_id, row.rank, start)
+                        for anchor, sid, start, n in zip(*(x.tolist() for x in (row.anchors, row.sids, row.starts, row.ns)))]
             yield pd.DataFrame(out, columns=["anchor", "sid", "n", "words", "doc_id", "rank", "start"])
 
     wanted = distinct.groupBy(F.col("first.node").alias("node")).agg(  # at most a document's segments
         F.collect_list(F.struct("anchor", "sid", F.col("first.start").alias("start"), "n")).alias("wanted"))
     texts = candidates.select("node", "text")
     path = scratch_path(spark, "dedup-spelled")
-    spelling = candidates.select("node", F.col("doc_id").cast("string").alias("doc_id"), "rank", "text").join(wanted, "node").select("doc_id", "rank", "text", "wanted")
+    spelling = candidates.select("node", F.col("doc_id").cast("string").alias("doc_id"), "rank", "text").join(wanted, "node").select(
+        "doc_id", "rank", "text", *[F.col(f"wanted.{x}").alias(f"{x}s") for x in ("anchor", "sid", "start", "n")])
     spelling.mapInPandas(spell, "anchor long, sid long, n int, words binary, doc_id string, rank long, start long").withColumn(
         "doc_id", F.col("doc_id").cast(id_type)).write.parquet(path)
     spelled = spark.read.parquet(path)
@@ -217,7 +236,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
         for words, n in zip(g["words"], g["n"]):
             words = np.frombuffer(words, np.uint32).tolist()
             ends = automaton.matches(words)[window - 1:]
-            mask = sum(1 << i for i, got in enumerate(ends) if got >= window)
+            mask = sum(1 << i for i, got in enumerate(ends) if got >= window) if max(ends) >= window else 0
             if mask != (1 << n) - 1:
                 automaton.add(words)
             masks.append(mask)
@@ -241,23 +260,24 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
              .select("node", "start", F.when(is_first, F.col("mask")).otherwise(F.expr("shiftleft(1L, n) - 1")).alias("mask"))
              .where("mask <> 0").groupBy("node").agg(F.collect_list(F.struct("start", "mask")).alias("spans")))
 
+    bits = np.arange(window - anchor + 1)  # a run has one anchor, so at most these windows
+
     def strip(frames):
         for pdf in frames:
             out = []
             for row in pdf.itertuples():
                 words = C.spelled_words(row.text)
-                change = np.zeros(len(words) + 1, np.int32)
-                for s in row.spans:
-                    at = s["start"] + np.array([i for i in range(s["mask"].bit_length()) if s["mask"] >> i & 1])
-                    np.add.at(change, at, 1)
-                    np.add.at(change, at + window, -1)
+                span, bit = np.nonzero(row.masks[:, None] >> bits & 1)
+                at = row.starts[span] + bit
+                change = np.bincount(at, minlength=len(words) + 1) - np.bincount(at + window, minlength=len(words) + 1)
                 stays = np.cumsum(change[:-1]) == 0
                 edges = np.flatnonzero(np.diff(np.concatenate([[False], stays, [False]]).astype(np.int8)))
-                kept = b" ".join([words[i] for i in np.flatnonzero(stays)])
-                out.append((row.node, int((~stays).sum()), hashlib.sha256(kept).hexdigest(), edges.reshape(-1, 2).tolist()))
+                spans = edges.reshape(-1, 2).tolist()
+                kept = b" ".join([w for a, b in spans for w in words[a:b]])
+                out.append((row.node, int((~stays).sum()), hashlib.sha256(kept).hexdigest(), spans))
             yield pd.DataFrame(out, columns=["node", "n_removed", "kept_sha256", "kept"])
 
-    stripped = texts.join(spans, "node").mapInPandas(strip, "node long, n_removed long, kept_sha256 string, kept array<array<int>>")
+    stripped = texts.join(spans, "node").select("node", "text", F.col("spans.start").alias("starts"), F.col("spans.mask").alias("masks")).mapInPandas(strip, "node long, n_removed long, kept_sha256 string, kept array<array<int>>")
     done = first.join(stripped, "node", "left").select("sha", "first_id", F.lit(True).alias("long"), "n_removed", "kept_sha256", "kept")
     result = rows.join(done, "sha", "left")
     copy = F.coalesce("long", F.lit(False)) & ~F.col("doc_id").eqNullSafe(F.col("first_id"))

@@ -2,9 +2,10 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
-from goldleaf.llm import substring_dedup
+from goldleaf.llm import chunks, substring_dedup
 from goldleaf.llm.queries import op2_automaton_dedup
 
 
@@ -81,3 +82,26 @@ def test_query_against_brute_force(spark):
     path = "/root/testdata/sf0.01"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()]
     assert result(op2_automaton_dedup(spark, path)) == brute(rows, 20)
+
+
+def test_runs_of_a_whole_chunk():
+    """Runs found over all texts at once against each text's windows one by one; texts shorter than a window have none."""
+    rng = np.random.default_rng(3)
+    lens = np.array([0, 5, 30, 19, 20, 21, 200, 0, 64, 3])
+    h = chunks.mix(rng.integers(0, 9, lens.sum()).astype(np.uint64))  # few words, so anchors tie
+    starts, ns, own, bounds = substring_dedup._runs(h, lens, 20, 8)
+    keys = chunks.window_keys(h, 8)
+    want, first = [], []
+    for begin, n in zip(np.cumsum(lens) - lens, lens):
+        first.append(len(want))
+        before = None
+        for i in range(begin, begin + n - 19):
+            at = i + int(np.argmin(keys[i:i + 13]))
+            if at == before:
+                want[-1][1] += 1
+            else:
+                want.append([i, 1, int(chunks.mix(keys[at:at + 1])[0])])
+            before = at
+    assert [list(map(int, r)) for r in zip(starts, ns, own)] == want
+    assert bounds.tolist() == [*first, len(want)]
+    assert substring_dedup._runs(h[:5], np.array([0, 5]), 20, 8)[3].tolist() == [0, 0, 0]
