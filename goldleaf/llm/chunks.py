@@ -35,6 +35,8 @@ CHUNK_WORDS = 1_500_000
 CHUNK_DOCS = 100_000
 #: Keys that a shard sums at once, on average.
 SHARD_KEYS = 2_000_000
+#: Keys of a shard that are sorted and summed in one step, on average; a step takes some 60 bytes a key.
+RANGE_KEYS = 1 << 18
 _CUT = re.compile(rb"[ \t\n\r\x0b\x0c]")
 _U64 = np.uint64
 
@@ -120,6 +122,18 @@ def arrow_rows(spark: SparkSession, n: int):
         spark.conf.set(key, before)
 
 
+@contextmanager
+def arrow_bytes(spark: SparkSession, n: int):
+    """Bytes per Arrow batch for the jobs run inside, which bounds a batch of chunks; a larger row is a batch of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class _Open:
     """A chunk that is being filled."""
 
@@ -210,6 +224,19 @@ def questions(chunk: int, kind: int, role: int, keys: np.ndarray, counts: np.nda
     return out
 
 
+def _ranges(keys: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """Cuts sorted lists of keys at the same keys, some RANGE_KEYS of all lists between two cuts; per range the place of each list's first key and of its end."""
+    some = [k for k in keys if len(k)]
+    low, high = min((int(k[0]) for k in some), default=0), max((int(k[-1]) for k in some), default=0)
+    n = sum(map(len, keys)) // RANGE_KEYS + 1
+    bounds = np.array([low + (high - low) * j // n for j in range(1, n)], np.uint64)
+    before = np.zeros(len(keys), np.int64)
+    for j in range(n):
+        after = np.array([np.searchsorted(k, bounds[j]) if j < n - 1 else len(k) for k in keys], np.int64)
+        yield np.stack([before, after], axis=1)
+        before = after
+
+
 @contextmanager
 def shuffles_removed(spark: SparkSession):
     """Let Spark remove the shuffle files of each query run inside as the query ends, not when the driver next collects garbage."""
@@ -243,25 +270,33 @@ def answer(asked: DataFrame, totals: tuple[tuple[int, ...], ...], path: str, cap
 
     def merge(g: pd.DataFrame) -> pd.DataFrame:
         keys = [unpack(k, np.uint64) for k in g["keys"]]
-        lens = np.array([len(k) for k in keys])
-        keys = np.concatenate(keys)
-        counts = np.concatenate([unpack(c, np.uint32) if c else np.ones(n, np.uint32) for c, n in zip(g["counts"], lens)])
-        roles = np.repeat(g["role"].to_numpy(), lens)
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        new = np.empty(len(keys), bool)
-        new[0] = True
-        np.not_equal(keys[1:], keys[:-1], out=new[1:])
-        starts, number = np.flatnonzero(new), np.cumsum(new) - 1
-        told, sums = [], []
-        for wanted in totals:
-            per_key = np.add.reduceat(np.where(np.isin(roles, wanted), counts, 0)[order].astype(np.int64), starts)
-            sums += [int(per_key.sum()), int((per_key > 0).sum())]
-            each = np.empty(len(keys), np.uint32)
-            each[order] = (per_key if cap is None else np.minimum(per_key, cap))[number]
-            told.append(np.split(each, np.cumsum(lens)[:-1]))
-        rows = [(c, s, k, [pack(t[i]) if to is None or r in to else b"" for t, to in zip(told, to_roles)], None)
-                for i, (c, s, k, r) in enumerate(zip(g["chunk"], g["shard"], g["kind"], g["role"]))]
+        counts = [unpack(c, np.uint32) if c else None for c in g["counts"]]
+        wanted = [np.isin(g["role"].to_numpy(), roles) for roles in totals]
+        told = [[np.empty(len(k), np.uint32) if to is None or r in to else None for k, r in zip(keys, g["role"])] for to in to_roles]
+        sums = [0] * (2 * len(totals))
+        for cut in _ranges(keys):
+            here = [slice(*x) for x in cut]
+            lens = np.diff(cut).ravel()
+            part = np.concatenate([k[x] for k, x in zip(keys, here)])
+            if not len(part):
+                continue
+            times = np.concatenate([np.ones(n, np.uint32) if c is None else c[x] for c, x, n in zip(counts, here, lens)])
+            order = np.argsort(part, kind="stable")
+            part = part[order]
+            new = np.empty(len(part), bool)
+            new[0] = True
+            np.not_equal(part[1:], part[:-1], out=new[1:])
+            starts, number, each = np.flatnonzero(new), np.cumsum(new) - 1, np.empty(len(part), np.uint32)
+            ends = np.cumsum(lens)
+            for t, own in enumerate(wanted):
+                per_key = np.add.reduceat(np.where(np.repeat(own, lens), times, 0)[order].astype(np.int64), starts)
+                sums[2 * t] += int(per_key.sum())
+                sums[2 * t + 1] += int((per_key > 0).sum())
+                each[order] = (per_key if cap is None else np.minimum(per_key, cap))[number]
+                for i in (i for i in np.flatnonzero(lens) if told[t][i] is not None):
+                    told[t][i][here[i]] = each[ends[i] - lens[i]:ends[i]]
+        rows = [(c, s, k, [b"" if t[i] is None else pack(t[i]) for t in told], None)
+                for i, (c, s, k) in enumerate(zip(g["chunk"], g["shard"], g["kind"]))]
         rows.append((-1, int(g["shard"].iloc[0]), int(g["kind"].iloc[0]), None, sums))
         return pd.DataFrame(rows, columns=["chunk", "shard", "kind", "totals", "sums"])
 

@@ -23,6 +23,8 @@ COUNTED, TUNING, OTHER = 0, 1, 2
 CHUNK_WORDS = 750_000
 #: Tokens whose estimates are computed at once.
 BLOCK = 1 << 18
+#: Bytes of chunks that a worker is given at once while n-grams are counted, else those of a whole input split.
+BATCH_BYTES = 4 << 20
 _BEGIN = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -152,7 +154,8 @@ def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str
     answers = None
     for n in range(1, order + 1):  # each order's questions are gone before the next are asked
         asked = chunks.select("chunk", "role", "lens", "tokens", "hashes").mapInPandas(_asked(n, shards), C.ASK)
-        told = C.answer(asked, ((COUNTED, TUNING), (COUNTED,)), scratch_path(spark, f"lm-counts-{n}"), told_to=(None, (TUNING,)))
+        with C.arrow_bytes(spark, BATCH_BYTES):
+            told = C.answer(asked, ((COUNTED, TUNING), (COUNTED,)), scratch_path(spark, f"lm-counts-{n}"), told_to=(None, (TUNING,)))
         answers = told if answers is None else answers.unionByName(told)
     sums = answers.where("chunk = -1 and kind = 1").agg(*[F.coalesce(F.sum(F.get("sums", F.lit(i))), F.lit(0)).alias(f"s{i}") for i in range(4)]).first()
     docs_in = {r["role"]: r["n"] for r in chunks.groupBy("role").agg(F.sum(F.size("ids")).alias("n")).collect()}

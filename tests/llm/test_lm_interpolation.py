@@ -123,3 +123,90 @@ def test_blocks_of_a_chunk_score_alike(spark, monkeypatch):
     gram = [lm_interpolation.np.arange(20, dtype="uint32")] * 3
     assert [len(g[0]) for _, g, _ in lm_interpolation._blocks(gram, gram[1:])] == [7, 7, 6]
     assert rows() == whole
+
+
+def _merge_of(monkeypatch, totals, **kw):
+    """The function that ``chunks.answer`` applies to each shard."""
+    caught = []
+
+    class Asked:
+        def groupBy(self, *names):
+            return self
+
+        def applyInPandas(self, f, schema):
+            caught.append(f)
+            raise LookupError
+
+    with pytest.raises(LookupError):
+        chunks.answer(Asked(), totals, "nowhere", **kw)
+    return caught[0]
+
+
+def _shard(lists, roles, counts):
+    import pandas as pd
+
+    return pd.DataFrame([(i, 0, 1, r, chunks.pack(k), b"" if c is None else chunks.pack(c)) for i, (k, r, c) in enumerate(zip(lists, roles, counts))],
+                        columns=["chunk", "shard", "kind", "role", "keys", "counts"])
+
+
+@pytest.mark.parametrize("range_keys", [1, 7, 1 << 18])
+def test_ranges_of_a_shard_sum_like_the_whole(monkeypatch, range_keys):
+    import numpy as np
+
+    monkeypatch.setattr(chunks, "RANGE_KEYS", range_keys, raising=False)
+    rng = np.random.default_rng(1)
+    pool = np.concatenate([rng.integers(0, 2**64, 40, np.uint64), np.array([0, 2**64 - 1, 2**63], np.uint64)])
+    for given in ([np.sort(rng.choice(pool, n, replace=False)) for n in (43, 1, 17, 30, 0)], [pool[:1], pool[:1], pool[:1], pool[:0], pool[:1]]):
+        roles, counts = [0, 1, 2, 0, 1], [rng.integers(1, 9, len(k)).astype(np.uint32) if i != 3 else None for i, k in enumerate(given)]
+        want = [Counter(), Counter()]
+        for k, r, c in zip(given, roles, counts):
+            for key, n in zip(k.tolist(), [1] * len(k) if c is None else c.tolist()):
+                want[0][key] += n * (r in (0, 1))
+                want[1][key] += n * (r == 0)
+        got = _merge_of(monkeypatch, ((0, 1), (0,)), told_to=(None, (1,)), cap=20)(_shard(given, roles, counts))
+        assert got["chunk"].tolist() == [0, 1, 2, 3, 4, -1]
+        for k, r, told in zip(given, roles, got["totals"]):
+            assert chunks.unpack(told[0], np.uint32).tolist() == [min(20, want[0][x]) for x in k.tolist()]
+            assert chunks.unpack(told[1], np.uint32).tolist() == ([min(20, want[1][x]) for x in k.tolist()] if r == 1 else [])
+        assert got["sums"].iloc[-1] == [y for w in want for y in (sum(w.values()), sum(v > 0 for v in w.values()))]
+
+
+def test_a_shard_is_summed_in_little_memory(monkeypatch):
+    """No sorted copies, places and totals of a whole shard at once: about 75 bytes a key before."""
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    lists = [np.unique(rng.integers(0, 2**64, 100_000, np.uint64)) for _ in range(10)]
+    shard = _shard(lists, [0] * 9 + [1], [np.ones(len(k), np.uint32) for k in lists])
+    merge = _merge_of(monkeypatch, ((0, 1), (0,)), told_to=(None, (1,)))
+    tracemalloc.start()
+    try:
+        merge(shard)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 45 * sum(map(len, lists))
+
+
+def test_a_worker_is_given_few_chunks_at_once(spark, monkeypatch):
+    """All chunks of an input split came as one batch before."""
+    real, key = lm_interpolation._asked, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def asked(n, shards):
+        ask = real(n, shards)
+
+        def alone(frames):
+            for f in frames:
+                if len(f) > 1:
+                    raise ValueError(f"{len(f)} chunks in a batch")
+                yield from ask([f])
+        return alone
+
+    monkeypatch.setattr(lm_interpolation, "_asked", asked)
+    monkeypatch.setattr(lm_interpolation, "BATCH_BYTES", 1, raising=False)
+    before = spark.conf.get(key)
+    df = spark.createDataFrame(TEXTS, "doc_id long, text string").coalesce(1)
+    assert lm_interpolation.score(df, F.col("doc_id") % 4 != 3, order=3, chunk_words=10).count() == len(TEXTS)
+    assert spark.conf.get(key) == before
