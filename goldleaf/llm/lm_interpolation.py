@@ -19,8 +19,10 @@ from goldleaf.session import scratch_path
 #: Context frequencies of 2**15 and more share a bucket.
 TOP_BUCKET = 15
 COUNTED, TUNING, OTHER = 0, 1, 2
-#: Words per chunk: all n-grams of a chunk take some 70 MB in a Python worker.
-CHUNK_WORDS = 750_000
+#: Words per chunk: the n-grams of a chunk and their counts take some 40 MB in a Python worker.
+CHUNK_WORDS = 375_000
+#: Keys that a shard of n-grams sums, on average, in some 30 MB.
+SHARD_KEYS = 1_000_000
 #: Tokens whose estimates are computed at once.
 BLOCK = 1 << 18
 #: Bytes of chunks that a worker is given at once while n-grams are counted, else those of a whole input split.
@@ -150,7 +152,7 @@ def score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str
     tuning = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("held-out")), F.lit(10)) == 0
     role = F.when(~trained, OTHER).when(tuning, TUNING).otherwise(COUNTED)
     chunks = C.write_chunks(docs, id_col, text_col, "lm-chunks", lower=True, end_token=True, role=role, chunk_words=chunk_words)
-    shards = C.shard_count(chunks)
+    shards = C.shard_count(chunks, C.SHARD_KEYS / SHARD_KEYS)
     answers = None
     for n in range(1, order + 1):  # each order's questions are gone before the next are asked
         asked = chunks.select("chunk", "role", "lens", "tokens", "hashes").mapInPandas(_asked(n, shards), C.ASK)

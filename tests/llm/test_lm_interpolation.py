@@ -210,3 +210,31 @@ def test_a_worker_is_given_few_chunks_at_once(spark, monkeypatch):
     df = spark.createDataFrame(TEXTS, "doc_id long, text string").coalesce(1)
     assert lm_interpolation.score(df, F.col("doc_id") % 4 != 3, order=3, chunk_words=10).count() == len(TEXTS)
     assert spark.conf.get(key) == before
+
+
+def test_a_default_chunk_and_shard_take_little_memory(monkeypatch):
+    """The n-grams of a chunk with their counts, and the sums of a shard: 67 and 55 MB before."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    n, words = lm_interpolation.CHUNK_WORDS, 60_000
+    row = SimpleNamespace(lens=[250] * (n // 250), tokens=chunks.pack((words * rng.random(n) ** 3).astype(np.uint32)),
+                          hashes=chunks.pack(rng.integers(0, 2**64, words, np.uint64)))
+    told = pd.DataFrame([(1, 0, order, [chunks.pack(np.ones(len(keys), np.uint32))]) for order, (_, keys) in enumerate(lm_interpolation._grams(row, 3), 1)],
+                        columns=["chunk", "shard", "kind", "totals"])
+    lists = [np.unique(rng.integers(0, 2**64, getattr(lm_interpolation, "SHARD_KEYS", chunks.SHARD_KEYS) // 10, np.uint64)) for _ in range(10)]
+    shard = _shard(lists, [0] * 9 + [1], [np.ones(len(k), np.uint32) for k in lists])
+    merge = _merge_of(monkeypatch, ((0, 1), (0,)), told_to=(None, (1,)))
+    peaks = []
+    for f in (lambda: lm_interpolation._counts(row, told, 3, 0, 9), lambda: merge(shard)):
+        tracemalloc.start()
+        try:
+            f()
+            peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+        finally:
+            tracemalloc.stop()
+    assert peaks[0] < 45 and peaks[1] < 40, peaks
