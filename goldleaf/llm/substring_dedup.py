@@ -24,6 +24,8 @@ from goldleaf.llm import chunks as C
 from goldleaf.session import scratch_path
 
 WINDOW, ANCHOR = 20, 8
+#: Words per chunk: the windows of a chunk and their anchors take some 40 MB in a Python worker.
+CHUNK_WORDS = 750_000
 #: Distinct segments per shard, on average; an automaton of these takes some 60 MB.
 SHARD_SEGMENTS = 4_000
 #: Distinct segments of one anchor beyond which they are dealt by window instead.
@@ -124,7 +126,7 @@ def _runs(h: np.ndarray, lens: np.ndarray, window: int, anchor: int) -> tuple[np
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text",
-                   chunk_words: int = C.CHUNK_WORDS, shard_segments: int = SHARD_SEGMENTS,
+                   chunk_words: int = CHUNK_WORDS, shard_segments: int = SHARD_SEGMENTS,
                    anchor_segments: int = ANCHOR_SEGMENTS) -> DataFrame:
     """Remove every word under a window of words that starts earlier: in a smaller id, or earlier in the same document.
 

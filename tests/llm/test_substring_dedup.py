@@ -105,3 +105,20 @@ def test_runs_of_a_whole_chunk():
     assert [list(map(int, r)) for r in zip(starts, ns, own)] == want
     assert bounds.tolist() == [*first, len(want)]
     assert substring_dedup._runs(h[:5], np.array([0, 5]), 20, 8)[3].tolist() == [0, 0, 0]
+
+
+def test_a_default_chunk_takes_little_memory():
+    """The anchors of a chunk: 61 MB before."""
+    import inspect
+    import tracemalloc
+
+    n = inspect.signature(substring_dedup.remove_repeats).parameters["chunk_words"].default
+    h = np.random.default_rng(5).integers(0, 2**64, n, np.uint64)
+    lens = np.full(n // 250, 250)
+    tracemalloc.start()
+    try:
+        substring_dedup._runs(h, lens, 20, 8)
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    assert peak < 50, peak
